@@ -17,7 +17,7 @@ def blank_to_null(text: Column) -> Column:
 
 
 def decimal_point(text: Column) -> Column:
-    return F.regexp_replace(text, ",", ".")
+    return F.translate(text, ",", ".")
 
 
 def text_transform(text: Column, field: FieldSpec) -> Column:

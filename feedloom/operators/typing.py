@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.casting import is_blank, is_invalid, safe_cast, source_text
+from feedloom.functions.casting import blank_to_null, is_blank, is_invalid, source_text
 from feedloom.functions.dates import as_temporal, parse_first
 from feedloom.operators import errors as E
 from feedloom.specs import ICT_DRIVEN, LOG_ONLY, REJECT, FieldSpec
@@ -35,48 +35,52 @@ def type_rows(df: DataFrame, fields: Sequence[FieldSpec]) -> DataFrame:
     present = [f for f in fields if f.name in df.columns]
     names = {f.name for f in present}
     others = [c for c in df.columns if c not in names]
+    every = list(enumerate(present))
 
-    # Texts, then values, then judgements: one projection each, so that a cast is written once and
-    # referenced by name afterwards.
-    texts = df.select(
-        *others, *[source_text(F.col(f"`{f.name}`"), f).alias(_t(i)) for i, f in enumerate(present)]
+    # Source texts, filled texts, values, judgements: one projection each, so that every step is
+    # written once per column and referenced by name afterwards.
+    texts = df.select(*others, *[source_text(F.col(f"`{f.name}`"), f).alias(_t(i)) for i, f in every])
+    filled = texts.select(
+        *others,
+        *[(F.col(_t(i)) if f.is_temporal else blank_to_null(F.col(_t(i)))).alias(_t(i)) for i, f in every],
     )
-    typed = texts.select(
+    typed = filled.select(
         *others,
-        *[F.col(_t(i)) for i in range(len(present))],
-        *[_value(F.col(_t(i)), f).alias(_v(i)) for i, f in enumerate(present)],
+        *[F.col(_t(i)) for i, f in every if f.type_name != "STRING"],
+        *[_value(F.col(_t(i)), f).alias(_v(i)) for i, f in every],
     )
 
-    bad = {i: _bad(i, f) for i, f in enumerate(present)}
-    alive, before = F.lit(True), {}
-    for i, f in enumerate(present):
+    # A text is there and gave no value. An empty date is a text too.
+    bad = {
+        i: F.col(_t(i)).isNotNull() & F.col(_v(i)).isNull() for i, f in every if f.type_name != "STRING"
+    }
+    alive, before = None, {}
+    for i, f in every:
         before[i] = alive
-        if policy_kind(f) == E.REJECT and not f.is_temporal:
-            alive = alive & ~bad[i]
+        if i in bad and policy_kind(f) == E.REJECT and not f.is_temporal:
+            alive = ~bad[i] if alive is None else alive & ~bad[i]
 
     entries: list[tuple[Column, Column]] = []
-    for i, f in enumerate(present):
-        text = F.col(_t(i))
-        if f.is_temporal:
-            kind = F.when(is_blank(text), F.lit(E.EMPTY_DATE)).otherwise(F.lit(E.INVALID_DATE))
-        else:
-            kind = F.lit(policy_kind(f))
-        if f.is_temporal or f.type_name != "STRING":
-            entries.append((before[i] & bad[i], _issue(i, kind, text)))
+    flagged: list[Column] = []
+    for i, f in every:
+        if i in bad:
+            text = F.col(_t(i))
+            if f.is_temporal:
+                kind = F.when(is_blank(text), F.lit(E.EMPTY_DATE)).otherwise(F.lit(E.INVALID_DATE))
+            else:
+                kind = F.lit(policy_kind(f))
+            seen = bad[i] if before[i] is None else before[i] & bad[i]
+            entries.append((seen, _issue(i, kind, text)))
+            if not f.is_temporal and policy_kind(f) == E.ICT_DRIVEN:
+                flagged.append(seen)
         if not f.nullable:
-            missing = _final(i, f).isNull()
-            entries.append((missing, _issue(i, F.lit(E.NULL_VALUE), F.lit(None).cast("string"))))
-
-    flagged = [
-        before[i] & bad[i]
-        for i, f in enumerate(present)
-        if not f.is_temporal and policy_kind(f) == E.ICT_DRIVEN
-    ]
+            entries.append((_final(i, f).isNull(), _issue(i, F.lit(E.NULL_VALUE), F.lit(None).cast("string"))))
+
     return typed.select(
         *others,
-        *[_final(i, f).alias(f.name) for i, f in enumerate(present)],
+        *[_final(i, f).alias(f.name) for i, f in every],
         _collect(entries).alias(ISSUES),
-        (~alive).alias(DROPPED),
+        (F.lit(False) if alive is None else ~alive).alias(DROPPED),
         _sum(flagged).alias(FLAGS),
     )
 
@@ -92,7 +96,7 @@ def _v(i: int) -> str:
 def _value(text: Column, f: FieldSpec) -> Column:
     if f.is_temporal:
         return as_temporal(parse_first(text, f.date_patterns), f.type_name)
-    return safe_cast(text, f)
+    return text if f.type_name == "STRING" else text.try_cast(f.spark_type)
 
 
 def _final(i: int, f: FieldSpec) -> Column:
@@ -102,14 +106,6 @@ def _final(i: int, f: FieldSpec) -> Column:
     return value
 
 
-def _bad(i: int, f: FieldSpec) -> Column:
-    """A text is there but gave no value. For dates an empty text is a problem too."""
-    text, value = F.col(_t(i)), F.col(_v(i))
-    if f.is_temporal:
-        return text.isNotNull() & value.isNull()
-    return F.coalesce(~is_blank(text), F.lit(False)) & value.isNull()
-
-
 def _issue(i: int, kind: Column, raw: Column) -> Column:
     return F.struct(F.lit(i).alias("pos"), kind.alias("kind"), raw.alias("raw"))
 

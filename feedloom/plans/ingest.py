@@ -7,6 +7,7 @@ fixed: it depends neither on the number of columns nor on the number of files.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.filenames import name_parts, name_regex, received_name, stem
+from feedloom.functions.filenames import name_parts, received_name, stem
 from feedloom.operators import errors as E
 from feedloom.operators import gates
 from feedloom.operators.columns import (
@@ -23,12 +24,11 @@ from feedloom.operators.columns import (
     missing_column_errors,
     missing_columns,
     stamp,
-    trim_all,
 )
 from feedloom.operators.quality import duplicate_keys, empty_units
 from feedloom.operators.typing import type_rows
 from feedloom.plans.modes import next_state, rewrites
-from feedloom.session import staged
+from feedloom.session import staged, together, tune
 from feedloom.sinks import logs
 from feedloom.sinks.tables import TableStore
 from feedloom.sources import delimited, fixed_width
@@ -39,7 +39,6 @@ from feedloom.sources.listing import (
     list_files,
     load_units,
     match_pattern,
-    rejection,
     run_log_reason,
 )
 from feedloom.specs import EACH, FIRST, FULL_SNAPSHOT, MERGE, FeedSpec
@@ -68,30 +67,28 @@ def read_feed(
 
 def prepare(rows: DataFrame, spec: FeedSpec) -> DataFrame:
     """Aligned, trimmed and typed rows with their issues."""
-    aligned = align_to_string(rows, spec.columns)
-    if spec.trim:
-        internal = {c for c in aligned.columns if c.startswith("_")}
-        aligned = trim_all(aligned, [c for c in aligned.columns if c not in internal])
-    return type_rows(aligned, spec.fields)
+    tune(rows.sparkSession)
+    return type_rows(align_to_string(rows, spec.columns, trim=spec.trim), spec.fields)
 
 
 def judge(
     spec: FeedSpec,
     typed: DataFrame,
-    units: DataFrame,
+    files: DataFrame,
     missing: list[str] = (),
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
 ) -> Load:
     """Gates, policies and quality checks over staged rows.
 
-    ``typed`` comes from :func:`prepare`; ``units`` maps every listed file (``file_name``) to its
-    load unit. ``keep`` may write the small per-file results once; the rows are then only scanned
-    and filtered against tables of known size.
+    ``typed`` comes from :func:`prepare`; ``files`` lists what was to be loaded (``file_name``).
+    ``keep`` may write the small per-file results once; the rows are then only scanned and filtered
+    against tables of known size.
     """
     corrupt = gates.corrupt_counts(typed, FILE, CORRUPT)
     corrupt = keep(corrupt.withColumn("_gate", gates.too_corrupt(corrupt, spec.tolerance)), "corrupt")
     stopped = corrupt.where("_gate").select(F.col(FILE).alias("file_name"))
-    good_files = keep(units.select("file_name", "unit").join(stopped, "file_name", "left_anti"), "units")
+    remaining = files.select("file_name").join(stopped, "file_name", "left_anti")
+    good_files = load_units(remaining, spec.file_policy)
     sound = typed.join(
         good_files.select(F.col("file_name").alias(FILE), F.col("unit").alias(UNIT)), FILE
     )
@@ -102,9 +99,7 @@ def judge(
         .agg(F.sum("rows").alias("rows"))
     )
     counts = keep(gates.issue_counts(sound, UNIT), "issues")
-    verdicts = keep(
-        gates.unit_verdicts(gates.ict_columns(counts, sizes, spec.fields, UNIT), UNIT), "verdicts"
-    )
+    verdicts = gates.unit_verdicts(gates.ict_columns(counts, sizes, spec.fields, UNIT), UNIT)
     judged = gates.judge_rows(sound, verdicts, UNIT)
     accepted = judged.where("_kept")
 
@@ -116,7 +111,7 @@ def judge(
         duplicate_keys(accepted, spec.merge_keys, spec.table, UNIT),
     ]
     if missing:
-        frames.append(missing_column_errors(units, list(missing), spec.table, lenient=True))
+        frames.append(missing_column_errors(files, list(missing), spec.table, lenient=True))
     return Load(
         spec=spec,
         accepted=accepted,
@@ -192,9 +187,10 @@ def apply_load(
     if store.is_loaded(spec.table, load_id):
         return
     rows = batch_rows(load, processed if processed is not None else F.current_timestamp(), today)
-    store.add_history(spec.table, rows.drop(*internal), load_id)
+    history = rows.drop(*internal)
     if not rewrites(spec.mode):
-        store.append_current(spec.table, rows.drop(*internal), load_id)
+        store.add_history(spec.table, history, load_id)
+        store.append_current(spec.table, history, load_id)
         return
     if spec.mode == FULL_SNAPSHOT and spec.file_policy == EACH:
         # Files loaded one after the other: the last snapshot is what remains.
@@ -202,7 +198,12 @@ def apply_load(
     state = next_state(
         store.current(spec.table), rows, spec.mode, spec.merge_keys, spec.validity_column, tie_order(spec)
     )
-    store.replace_current(spec.table, state.drop(*internal), load_id)
+    version = store.next_version(spec.table)
+    together(
+        lambda: store.add_history(spec.table, history, load_id),
+        lambda: store.write_version(spec.table, version, state.drop(*internal), load_id),
+    )
+    store.commit(spec.table, version, load_id, "replace")
 
 
 def refused_names(spec: FeedSpec, files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -235,12 +236,12 @@ def ingest(
 ) -> None:
     """Load every matching file below ``path`` and write both logs."""
     started, load_id = time.time(), load_id or uuid.uuid4().hex
-    matched = check_names(
-        match_pattern(list_files(spark, path).select("file_name").distinct(), spec.filename_pattern)
-    )
+    # Written once: a table of known size, and the folder is listed a single time.
+    listed = match_pattern(list_files(spark, path).select("file_name").distinct(), spec.filename_pattern)
+    matched = staged(check_names(listed), f"files-{spec.table}")
     named_badly, failed = refused_names(spec, matched)
     valid = matched.where(F.col("reason").isNull())
-    chosen = load_units(choose(valid, spec.file_policy), spec.file_policy)
+    chosen = choose(valid, spec.file_policy).select("file_name")
 
     if chosen.isEmpty():
         text = "No file matching" if matched.isEmpty() else "All files rejected"
@@ -251,11 +252,7 @@ def ingest(
         _log(spec, named_badly, failed.unionByName(nothing, True), log_root, env, started)
         return
 
-    # Conditions on the file name alone: Spark leaves other files out when it lists the folder.
-    name = received_name(F.col("_metadata.file_path"))
-    accept = name.rlike(name_regex(spec.filename_pattern)) & rejection(name).isNull()
-    if spec.file_policy == FIRST:
-        accept = name == F.lit(chosen.first()["file_name"])
+    accept = name_filter(spec, chosen)
     raw = read_feed(spark, path, spec, accept)
     missing = missing_columns(raw, spec.columns)
     if missing and not spec.delete_columns_allowed:
@@ -267,15 +264,40 @@ def ingest(
         _log(spec, E.union_errors([named_badly, errors]), failed.unionByName(runs, True), log_root, env, started)
         return
 
-    typed = staged(prepare(raw, spec), f"stage-{spec.table}")
+    wanted = raw.join(chosen.withColumnRenamed("file_name", FILE), FILE, "left_semi")
+    typed = staged(prepare(wanted, spec), f"stage-{spec.table}")
     load = judge(spec, typed, chosen, missing, keep=lambda df, label: staged(df, f"{label}-{spec.table}"))
-    apply_load(load, store, load_id, today=today)
-    if spec.keep_rejects:
-        rejects = load.refused.select(F.lit(spec.table).alias("table_name"), FILE, *spec.columns)
-        logs.write_rejects(rejects, f"{log_root}/badrecords/{env}")
-    errors = staged(E.union_errors([named_badly, load.errors]), f"errors-{spec.table}")
-    runs = with_error_counts(load.runs, errors)
-    _log(spec, errors, failed.unionByName(runs, True), log_root, env, started)
+    errors = load.errors.unionByName(named_badly)
+
+    def write_logs() -> None:
+        found = staged(errors, f"errors-{spec.table}")
+        runs = with_error_counts(load.runs, found)
+        _log(spec, found, failed.unionByName(runs, True), log_root, env, started)
+
+    def write_rejects() -> None:
+        if spec.keep_rejects:
+            rejects = load.refused.select(F.lit(spec.table).alias("table_name"), FILE, *spec.columns)
+            logs.write_rejects(rejects, f"{log_root}/badrecords/{env}")
+
+    # Independent writes over the same staged rows: together they keep the executors busy while
+    # one of them waits for its last tasks.
+    together(
+        lambda: apply_load(load, store, load_id, today=today),
+        write_logs,
+        write_rejects,
+    )
+
+
+def name_filter(spec: FeedSpec, chosen: DataFrame) -> Column:
+    """A cheap condition on the file name, which Spark applies when it lists the folder.
+
+    It is also evaluated per row, so it is a plain comparison: the fixed start of the name pattern,
+    or the one name to be loaded. What else it lets through is left out by the list of files.
+    """
+    name = received_name(F.col("_metadata.file_path"))
+    if spec.file_policy == FIRST:
+        return name == F.lit(chosen.first()["file_name"])
+    return name.startswith(re.split(r"[<*]", spec.filename_pattern)[0])
 
 
 def _log(spec: FeedSpec, errors: DataFrame, runs: DataFrame, root: str, env: str, started: float) -> None:

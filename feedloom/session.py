@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _fallback: dict[str, str] = {}
@@ -22,12 +25,24 @@ def local_session(cores: int | str = 8, app: str = "feedloom", **conf: str) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Settings the typing of wide rows profits from, where the session has Spark's defaults.
+
+    The JVM never compiles methods above 8000 bytes. Below Spark's own limit of 65535 such methods
+    would run interpreted; with the lower limit Spark splits the work into smaller ones.
+    """
+    key, default, better = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, better)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
@@ -60,6 +75,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(*jobs: Callable[[], None]) -> None:
+    """Submit independent writes at the same time; the first failure is raised when all have ended."""
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for future in running:
+        future.result()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds anything Spark can list."""
     try:

@@ -90,10 +90,16 @@ class TableStore:
         write_partitioned(df, f"{self._version(name, version)}/load_id={load_id}", "overwrite")
         self.commit(name, version, load_id, "append")
 
-    def replace_current(self, name: str, df: DataFrame, load_id: str) -> None:
+    def next_version(self, name: str) -> int:
+        return self.current_version(name) + 1
+
+    def write_version(self, name: str, version: int, df: DataFrame, load_id: str) -> None:
         """New full state; it may be computed from the current one, which stays untouched."""
-        version = self.current_version(name) + 1
         write_partitioned(df, f"{self._version(name, version)}/load_id={load_id}", "overwrite")
+
+    def replace_current(self, name: str, df: DataFrame, load_id: str) -> None:
+        version = self.next_version(name)
+        self.write_version(name, version, df, load_id)
         self.commit(name, version, load_id, "replace")
 
     def register(self, name: str, database: str = "default") -> None:

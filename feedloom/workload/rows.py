@@ -10,6 +10,7 @@ from feedloom.operators import columns as cols
 from feedloom.operators import errors as E
 from feedloom.operators import gates, quality, typing
 from feedloom.plans import ingest
+from feedloom.session import fresh_dir, staged
 from feedloom.sinks import logs
 from feedloom.sources import delimited
 from feedloom.sources.delimited import CORRUPT, FILE
@@ -251,8 +252,6 @@ def policy_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("reject_rows", duck(f"SELECT 'orders' AS table_name, received AS file_name, order_id, qty_text AS raw_value FROM ({TYPED}) t WHERE qty IS NULL"))
 def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written to the reject folder and read back."""
-    from feedloom.session import fresh_dir
-
     rows = typed(spark, sf_dir, qty={"on_error": "REJECT"}).where(F.col(typing.DROPPED))
     shown = rows.select(
         F.lit("orders").alias("table_name"), F.col(FILE).alias("file_name"), "order_id",
@@ -441,9 +440,9 @@ _ERROR_ROWS = f"SELECT filename, column_name, error_message, raw_value, CAST(err
 def load_of(spark: SparkSession, sf_dir: str) -> ingest.Load:
     """The whole order feed judged, every file on its own, with all error rows kept."""
     spec = order_spec(max_logged_errors=None, file_policy="each")
-    rows = ingest.prepare(orders(spark, sf_dir), spec)
-    units = rows.select(F.col(FILE).alias("file_name")).distinct().withColumn("unit", F.col("file_name"))
-    return ingest.judge(spec, rows, units)
+    rows = staged(ingest.prepare(orders(spark, sf_dir), spec), "stage-orders")
+    files = rows.select(F.col(FILE).alias("file_name")).distinct()
+    return ingest.judge(spec, rows, files)
 
 
 @query("error_union", duck(_ERROR_ROWS))
@@ -460,8 +459,6 @@ def error_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appended to the log and read back."""
-    from feedloom.session import fresh_dir
-
     at = F.lit("2025-09-06 10:00:00").cast("timestamp")
     path = fresh_dir(spark, "quality")
     logs.append_log(logs.quality_rows(load_of(spark, sf_dir).errors, "orders", "internal", "dev", at), path)
@@ -481,8 +478,6 @@ def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def execution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appended to the log and read back."""
-    from feedloom.session import fresh_dir
-
     load = load_of(spark, sf_dir)
     at = F.lit("2025-09-06 10:00:00").cast("timestamp")
     path = fresh_dir(spark, "execution")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.observability import maintenance
 from feedloom.operators.columns import stamp
 from feedloom.plans import ingest
-from feedloom.session import fresh_dir, shared_dir
+from feedloom.session import fresh_dir
 from feedloom.sinks.tables import TableStore, read_table, write_partitioned
 from feedloom.sources.delimited import BLOCK, CORRUPT, FILE, PATH, ROW
 from feedloom.specs import DELTA_FROM_NON_HISTORIZED, NAMES, FeedSpec, FieldSpec
@@ -190,8 +190,8 @@ def staging_to_final(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.monotonically_increasing_id().alias(ROW),
         )
         typed = ingest.staged(ingest.prepare(rows, EVENT_SPEC), "stage-events")
-        units = typed.select(F.col(FILE).alias("file_name")).distinct().withColumn("unit", F.col("file_name"))
-        ingest.apply_load(ingest.judge(EVENT_SPEC, typed, units), store, load_id)
+        files = typed.select(F.col(FILE).alias("file_name")).distinct()
+        ingest.apply_load(ingest.judge(EVENT_SPEC, typed, files), store, load_id)
 
     source = feeds.events_csv(spark, sf_dir)
     stream.run_batches(stream.read_stream(spark, source, EVENT_SPEC), fresh_dir(spark, "checkpoint"), handle)
