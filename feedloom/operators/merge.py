@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,15 +17,23 @@ def comparable(df: DataFrame, column: str) -> DataFrame:
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first in ``order``; rows with a NULL in the key all stay.
+    """One row per key, the first in ``order``.
 
     Filtering rank 1 lets Spark limit every key on the map side, so a key repeated in a third of the
     batch reaches the shuffle once per task.
     """
-    complete = _all_set(keys)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    best = df.where(complete).withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
-    return best.unionByName(df.where(~complete))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
+def first_load(
+    batch: DataFrame, keys: Sequence[str], compare: str, tie: Sequence[Column] = ()
+) -> DataFrame:
+    """State of an empty table after a merge: newest row per key, and all rows with a NULL in it."""
+    typed = comparable(batch, compare)
+    order = [F.col(compare).desc_nulls_last(), *tie]
+    newest = newest_per_key(typed.where(all_set(keys)), keys, order)
+    return newest.unionByName(typed.where(~all_set(keys)))
 
 
 def merge_latest(
@@ -34,6 +42,7 @@ def merge_latest(
     keys: Sequence[str],
     compare: str,
     tie: Sequence[Column] = (),
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Newest-wins upsert.
 
@@ -43,32 +52,28 @@ def merge_latest(
 
     The target is decided row by row against at most one update, so it may repeat keys. It is
     scanned in full once and a second time for its key columns only; with a batch Spark can
-    broadcast, the target is not shuffled at all.
+    broadcast, the target is not shuffled at all. The batch reduced to one row per key is used three
+    times: ``keep`` may write it once.
     """
     shared = [c for c in target.columns if c in updates.columns]
     if compare not in shared:
         raise ValueError(f"compare column {compare!r} is missing on one side of the merge")
     typed = comparable(updates, compare)
-    newest = newest_per_key(typed, keys, [F.col(compare).desc_nulls_last(), *tie]).select(*shared)
-    known = comparable(target, compare) if compare in shared else target
-
-    new = newest.where(_all_set(keys)).select(
-        *[F.col(c).alias(_u(c)) for c in shared], F.lit(True).alias("_hit")
-    )
-    condition = _equal(keys)
-    newer = F.coalesce(F.col("_hit") & (F.col(_u(compare)) > F.col(compare)), F.lit(False))
-    state = known.join(new, condition, "left").select(
+    order = [F.col(compare).desc_nulls_last(), *tie]
+    newest = keep(newest_per_key(typed.where(all_set(keys)), keys, order).select(*shared))
+    keyless = typed.where(~all_set(keys)).select(*shared)
+    known = comparable(target, compare)
+
+    new = newest.select(*[F.col(c).alias(_u(c)) for c in shared])
+    newer = F.coalesce(F.col(_u(compare)) > F.col(compare), F.lit(False))
+    state = known.join(new, _equal(keys), "left").select(
         *[
             F.when(newer, F.col(_u(c))).otherwise(F.col(c)).alias(c) if c in shared else F.col(c)
             for c in target.columns
         ]
     )
-    known_keys = (
-        target.select(*keys)
-        .join(newest.where(_all_set(keys)).select(*keys), list(keys), "left_semi")
-        .distinct()
-    )
-    inserts = newest.join(known_keys, list(keys), "left_anti")
+    known_keys = target.select(*keys).join(newest.select(*keys), list(keys), "left_semi").distinct()
+    inserts = newest.join(known_keys, list(keys), "left_anti").unionByName(keyless)
     return state.unionByName(inserts, allowMissingColumns=True).select(*target.columns)
 
 
@@ -93,7 +98,7 @@ def _u(column: str) -> str:
     return f"_new_{column}"
 
 
-def _all_set(keys: Sequence[str]) -> Column:
+def all_set(keys: Sequence[str]) -> Column:
     condition = F.col(keys[0]).isNotNull()
     for k in keys[1:]:
         condition = condition & F.col(k).isNotNull()

@@ -196,7 +196,8 @@ def apply_load(
         # Files loaded one after the other: the last snapshot is what remains.
         rows = rows.where(F.col(FILE) == rows.agg(F.max(FILE)).scalar())
     state = next_state(
-        store.current(spec.table), rows, spec.mode, spec.merge_keys, spec.validity_column, tie_order(spec)
+        store.current(spec.table), rows, spec.mode, spec.merge_keys, spec.validity_column,
+        tie_order(spec), keep=lambda df: staged(df, f"newest-{spec.table}"),
     )
     version = store.next_version(spec.table)
     together(

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from feedloom.operators.columns import DATE_PARTS
-from feedloom.operators.merge import comparable, key_replace, merge_latest, newest_per_key
+from feedloom.operators.merge import first_load, key_replace, merge_latest
 from feedloom.specs import (
     DELTA_FROM_NON_HISTORIZED,
     FULL_KEY_REPLACE,
@@ -33,6 +32,7 @@ def next_state(
     validity: str | None = None,
     tie: Sequence[Column] = (),
     match: str = "all",
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Current table after a batch. ``batch`` carries the metadata columns."""
     mode = (mode or "").strip().upper()
@@ -43,12 +43,10 @@ def next_state(
     if last is None:
         if mode != DELTA_FROM_NON_HISTORIZED:
             return batch
-        # A first load has nothing to merge with, but the batch must not repeat keys.
-        compare = validity or PROCESSED
-        typed = comparable(batch, compare)
-        return newest_per_key(typed, keys, [F.col(compare).desc_nulls_last(), *tie])
+        # Nothing to merge with, but the batch must not repeat keys.
+        return first_load(batch, keys, validity or PROCESSED, tie)
     if mode == DELTA_FROM_NON_HISTORIZED:
-        return merge_latest(last, batch, keys, validity or PROCESSED, tie)
+        return merge_latest(last, batch, keys, validity or PROCESSED, tie, keep)
     if mode == FULL_KEY_REPLACE:
         return key_replace(last, batch, keys, match)
     if mode == PARTITION_REPLACE:

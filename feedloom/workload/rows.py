@@ -50,9 +50,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed(spark: SparkSession, sf_dir: str, **changes: dict) -> DataFrame:
-    """Typed order rows; every file is its own load unit."""
+    """Typed order rows, written once as in a load; every file is its own load unit."""
     spec = order_spec(fields=feeds.fields(**changes))
-    return ingest.prepare(orders(spark, sf_dir), spec).withColumn(UNIT, F.col(FILE))
+    rows = ingest.prepare(orders(spark, sf_dir), spec).withColumn(UNIT, F.col(FILE))
+    return staged(rows, "stage-orders")
 
 
 def verdicts_of(rows: DataFrame, fields) -> tuple[DataFrame, DataFrame]:
