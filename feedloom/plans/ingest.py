@@ -65,10 +65,15 @@ def read_feed(
     return reader.scan(spark, path, spec, accept)
 
 
-def prepare(rows: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Aligned, trimmed and typed rows with their issues."""
+def stage(rows: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Aligned, trimmed and typed rows with their issues, written to the shared folder.
+
+    Everything downstream filters on the issues. Over written rows these are plain columns; over the
+    lazy projection Spark would copy all the typing expressions into every one of those filters.
+    """
     tune(rows.sparkSession)
-    return type_rows(align_to_string(rows, spec.columns, trim=spec.trim), spec.fields)
+    aligned = align_to_string(rows, spec.columns, trim=spec.trim)
+    return staged(type_rows(aligned, spec.fields), f"stage-{spec.table}")
 
 
 def judge(
@@ -80,7 +85,7 @@ def judge(
 ) -> Load:
     """Gates, policies and quality checks over staged rows.
 
-    ``typed`` comes from :func:`prepare`; ``files`` lists what was to be loaded (``file_name``).
+    ``typed`` comes from :func:`stage`; ``files`` lists what was to be loaded (``file_name``).
     ``keep`` may write the small per-file results once; the rows are then only scanned and filtered
     against tables of known size.
     """
@@ -266,7 +271,7 @@ def ingest(
         return
 
     wanted = raw.join(chosen.withColumnRenamed("file_name", FILE), FILE, "left_semi")
-    typed = staged(prepare(wanted, spec), f"stage-{spec.table}")
+    typed = stage(wanted, spec)
     load = judge(spec, typed, chosen, missing, keep=lambda df, label: staged(df, f"{label}-{spec.table}"))
     errors = load.errors.unionByName(named_badly)
 

@@ -10,7 +10,7 @@ from feedloom.operators import columns as cols
 from feedloom.operators import errors as E
 from feedloom.operators import gates, quality, typing
 from feedloom.plans import ingest
-from feedloom.session import fresh_dir, staged
+from feedloom.session import fresh_dir
 from feedloom.sinks import logs
 from feedloom.sources import delimited
 from feedloom.sources.delimited import CORRUPT, FILE
@@ -52,8 +52,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed(spark: SparkSession, sf_dir: str, **changes: dict) -> DataFrame:
     """Typed order rows, written once as in a load; every file is its own load unit."""
     spec = order_spec(fields=feeds.fields(**changes))
-    rows = ingest.prepare(orders(spark, sf_dir), spec).withColumn(UNIT, F.col(FILE))
-    return staged(rows, "stage-orders")
+    return ingest.stage(orders(spark, sf_dir), spec).withColumn(UNIT, F.col(FILE))
 
 
 def verdicts_of(rows: DataFrame, fields) -> tuple[DataFrame, DataFrame]:
@@ -441,7 +440,7 @@ _ERROR_ROWS = f"SELECT filename, column_name, error_message, raw_value, CAST(err
 def load_of(spark: SparkSession, sf_dir: str) -> ingest.Load:
     """The whole order feed judged, every file on its own, with all error rows kept."""
     spec = order_spec(max_logged_errors=None, file_policy="each")
-    rows = staged(ingest.prepare(orders(spark, sf_dir), spec), "stage-orders")
+    rows = ingest.stage(orders(spark, sf_dir), spec)
     files = rows.select(F.col(FILE).alias("file_name")).distinct()
     return ingest.judge(spec, rows, files)
 

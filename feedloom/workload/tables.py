@@ -189,7 +189,7 @@ def staging_to_final(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("FILE_PATH_RECEIVED").alias(PATH), F.lit(0).cast("long").alias(BLOCK),
             F.monotonically_increasing_id().alias(ROW),
         )
-        typed = ingest.staged(ingest.prepare(rows, EVENT_SPEC), "stage-events")
+        typed = ingest.stage(rows, EVENT_SPEC)
         files = typed.select(F.col(FILE).alias("file_name")).distinct()
         ingest.apply_load(ingest.judge(EVENT_SPEC, typed, files), store, load_id)
 
