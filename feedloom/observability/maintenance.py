@@ -15,7 +15,8 @@ from feedloom.sources.listing import list_files
 
 def compact(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite a table in files of even size; the rows stay the same."""
-    write_partitioned(spark.read.option("mergeSchema", "true").parquet(source), target, "overwrite")
+    rows = spark.read.option("mergeSchema", "true").parquet(source)
+    write_partitioned(rows, target, "overwrite", scattered=True)
 
 
 def cluster(spark: SparkSession, source: str, target: str, columns: Sequence[str]) -> None:

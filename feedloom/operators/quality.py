@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators import errors as E
@@ -19,10 +20,8 @@ def data_columns(df: DataFrame) -> list[str]:
 
 def filled_rows(df: DataFrame, unit: str, columns: Sequence[str]) -> DataFrame:
     """Rows per unit, and how many have a value in any data column. One aggregate for all columns."""
-    return df.groupBy(unit).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.coalesce(*[F.col(c).cast("string") for c in columns])).alias("filled"),
-    )
+    some = reduce(Column.__or__, [F.col(c).isNotNull() for c in columns])
+    return df.groupBy(unit).agg(F.count(F.lit(1)).alias("rows"), F.count_if(some).alias("filled"))
 
 
 def empty_units(units: DataFrame, accepted: DataFrame, unit: str, columns: Sequence[str], table: str) -> DataFrame:

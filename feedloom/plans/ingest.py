@@ -20,6 +20,7 @@ from feedloom.functions.filenames import name_parts, received_name, stem
 from feedloom.operators import errors as E
 from feedloom.operators import gates
 from feedloom.operators.columns import (
+    DATE_PARTS,
     align_to_string,
     missing_column_errors,
     missing_columns,
@@ -43,7 +44,7 @@ from feedloom.sources.listing import (
 )
 from feedloom.specs import EACH, FIRST, FULL_SNAPSHOT, MERGE, FeedSpec
 
-UNIT = "_unit"
+UNIT, STEM = "_unit", "_stem"
 ORDER = (PATH, BLOCK, ROW)
 
 
@@ -93,14 +94,12 @@ def judge(
     corrupt = keep(corrupt.withColumn("_gate", gates.too_corrupt(corrupt, spec.tolerance)), "corrupt")
     stopped = corrupt.where("_gate").select(F.col(FILE).alias("file_name"))
     remaining = files.select("file_name").join(stopped, "file_name", "left_anti")
-    good_files = load_units(remaining, spec.file_policy)
-    sound = typed.join(
-        good_files.select(F.col("file_name").alias(FILE), F.col("unit").alias(UNIT)), FILE
-    )
+    good_files = file_facts(remaining, spec.file_policy)
+    sound = typed.join(good_files, FILE)
 
     sizes = (
-        corrupt.join(good_files.withColumnRenamed("file_name", FILE), FILE)
-        .groupBy(F.col("unit").alias(UNIT))
+        corrupt.join(good_files.select(FILE, UNIT), FILE)
+        .groupBy(UNIT)
         .agg(F.sum("rows").alias("rows"))
     )
     counts = keep(gates.issue_counts(sound, UNIT), "issues")
@@ -108,7 +107,7 @@ def judge(
     judged = gates.judge_rows(sound, verdicts, UNIT)
     accepted = judged.where("_kept")
 
-    unit_names = good_files.select(F.col("unit").alias(UNIT)).distinct()
+    unit_names = good_files.select(UNIT).distinct()
     frames = [
         gates.policy_errors(judged, counts, verdicts, spec.fields, spec.table, UNIT, ORDER,
                             spec.max_logged_errors),
@@ -126,6 +125,22 @@ def judge(
     )
 
 
+def file_facts(files: DataFrame, policy: str) -> DataFrame:
+    """What rows take from the name of their file, worked out once per file instead of per row."""
+    units = load_units(files, policy)
+    source = F.col("file_name")
+    if policy == MERGE:
+        # Merged files are stored under the name and date of the first one.
+        source = files.agg(F.min("file_name")).scalar()
+    named = units.withColumn("_source", source)
+    return named.select(
+        F.col("file_name").alias(FILE),
+        F.col("unit").alias(UNIT),
+        stem(F.col("_source")).alias(STEM),
+        *[v.alias(f"_{k}") for k, v in name_parts(F.col("_source")).items()],
+    )
+
+
 def run_rows(spec: FeedSpec, units: DataFrame, accepted: DataFrame, corrupt: DataFrame) -> DataFrame:
     """Outcome of every unit: rows kept, and the files refused as too corrupt."""
     kept = accepted.groupBy(UNIT).agg(F.count(F.lit(1)).alias("row_count"))
@@ -167,12 +182,9 @@ def describe(spec: FeedSpec) -> list[Column]:
 
 def batch_rows(load: Load, processed: Column, today: Column | None = None) -> DataFrame:
     """Accepted rows with the metadata columns of the tables."""
-    source = F.col(FILE)
-    if load.spec.file_policy == MERGE:
-        source = load.accepted.agg(F.min(FILE)).scalar()
-    rows = load.accepted.select(*load.spec.columns, *ORDER, source.alias(FILE))
-    stamped = stamp(rows, stem(F.col(FILE)), processed, name_parts(F.col(FILE)), today)
-    return stamped
+    parts = {p: F.col(f"_{p}") for p in DATE_PARTS}
+    rows = load.accepted.select(*load.spec.columns, FILE, *ORDER, STEM, *[f"_{p}" for p in DATE_PARTS])
+    return stamp(rows, F.col(STEM), processed, parts, today).drop(STEM, *[f"_{p}" for p in DATE_PARTS])
 
 
 def tie_order(spec: FeedSpec) -> list[Column]:
@@ -207,7 +219,9 @@ def apply_load(
     version = store.next_version(spec.table)
     together(
         lambda: store.add_history(spec.table, history, load_id),
-        lambda: store.write_version(spec.table, version, state.drop(*internal), load_id),
+        lambda: store.write_version(
+            spec.table, version, state.drop(*internal), load_id, scattered=spec.mode != FULL_SNAPSHOT
+        ),
     )
     store.commit(spec.table, version, load_id, "replace")
 

@@ -21,15 +21,19 @@ COMMITS = "version int, load_id string, action string"
 ROWS_PER_FILE = 1_000_000  # Fixed value: rows a written file should not exceed.
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "append", parts=DATE_PARTS) -> None:
-    """Partitioned Parquet. File sizes follow from the data: no count, no fixed partition number.
-
-    ``rebalance`` gathers the rows of small partitions and splits large ones, so neither many tiny
-    files nor one task for the one date of a batch.
+def write_partitioned(
+    df: DataFrame, path: str, mode: str = "append", scattered: bool = False, parts=DATE_PARTS
+) -> None:
+    """Partitioned Parquet, with no count and no fixed partition number.
+
+    Rows fresh from files come date by date, so tasks write what they hold and nothing is shuffled.
+    ``scattered`` rows, as after a join, would make every task write to every date: those are
+    rebalanced by date first, which also splits a date that is too large for one task.
     """
     by = [p for p in parts if p in df.columns]
     ready = metadata_first(dedup_columns(df))
-    ready = ready.hint("rebalance", *[F.col(p) for p in by])
+    if scattered:
+        ready = ready.hint("rebalance", *[F.col(p) for p in by])
     writer = ready.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
@@ -93,13 +97,16 @@ class TableStore:
     def next_version(self, name: str) -> int:
         return self.current_version(name) + 1
 
-    def write_version(self, name: str, version: int, df: DataFrame, load_id: str) -> None:
+    def write_version(
+        self, name: str, version: int, df: DataFrame, load_id: str, scattered: bool = True
+    ) -> None:
         """New full state; it may be computed from the current one, which stays untouched."""
-        write_partitioned(df, f"{self._version(name, version)}/load_id={load_id}", "overwrite")
+        path = f"{self._version(name, version)}/load_id={load_id}"
+        write_partitioned(df, path, "overwrite", scattered)
 
-    def replace_current(self, name: str, df: DataFrame, load_id: str) -> None:
+    def replace_current(self, name: str, df: DataFrame, load_id: str, scattered: bool = True) -> None:
         version = self.next_version(name)
-        self.write_version(name, version, df, load_id)
+        self.write_version(name, version, df, load_id, scattered)
         self.commit(name, version, load_id, "replace")
 
     def register(self, name: str, database: str = "default") -> None:
