@@ -37,6 +37,7 @@ from feedloom.sources.delimited import BLOCK, CORRUPT, FILE, PATH, ROW
 from feedloom.sources.listing import (
     check_names,
     choose,
+    empty_files,
     list_files,
     load_units,
     match_pattern,
@@ -223,7 +224,8 @@ def apply_load(
             spec.table, version, state.drop(*internal), load_id, scattered=spec.mode != FULL_SNAPSHOT
         ),
     )
-    store.commit(spec.table, version, load_id, "replace")
+    current = state.drop(*internal).schema
+    store.commit(spec.table, version, load_id, "replace", history.schema, current)
 
 
 def refused_names(spec: FeedSpec, files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -260,6 +262,8 @@ def ingest(
     listed = match_pattern(list_files(spark, path).select("file_name").distinct(), spec.filename_pattern)
     matched = staged(check_names(listed), f"files-{spec.table}")
     named_badly, failed = refused_names(spec, matched)
+    if not spec.ignore_empty:
+        named_badly = named_badly.unionByName(empty_deliveries(spark, path, spec))
     valid = matched.where(F.col("reason").isNull())
     chosen = choose(valid, spec.file_policy).select("file_name")
 
@@ -308,6 +312,33 @@ def ingest(
     )
 
 
+def empty_deliveries(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
+    """FILE_EMPTY for matching files without a byte, which a scan does not even see."""
+    empty = match_pattern(empty_files(spark, path), spec.filename_pattern)
+    return empty.select(*E.error_row(spec.table, F.col("file_name"), "ALL_COLUMNS", E.FILE_EMPTY))
+
+
+def ingest_feeds(
+    spark: SparkSession, path: str, specs: dict[str, FeedSpec], store: TableStore, log_root: str, env: str = "dev"
+) -> dict[str, str]:
+    """Every configured feed in turn; a feed that fails is logged and does not stop the others."""
+    outcome = {}
+    for table, spec in specs.items():
+        started = time.time()
+        try:
+            ingest(spark, path, spec, store, log_root, env)
+            outcome[table] = "DONE"
+        except Exception as problem:  # noqa: BLE001 - one broken feed must not lose the rest
+            outcome[table] = f"Ingestion error: {str(problem).splitlines()[0]}"
+            failed = spark.range(1).select(
+                *describe(spec), F.lit("N/A").alias("filename"), F.lit(outcome[table]).alias("error_message"),
+                F.lit(logs.FAILED).alias("status"),
+            )
+            timed = failed.withColumn("duration", F.lit(round(time.time() - started, 2)))
+            logs.append_log(logs.execution_rows(timed, env), f"{log_root}/execution")
+    return outcome
+
+
 def name_filter(spec: FeedSpec, chosen: DataFrame) -> Column:
     """A cheap condition on the file name, which Spark applies when it lists the folder.
 

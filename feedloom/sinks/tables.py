@@ -8,16 +8,19 @@ Each load writes its own ``load_id`` folder in overwrite mode, so a retried load
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.operators.columns import DATE_PARTS, dedup_columns, metadata_first
 from feedloom.session import path_exists
 
-COMMITS = "version int, load_id string, action string"
+COMMITS = "at long, version int, load_id string, action string, history string, current string"
 ROWS_PER_FILE = 1_000_000  # Fixed value: rows a written file should not exceed.
 
 
@@ -38,6 +41,14 @@ def write_partitioned(
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Additive evolution: known columns keep their type, new ones are added at the end."""
+    if old is None:
+        return new
+    known = {f.name.lower() for f in old}
+    return T.StructType([*old, *[f for f in new if f.name.lower() not in known]])
+
+
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Table with additive schema changes merged; the load folder is not part of the rows."""
     return spark.read.option("mergeSchema", "true").parquet(path).drop("load_id")
@@ -62,29 +73,47 @@ class TableStore:
                 return None
             raise
 
-    def current_version(self, name: str) -> int:
+    def last_commit(self, name: str) -> Row | None:
         commits = self._commits(name)
         if commits is None:
-            return 0
-        return commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+            return None
+        last = commits.agg(F.max(F.struct("version", "at", "history", "current")).alias("c")).first()
+        return last["c"]
+
+    def current_version(self, name: str) -> int:
+        last = self.last_commit(name)
+        return last["version"] if last else 0
 
     def is_loaded(self, name: str, load_id: str) -> bool:
         commits = self._commits(name)
         return commits is not None and not commits.where(F.col("load_id") == load_id).isEmpty()
 
-    def commit(self, name: str, version: int, load_id: str, action: str) -> None:
-        row = self.spark.createDataFrame([(version, load_id, action)], COMMITS)
+    def commit(
+        self, name: str, version: int, load_id: str, action: str,
+        history: T.StructType, current: T.StructType,
+    ) -> None:
+        """Puts a load in force. The schemas of both tables are kept here, so that reading a table
+        does not have to open the footers of its files."""
+        last = self.last_commit(name)
+        before = _schemas(last) if last else (None, None)
+        kept = before[1] if action == "append" else None
+        schemas = [merged_schema(before[0], history).json(), merged_schema(kept, current).json()]
+        row = self.spark.createDataFrame([(time.time_ns(), version, load_id, action, *schemas)], COMMITS)
         row.coalesce(1).write.mode("append").json(f"{self.root}/{name}_commits")
 
     def history(self, name: str) -> DataFrame | None:
-        return self._read(self._history(name))
+        last = self.last_commit(name)
+        return self._read(self._history(name), _schemas(last)[0]) if last else None
 
     def current(self, name: str) -> DataFrame | None:
-        version = self.current_version(name)
-        return self._read(self._version(name, version)) if version else None
+        last = self.last_commit(name)
+        return self._read(self._version(name, last["version"]), _schemas(last)[1]) if last else None
 
-    def _read(self, path: str) -> DataFrame | None:
-        return read_table(self.spark, path) if path_exists(self.spark, path) else None
+    def _read(self, path: str, schema: T.StructType) -> DataFrame:
+        # An empty load writes no date folder; nothing to list then.
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     def add_history(self, name: str, df: DataFrame, load_id: str) -> None:
         write_partitioned(df, f"{self._history(name)}/load_id={load_id}", "overwrite")
@@ -92,7 +121,7 @@ class TableStore:
     def append_current(self, name: str, df: DataFrame, load_id: str) -> None:
         version = max(self.current_version(name), 1)
         write_partitioned(df, f"{self._version(name, version)}/load_id={load_id}", "overwrite")
-        self.commit(name, version, load_id, "append")
+        self.commit(name, version, load_id, "append", df.schema, df.schema)
 
     def next_version(self, name: str) -> int:
         return self.current_version(name) + 1
@@ -107,10 +136,20 @@ class TableStore:
     def replace_current(self, name: str, df: DataFrame, load_id: str, scattered: bool = True) -> None:
         version = self.next_version(name)
         self.write_version(name, version, df, load_id, scattered)
-        self.commit(name, version, load_id, "replace")
+        self.commit(name, version, load_id, "replace", df.schema, df.schema)
 
-    def register(self, name: str, database: str = "default") -> None:
-        """Catalog entries for both tables of a feed."""
+    def register(self, name: str) -> None:
+        """Views over both tables of a feed."""
         for suffix, df in (("all", self.history(name)), ("last", self.current(name))):
             if df is not None:
                 df.createOrReplaceTempView(f"{name}_{suffix}")
+
+
+def _schemas(commit: Row) -> tuple[T.StructType, T.StructType]:
+    return tuple(T.StructType.fromJson(json.loads(commit[side])) for side in ("history", "current"))
+
+
+def catalog_tables(spark: SparkSession, *suffixes: str, database: str | None = None) -> dict[str, DataFrame]:
+    """Catalog tables whose names end in one of the suffixes (``_all``, ``_last``, ``_staging``)."""
+    found = spark.catalog.listTables(database) if database else spark.catalog.listTables()
+    return {t.name: spark.table(t.name) for t in found if t.name.endswith(suffixes)}

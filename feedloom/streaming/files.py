@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.filenames import belongs_to, received_name, stream_name_parts
-from feedloom.sources.delimited import CORRUPT, csv_options
-from feedloom.specs import NAMES, FeedSpec
+from feedloom.observability.reports import table_inventory
+from feedloom.sources.delimited import CORRUPT, csv_options, first_line
+from feedloom.sources.listing import by_feed, list_files, match_config
+from feedloom.specs import NAMES, FeedSpec, FieldSpec
 
 FILES_PER_BATCH = 10_000
 STREAM_META = ("FILE_NAME_RECEIVED", "FILE_PATH_RECEIVED", "yyyy", "mm", "dd", "INGESTION_TIMESTAMP")
@@ -83,11 +85,22 @@ def run_into_staging(stream: DataFrame, target: str, checkpoint: str) -> StreamR
 def run_batches(
     stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, str], None]
 ) -> StreamResult:
-    """Hand every micro-batch to a batch load, with a load id that is the same on a retry."""
+    """Hand every micro-batch to a batch load, with a load id that is the same on a retry.
+
+    The id is made of the query id, which lives in the checkpoint, and the batch number: another
+    checkpoint starts again from number zero but under another id.
+    """
     counter = Counter(stream.sparkSession)
+
+    def on_batch(batch: DataFrame, epoch: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("a micro-batch without the id of its query")
+        handle(batch, f"{query_id}-{epoch:09d}")
+
     query = (
         stream.observe(counter.name, F.count(F.lit(1)).alias("rows"))
-        .writeStream.foreachBatch(lambda df, epoch: handle(df, f"stream-{epoch:09d}"))
+        .writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -114,8 +127,32 @@ class Counter:
         return StreamResult("SUCCESS" if rows else "NO_DATA", rows, batches)
 
 
+def stream_feeds(
+    spark: SparkSession, source: str, specs: dict[str, FeedSpec], root: str
+) -> dict[str, StreamResult]:
+    """Every feed found below ``source`` into its own staging table under ``root``.
+
+    A feed without a configuration is read with the names of its header. The loop runs over feeds,
+    of which there are as many as configured tables; each stream is spread by Spark.
+    """
+    found = by_feed(list_files(spark, source, "*.[cC][sS][vV]")).select(F.col("feed").alias("name"))
+    config = spark.createDataFrame(list(enumerate(specs)), "position int, table_name string")
+    results = {}
+    for row in match_config(found, config, "substring").collect():
+        spec = specs.get(row["table_name"]) or _from_header(spark, source, row["name"])
+        rows = read_stream(spark, source, spec.with_(table=row["name"]))
+        results[row["name"]] = run_into_staging(
+            rows, f"{root}/{spec.table}_staging", f"{root}/checkpoints/{row['name']}"
+        )
+    return results
+
+
+def _from_header(spark: SparkSession, source: str, feed: str) -> FeedSpec:
+    spec = FeedSpec(feed, header=NAMES, imposed=False)
+    mine = belongs_to(received_name(F.col("_metadata.file_path")), feed)
+    return spec.with_(fields=tuple(FieldSpec(n) for n in first_line(spark, spec, source, mine)))
+
+
 def staging_stats(staging: dict[str, DataFrame]) -> DataFrame:
     """Rows and source files of every staging table."""
-    from feedloom.observability.reports import table_inventory
-
     return table_inventory(staging).select("table_name", "rows", "sources")

@@ -167,3 +167,28 @@ def test_month_panels_read_one_partition(place):
     for df in (panel, reports.today_details(log, "2025-03-03"), dashboards.daily_trend(log, "2025-12-03", 1)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: []" not in plan and "PartitionFilters" in plan
+
+
+def test_feeds_in_turn_and_empty_files(place, rows):
+    place.put(site_20250902_120001=lines(2), site_20250903_120001="", bad_20250902=lines(1))
+    specs = {
+        "bad": SITE.with_(table="bad", filename_pattern="bad_<yyyy><mm><dd>.csv", mode="FULL_KEY_REPLACE", fields=FIELDS[1:]),
+        "site": SITE.with_(ignore_empty=False),
+    }
+    from feedloom.plans.ingest import ingest_feeds
+
+    done = ingest_feeds(place.spark, str(place.root / "in"), specs, place.store, str(place.root / "logs"))
+    assert done["site"] == "DONE" and "needs merge keys" in done["bad"]
+    assert ("bad", "FAILED", done["bad"]) in rows(place.runs(), "table_name", "status", "error_message")
+    assert ("site_20250903_120001.csv", "FILE_EMPTY") in rows(place.errors(), "filename", "error_kind")
+    assert place.store.current("site").count() == 2
+
+
+def test_new_columns_are_added(place, rows):
+    place.put("a", site_20250902_120001=lines(1))
+    place.load(SITE.with_(mode="DELTA_FROM_FLOW"), "one", "a")
+    wider = (*FIELDS, FieldSpec("extra"))
+    place.put("b", site_20250903_120001="5,n,1,02/09/2025,e\n")
+    place.load(SITE.with_(mode="DELTA_FROM_FLOW", fields=wider), "two", "b")
+    for table in (place.store.current("site"), place.store.history("site")):
+        assert rows(table, "id", "extra") == [(0, None), (5, "e")]

@@ -20,3 +20,23 @@ def test_only_new_files_are_read(spark, tmp_path, rows):
         ("1", "a", "site_20250902_120001.csv", 2025, 9, 2), ("2", "b", "site_20250902_120001.csv", 2025, 9, 2), ("3", "c", "site.csv", None, None, None)
     ]
     assert rows(stream.staging_stats({"site_staging": back})) == [("site_staging", 3, 2)]
+
+
+def test_feeds_are_discovered_and_matched(spark, tmp_path, rows):
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "site_20250902_120001.csv").write_text("ID,Name\n1,a\n")
+    (tmp_path / "in" / "deep" / "other_20250902.csv").write_text("X,Y,Z\n1,2,3\n4,5,6\n")
+    (tmp_path / "in" / "notes.txt").write_text("no feed\n")
+    results = stream.stream_feeds(spark, str(tmp_path / "in"), {"site": SPEC}, str(tmp_path / "out"))
+    assert {k: (v.status, v.rows) for k, v in results.items()} == {"site": ("SUCCESS", 1), "other": ("SUCCESS", 2)}
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "other_staging")), "x", "z") == [("1", "3"), ("4", "6")]
+
+
+def test_load_ids_differ_between_checkpoints(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "site_1.csv").write_text("ID,Name\n1,a\n")
+    seen = []
+    for state in ("a", "b", "a"):
+        rows = stream.read_stream(spark, str(tmp_path / "in"), SPEC)
+        stream.run_batches(rows, str(tmp_path / state), lambda df, load_id: seen.append(load_id))
+    assert len(seen) == 2 and seen[0] != seen[1] and all(s.endswith("-000000000") for s in seen)
