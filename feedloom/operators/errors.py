@@ -30,8 +30,6 @@ FILE_EMPTY, DUPLICATE_KEY = "FILE_EMPTY", "DUPLICATE_KEY"
 # A nullable column whose text could not be typed: counted, never logged.
 NULLED = "NULLED"
 
-# Spark pre-limits ranked groups on the map side up to this rank (its default threshold).
-MAP_SIDE_LIMIT = 1000
 CAP_SALTS = 32
 
 
@@ -62,10 +60,6 @@ def null_message(column: Column) -> Column:
     return F.concat(F.lit("NULL_VALUE: Column '"), column, F.lit("' does not allow null"))
 
 
-def mismatch_message(expected: str, value: Column) -> Column:
-    return F.concat(F.lit(f"TYPE MISMATCH: Expected {expected}, found: '"), value, F.lit("'"))
-
-
 def union_errors(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [f.select(*ERROR_COLUMNS) for f in frames])
 

@@ -47,6 +47,9 @@ from feedloom.specs import EACH, FIRST, FULL_SNAPSHOT, MERGE, FeedSpec
 
 UNIT, STEM = "_unit", "_stem"
 ORDER = (PATH, BLOCK, ROW)
+# A list of up to this many file names is broadcast (about a hundred bytes each); a longer one is
+# joined by shuffle.
+BROADCAST_FILES = 500_000
 
 
 @dataclass
@@ -84,18 +87,20 @@ def judge(
     files: DataFrame,
     missing: list[str] = (),
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
+    small: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Load:
     """Gates, policies and quality checks over staged rows.
 
     ``typed`` comes from :func:`stage`; ``files`` lists what was to be loaded (``file_name``).
     ``keep`` may write the small per-file results once; the rows are then only scanned and filtered
-    against tables of known size.
+    against tables of known size. ``small`` may mark tables with at most a row per file for
+    broadcast, when the caller knows how many files there are.
     """
     corrupt = gates.corrupt_counts(typed, FILE, CORRUPT)
     corrupt = keep(corrupt.withColumn("_gate", gates.too_corrupt(corrupt, spec.tolerance)), "corrupt")
     stopped = corrupt.where("_gate").select(F.col(FILE).alias("file_name"))
     remaining = files.select("file_name").join(stopped, "file_name", "left_anti")
-    good_files = file_facts(remaining, spec.file_policy)
+    good_files = small(file_facts(remaining, spec.file_policy))
     sound = typed.join(good_files, FILE)
 
     sizes = (
@@ -105,7 +110,7 @@ def judge(
     )
     counts = keep(gates.issue_counts(sound, UNIT), "issues")
     verdicts = gates.unit_verdicts(gates.ict_columns(counts, sizes, spec.fields, UNIT), UNIT)
-    judged = gates.judge_rows(sound, verdicts, UNIT)
+    judged = gates.judge_rows(sound, small(verdicts), UNIT)
     accepted = judged.where("_kept")
 
     unit_names = good_files.select(UNIT).distinct()
@@ -267,7 +272,9 @@ def ingest(
     valid = matched.where(F.col("reason").isNull())
     chosen = choose(valid, spec.file_policy).select("file_name")
 
-    if chosen.isEmpty():
+    files = chosen.count()
+    small = F.broadcast if files <= BROADCAST_FILES else (lambda df: df)
+    if files == 0:
         text = "No file matching" if matched.isEmpty() else "All files rejected"
         nothing = spark.range(1).select(
             *describe(spec), F.lit("N/A").alias("filename"), F.lit(text).alias("error_message"),
@@ -288,9 +295,11 @@ def ingest(
         _log(spec, E.union_errors([named_badly, errors]), failed.unionByName(runs, True), log_root, env, started)
         return
 
-    wanted = raw.join(chosen.withColumnRenamed("file_name", FILE), FILE, "left_semi")
+    wanted = raw.join(small(chosen.withColumnRenamed("file_name", FILE)), FILE, "left_semi")
     typed = stage(wanted, spec)
-    load = judge(spec, typed, chosen, missing, keep=lambda df, label: staged(df, f"{label}-{spec.table}"))
+    load = judge(
+        spec, typed, chosen, missing, keep=lambda df, label: staged(df, f"{label}-{spec.table}"), small=small
+    )
     errors = load.errors.unionByName(named_badly)
 
     def write_logs() -> None:
