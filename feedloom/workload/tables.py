@@ -40,7 +40,8 @@ def _stored(spark: SparkSession, sf_dir: str) -> str:
 def table_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = _lines(spark, sf_dir), fresh_dir(spark, "table")
     parts = {p: F.col(p) for p in ("yyyy", "mm", "dd")}
-    write_partitioned(stamp(rows, F.lit("lineitem"), F.lit("2025-09-06 10:00:00"), parts), path)
+    stamped = stamp(rows, F.lit("lineitem"), F.lit("2025-09-06 10:00:00"), parts)
+    write_partitioned(stamped, path, scattered=True)
     return read_table(spark, path)
 
 
