@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from feedloom.workload.registry import TABLES
+from feedloom.workload.registry import QUERIES, TABLES
 from tools.check_oracles import rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +18,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
