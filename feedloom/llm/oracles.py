@@ -64,3 +64,53 @@ decided AS (
     LEFT JOIN cuts c ON c.src = d.src)
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM decided
 """
+
+# The templates once more, as expressions over the words of a text joined by single spaces.
+_LICENSE_FORMS = {
+    "apache-2.0-notice": " licensed under (the terms of )?the apache (software )?license version 2 ",
+    "apache-2.0-header": " you may not use this (file|work|software) except in compliance with the license you may obtain "
+    "a copy of the license at ([^ ]+ ){1,12}unless required by applicable law or agreed to in writing software "
+    "distributed under the license is distributed on an as is basis without warranties or conditions of any kind "
+    "either express or implied ",
+    "cc-by-nc-4.0-notice": " licensed under (a )?(the )?(creative commons )?(cc|attribution) (by )?(nc|noncommercial) 4 ",
+    "gpl-notice": " (program|work|software|project|library|file) is (free software )?(released )?licensed under "
+    "(the terms of )?the gnu general public license ",
+    "isc-text": " permission to use copy modify and or distribute this software for any purpose with or without fee is "
+    "hereby granted provided that the above copyright notice and this permission notice appear in all copies ",
+    "mit-notice": " (released|licensed|distributed|available) under (the terms of )?the mit license ",
+    "mit-text": " permission is hereby granted free of charge to any person obtaining a copy of this software and "
+    "associated documentation files the software to deal in the software without restriction including without "
+    "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software "
+    "and to permit persons to whom the software is furnished to do so subject to the following conditions the above "
+    "copyright notice and this permission notice (including the next paragraph )?shall be included in all copies or "
+    "substantial portions of the software ",
+}
+_ACCEPTED = ", ".join(
+    f"CASE WHEN regexp_matches(norm, '{form}') THEN '{label}' END" for label, form in _LICENSE_FORMS.items()
+)
+LICENSES = rf"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents),
+n AS (SELECT *, len(words) AS n, ' ' || array_to_string(words, ' ') || ' ' AS norm FROM w),
+p AS (
+    SELECT *, list_filter(range(n), lambda i: words[i + 1] = 'mit' AND words[i + 2] = 'license') AS mit,
+           list_filter(range(n), lambda i: words[i + 1] = 'apache' AND words[i + 2] = 'license') AS apache,
+           list_filter(range(n), lambda i: words[i + 1] = 'general' AND words[i + 2] = 'public'
+                                      AND words[i + 3] = 'license') AS gpl
+    FROM n),
+l AS (
+    SELECT *, list_concat(list_concat(mit, apache), gpl) AS places,
+           list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END,
+                        CASE WHEN len(mit) > 0 THEN 'mit' END], lambda x: x IS NOT NULL) AS base,
+           list_filter([{_ACCEPTED}], lambda x: x IS NOT NULL) AS more
+    FROM p)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+       CAST(list_min(places) AS BIGINT) AS first_word, CAST(list_max(places) AS BIGINT) AS last_word,
+       array_to_string(base, ',') AS base_labels,
+       array_to_string(list_sort(list_concat(base, more)), ',') AS labels,
+       CASE WHEN len(more) > 0 THEN 1.0::DOUBLE WHEN len(base) > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM l
+"""

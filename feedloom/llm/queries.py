@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import mixing, oracles
+from feedloom.llm import langid, licenses, mixing, oracles
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +26,14 @@ def register(name: str, oracle: str | None = None):
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@register("op6_language_ppm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+@register("op8_license_templates", oracles.LICENSES)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
