@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import langid, licenses, mixing, oracles
+from feedloom.llm import langid, licenses, mixing, oracles, token_counts
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -37,3 +37,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_license_templates", oracles.LICENSES)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
