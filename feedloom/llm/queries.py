@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import langid, licenses, mixing, oracles, token_counts
+from feedloom.llm import langid, licenses, minhash, mixing, oracles, token_counts
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -43,3 +43,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@register("op9_minhash_bayes")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
