@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import langid, licenses, minhash, mixing, oracles, token_counts
+from feedloom.llm import langid, licenses, minhash, mixing, oracles, packing, token_counts
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -48,3 +48,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_minhash_bayes")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@register("op3_pack_hilbert")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
