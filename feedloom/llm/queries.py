@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import langid, licenses, minhash, mixing, oracles, packing, token_counts
+from feedloom.llm import langid, licenses, minhash, mixing, oracles, packing, token_counts, voronoi
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -53,3 +53,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_pack_hilbert")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+@register("op4_voronoi_top_k", oracles.TOP_K)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
