@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import langid, licenses, minhash, mixing, oracles, packing, token_counts, voronoi
+from feedloom.llm import hashing_index, langid, licenses, minhash, mixing, oracles, packing, token_counts, voronoi
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_voronoi_top_k", oracles.TOP_K)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@register("op7_multi_index_hashing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashing_index.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
