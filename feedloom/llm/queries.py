@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import hashing_index, langid, licenses, minhash, mixing, oracles, packing, token_counts, voronoi
+from feedloom.llm import hashing_index, langid, licenses, minhash, mixing, oracles, packing, page_text, token_counts, voronoi
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -63,3 +63,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_multi_index_hashing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashing_index.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+@register("op1_page_differencing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
