@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import hashing_index, langid, licenses, minhash, mixing, oracles, packing, page_text, token_counts, voronoi
+from feedloom.llm import hashing_index, langid, licenses, minhash, mixing, oracles, packing, page_text, token_counts, toxicity, voronoi
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -69,3 +69,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = page_text.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
+
+
+@register("op2_toxicity_cnn")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.learn(docs, labels))
