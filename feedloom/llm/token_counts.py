@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.tokenizing import BEFORE_SPACE, memory, tokenizer
+from feedloom.llm.tokenizing import BEFORE_SPACE, memory, slices, tokenizer
 from feedloom.session import staged
 
 CHUNK = 16_384  # characters of a chunk, without its overlap
@@ -40,7 +40,7 @@ SPLICE_SCHEMA = (
 def _short(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered = memory(file, "count")
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             cut = [BEFORE_SPACE.split(t) if t else [] for t in batch.column(2).to_pylist()]
             # The first piece of a text has no space before it.
             pieces = [[p[0], *[" " + x for x in p[1:]]] if p else [] for p in cut]

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-MEMORY = 400_000  # pieces remembered per Python worker; some 80 MB
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+MEMORY = 200_000  # pieces remembered per Python worker; some 40 MB
+SLICE = 1 << 20  # characters cut into pieces at a time
 
 #: A space after a character that is no white space. The byte-level pattern never joins such a
 #: character to a following space, so a token always starts there, whatever stands around.
@@ -21,6 +26,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose texts have about ``size`` bytes: pieces of text take a multiple
+    of the text's memory, so only few are held at a time."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    total, at = np.cumsum(lengths), 0
+    while at < batch.num_rows:
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + size, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 @lru_cache(maxsize=4)
 def tokenizer(name: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core
@@ -49,8 +66,6 @@ class Memory:
 @lru_cache(maxsize=8)
 def memory(name: str, kind: str) -> Memory:
     """One memory per worker process, file and kind; it outlives the task."""
-    import numpy as np
-
     kinds = {
         "count": lambda e: len(e.ids),
         "ids": lambda e: np.array(e.ids, dtype="<u4").tobytes(),
