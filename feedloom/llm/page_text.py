@@ -62,7 +62,8 @@ FURNITURE_WORDS = set(
 _HIDDEN_NAMES = "|".join(HIDDEN.split())
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_HIDDEN_NAMES})\b[^>]*+>.*?(?:</\1\b[^>]*>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*+(?:>|\Z)""",
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)[^>]*+>|<[/!?a-zA-Z][^>]*+(?:>|\Z)""",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
@@ -106,23 +107,22 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
         if m.start() > at:
             text.append(source[at : m.start()])
         at = m.end()
-        tag = m[3]
-        if tag is None:
+        tag, attributes = (m[3] or m[6] or "").lower(), m[4] or ""
+        if not tag:
             continue
-        tag = tag.lower()
         if tag in BLOCKS:
             flush()
-        if m[2]:
+        if m[2] or m[5]:
             if any(name == tag for name, _ in stack):
                 while stack.pop()[0] != tag:
                     pass
-        elif tag in TRACKED and tag not in VOID and not m[4].endswith("/"):
+        elif tag in TRACKED and tag not in VOID and not attributes.endswith("/"):
             if tag == "body":
                 stack = [s for s in stack if s[0] != "head"]
             if tag in ("p", *HEADINGS) and stack and stack[-1][0] in ("p", "span"):
                 stack.pop()  # a paragraph ends where the next one begins
             above = stack[-1][1] if stack else OPEN
-            own = meaning(tag, m[4])
+            own = meaning(tag, attributes)
             stack.append((tag, FURNITURE if FURNITURE in (above, own) else own or above))
     if at < len(source):
         text.append(source[at:])
