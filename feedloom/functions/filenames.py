@@ -39,12 +39,13 @@ def received_name(path: Column) -> Column:
     """Name under which data was delivered.
 
     A delivery is one file, or a folder of part files as Spark writes it (``x.csv/part-0000…``); in
-    the second case the folder name counts, without a leading ``received=``. Plain string functions:
-    this runs once per row.
+    the second case the folder name counts, without a leading ``received=``. Only a folder named like
+    a file, with an extension, is a delivery: a file may itself start with ``part-``. Plain string
+    functions: this runs once per row.
     """
     last = F.substring_index(path, "/", -1)
     above = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    name = F.when(last.startswith("part-"), above).otherwise(last)
+    name = F.when(last.startswith("part-") & above.contains("."), above).otherwise(last)
     return decoded(without_key(name, "received"))
 
 
@@ -66,7 +67,8 @@ def base_name(path: Column) -> Column:
 def folder_name(path: Column) -> Column:
     """Name of the folder a delivery lies in."""
     parts = F.split(path, "/")
-    depth = F.when(F.element_at(parts, -1).startswith("part-"), F.lit(-3)).otherwise(F.lit(-2))
+    inside = F.element_at(parts, -1).startswith("part-") & F.try_element_at(parts, F.lit(-2)).contains(".")
+    depth = F.when(inside, F.lit(-3)).otherwise(F.lit(-2))
     return decoded(without_key(F.try_element_at(parts, depth), "folder"))
 
 

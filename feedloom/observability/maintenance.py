@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.columns import DATE_PARTS
-from feedloom.sinks.tables import write_partitioned
+from feedloom.sinks.tables import TableStore, write_partitioned
 from feedloom.sources.listing import list_files
 
 
@@ -20,19 +20,37 @@ def compact(spark: SparkSession, source: str, target: str) -> None:
 
 
 def cluster(spark: SparkSession, source: str, target: str, columns: Sequence[str]) -> None:
-    """Rewrite a table ordered by ``columns``, so that filters on them skip files and row groups.
+    """Rewrite a table ordered by date, then by ``columns``, so that filters on them skip files and row
+    groups.
 
-    A range partition splits by sampled values, so a frequent value only widens one range; the
-    remaining columns, used as a tie, spread it.
+    Ranges run over the dates first, so a task writes to few dates, and files come out in the order of
+    the sort, which the date folders lead. A frequent value only widens one range; the remaining
+    columns, used as a tie, spread it.
     """
     df = spark.read.option("mergeSchema", "true").parquet(source)
-    rest = [c for c in df.columns if c not in columns and not _complex(df, c)]
-    ranged = df.repartitionByRange(*columns, *rest).sortWithinPartitions(*columns)
     by = [p for p in DATE_PARTS if p in df.columns and p not in columns]
+    rest = [c for c in df.columns if c not in (*by, *columns) and not _complex(df, c)]
+    ranged = df.repartitionByRange(*by, *columns, *rest).sortWithinPartitions(*by, *columns)
     writer = ranged.write.mode("overwrite").option("maxRecordsPerFile", 1_000_000)
     (writer.partitionBy(*by) if by else writer).parquet(target)
 
 
+def compact_current(store: TableStore, name: str, load_id: str) -> None:
+    """Current table rewritten in files of even size, in force with one commit."""
+    rows = store.current(name)
+    store.write_current(name, rows, load_id)
+    store.commit(name, load_id, store.history(name).schema, rows.schema)
+
+
+def cluster_current(store: TableStore, name: str, load_id: str, columns: Sequence[str]) -> None:
+    """Current table rewritten in the order of ``columns``, in force with one commit."""
+    rows = store.current(name)
+    by = [p for p in DATE_PARTS if p in rows.columns and p not in columns]
+    ranged = rows.repartitionByRange(*by, *columns).sortWithinPartitions(*by, *columns)
+    store.write_current(name, ranged, load_id, scattered=False)
+    store.commit(name, load_id, store.history(name).schema, rows.schema)
+
+
 def _complex(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.typeName() in ("array", "map", "struct", "variant")
 

@@ -27,11 +27,11 @@ from feedloom.operators.columns import (
     stamp,
 )
 from feedloom.operators.quality import duplicate_keys, empty_units
-from feedloom.operators.typing import type_rows
+from feedloom.operators.typing import ISSUES, field_at, type_rows
 from feedloom.plans.modes import next_state, rewrites
-from feedloom.session import staged, together, tune
+from feedloom.session import Scratch, staged, together, tune
 from feedloom.sinks import logs
-from feedloom.sinks.tables import TableStore
+from feedloom.sinks.tables import ALL, DATES, TableStore, date_key
 from feedloom.sources import delimited, fixed_width
 from feedloom.sources.delimited import BLOCK, CORRUPT, FILE, PATH, ROW
 from feedloom.sources.listing import (
@@ -43,13 +43,10 @@ from feedloom.sources.listing import (
     match_pattern,
     run_log_reason,
 )
-from feedloom.specs import EACH, FIRST, FULL_SNAPSHOT, MERGE, FeedSpec
+from feedloom.specs import EACH, FIRST, FULL_SNAPSHOT, MERGE, PARTITION_REPLACE, FeedSpec
 
 UNIT, STEM = "_unit", "_stem"
 ORDER = (PATH, BLOCK, ROW)
-# A list of up to this many file names is broadcast (about a hundred bytes each); a longer one is
-# joined by shuffle.
-BROADCAST_FILES = 500_000
 
 
 @dataclass
@@ -70,7 +67,9 @@ def read_feed(
     return reader.scan(spark, path, spec, accept)
 
 
-def stage(rows: DataFrame, spec: FeedSpec) -> DataFrame:
+def stage(
+    rows: DataFrame, spec: FeedSpec, keep: Callable[[DataFrame, str], DataFrame] = staged
+) -> DataFrame:
     """Aligned, trimmed and typed rows with their issues, written to the shared folder.
 
     Everything downstream filters on the issues. Over written rows these are plain columns; over the
@@ -78,7 +77,7 @@ def stage(rows: DataFrame, spec: FeedSpec) -> DataFrame:
     """
     tune(rows.sparkSession)
     aligned = align_to_string(rows, spec.columns, trim=spec.trim)
-    return staged(type_rows(aligned, spec.fields), f"stage-{spec.table}")
+    return keep(type_rows(aligned, spec.fields), f"stage-{spec.table}")
 
 
 def judge(
@@ -87,20 +86,18 @@ def judge(
     files: DataFrame,
     missing: list[str] = (),
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
-    small: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Load:
     """Gates, policies and quality checks over staged rows.
 
     ``typed`` comes from :func:`stage`; ``files`` lists what was to be loaded (``file_name``).
     ``keep`` may write the small per-file results once; the rows are then only scanned and filtered
-    against tables of known size. ``small`` may mark tables with at most a row per file for
-    broadcast, when the caller knows how many files there are.
+    against tables of known size, which Spark broadcasts while they are small.
     """
     corrupt = gates.corrupt_counts(typed, FILE, CORRUPT)
     corrupt = keep(corrupt.withColumn("_gate", gates.too_corrupt(corrupt, spec.tolerance)), "corrupt")
     stopped = corrupt.where("_gate").select(F.col(FILE).alias("file_name"))
     remaining = files.select("file_name").join(stopped, "file_name", "left_anti")
-    good_files = small(file_facts(remaining, spec.file_policy))
+    good_files = file_facts(remaining, spec.file_policy)
     sound = typed.join(good_files, FILE)
 
     sizes = (
@@ -110,7 +107,7 @@ def judge(
     )
     counts = keep(gates.issue_counts(sound, UNIT), "issues")
     verdicts = gates.unit_verdicts(gates.ict_columns(counts, sizes, spec.fields, UNIT), UNIT)
-    judged = gates.judge_rows(sound, small(verdicts), UNIT)
+    judged = gates.judge_rows(sound, verdicts, UNIT)
     accepted = judged.where("_kept")
 
     unit_names = good_files.select(UNIT).distinct()
@@ -202,35 +199,64 @@ def tie_order(spec: FeedSpec) -> list[Column]:
     return [file, *[F.col(c).desc() for c in ORDER]]
 
 
-def apply_load(
-    load: Load, store: TableStore, load_id: str, processed: Column | None = None, today: Column | None = None
-) -> None:
-    """History, then current table. Loading the same ``load_id`` again changes nothing."""
+def write_load(
+    load: Load, store: TableStore, load_id: str, processed: Column | None = None, today: Column | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] = staged,
+) -> Callable[[], None]:
+    """Writes the folders of a load and returns the commit that puts them in force.
+
+    A mode that replaces keys or dates rewrites only the dates of the current table it touches; a mode
+    that appends writes its rows once, for both tables.
+    """
     spec, internal = load.spec, [FILE, *ORDER]
-    if store.is_loaded(spec.table, load_id):
-        return
     rows = batch_rows(load, processed if processed is not None else F.current_timestamp(), today)
     history = rows.drop(*internal)
     if not rewrites(spec.mode):
         store.add_history(spec.table, history, load_id)
-        store.append_current(spec.table, history, load_id)
-        return
+        return lambda: store.append_current(spec.table, history, load_id)
     if spec.mode == FULL_SNAPSHOT and spec.file_policy == EACH:
         # Files loaded one after the other: the last snapshot is what remains.
         rows = rows.where(F.col(FILE) == rows.agg(F.max(FILE)).scalar())
+    last = store.current(spec.table)
+    dates = touched_dates(last, rows, spec)
+    if dates is not None:
+        # Of the other dates no row can change.
+        replaced = spec.mode != PARTITION_REPLACE and bool(dates)
+        last = last.where(date_key().isin(*dates) if replaced else F.lit(False))
     state = next_state(
-        store.current(spec.table), rows, spec.mode, spec.merge_keys, spec.validity_column,
-        tie_order(spec), keep=lambda df: staged(df, f"newest-{spec.table}"),
-    )
-    version = store.next_version(spec.table)
+        last, rows, spec.mode, spec.merge_keys, spec.validity_column,
+        tie_order(spec), keep=lambda df: keep(df, f"newest-{spec.table}"),
+    ).drop(*internal)
     together(
         lambda: store.add_history(spec.table, history, load_id),
-        lambda: store.write_version(
-            spec.table, version, state.drop(*internal), load_id, scattered=spec.mode != FULL_SNAPSHOT
-        ),
+        lambda: store.write_current(spec.table, state, load_id, scattered=spec.mode != FULL_SNAPSHOT),
     )
-    current = state.drop(*internal).schema
-    store.commit(spec.table, version, load_id, "replace", history.schema, current)
+    replaces = ALL if dates is None else DATES
+    return lambda: store.commit(spec.table, load_id, history.schema, state.schema, replaces, dates or ())
+
+
+def touched_dates(last: DataFrame | None, batch: DataFrame, spec: FeedSpec) -> list[int] | None:
+    """Dates of the current table in which a batch replaces rows, ``None`` for the whole table.
+
+    They are folders of the table: as many as it has days at most.
+    """
+    if last is None or spec.mode == FULL_SNAPSHOT or not set(DATE_PARTS) <= set(last.columns):
+        return None
+    if spec.mode == PARTITION_REPLACE:
+        hit = batch.where(" AND ".join(f"{p} IS NOT NULL" for p in DATE_PARTS))
+    elif spec.merge_keys:
+        hit = last.join(batch.select(*spec.merge_keys).distinct(), spec.merge_keys, "left_semi")
+    else:
+        return None
+    return sorted(r["k"] for r in hit.select(date_key().alias("k")).distinct().collect())
+
+
+def apply_load(
+    load: Load, store: TableStore, load_id: str, processed: Column | None = None, today: Column | None = None
+) -> None:
+    """History and current table. Loading the same ``load_id`` again changes nothing."""
+    if not store.is_loaded(load.spec.table, load_id):
+        write_load(load, store, load_id, processed, today)()
 
 
 def refused_names(spec: FeedSpec, files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -251,6 +277,10 @@ def refused_names(spec: FeedSpec, files: DataFrame) -> tuple[DataFrame, DataFram
     return quality, runs.withColumn("column_count", F.lit(0))
 
 
+class LoadFailed(Exception):
+    """A load that ended without taking effect; its files are in the execution log as FAILED."""
+
+
 def ingest(
     spark: SparkSession,
     path: str,
@@ -261,64 +291,106 @@ def ingest(
     load_id: str | None = None,
     today: Column | None = None,
 ) -> None:
-    """Load every matching file below ``path`` and write both logs."""
+    """Load every matching file below ``path`` and write both logs.
+
+    The tables change with one commit, then the logs are written, under the id of the load. A load
+    that fails before leaves the tables as they were and every file it was to load FAILED in the log;
+    one that was committed before is not done again.
+    """
     started, load_id = time.time(), load_id or uuid.uuid4().hex
+    if store.is_loaded(spec.table, load_id):
+        return
+    scratch = Scratch(spark, f"load-{spec.table}")
+    try:
+        _ingest(spark, path, spec, store, log_root, env, load_id, today, started, scratch)
+    finally:
+        scratch.remove()
+
+
+def _ingest(
+    spark: SparkSession, path: str, spec: FeedSpec, store: TableStore, log_root: str, env: str, load_id: str,
+    today: Column | None, started: float, scratch: Scratch,
+) -> None:
     # Written once: a table of known size, and the folder is listed a single time.
     listed = match_pattern(list_files(spark, path).select("file_name").distinct(), spec.filename_pattern)
-    matched = staged(check_names(listed), f"files-{spec.table}")
+    matched = scratch.staged(check_names(listed), f"files-{spec.table}")
     named_badly, failed = refused_names(spec, matched)
     if not spec.ignore_empty:
         named_badly = named_badly.unionByName(empty_deliveries(spark, path, spec))
     valid = matched.where(F.col("reason").isNull())
     chosen = choose(valid, spec.file_policy).select("file_name")
 
-    files = chosen.count()
-    small = F.broadcast if files <= BROADCAST_FILES else (lambda df: df)
-    if files == 0:
+    def log(errors: DataFrame, runs: DataFrame) -> None:
+        _log(spec, errors, failed.unionByName(runs, True), log_root, env, started, load_id)
+
+    def all_failed(text: str, errors: DataFrame) -> None:
+        log(errors, chosen.select(
+            *describe(spec), F.col("file_name").alias("filename"), F.lit(text).alias("error_message"),
+            F.lit(logs.FAILED).alias("status"),
+        ))
+
+    if chosen.isEmpty():
         text = "No file matching" if matched.isEmpty() else "All files rejected"
-        nothing = spark.range(1).select(
+        log(named_badly, spark.range(1).select(
             *describe(spec), F.lit("N/A").alias("filename"), F.lit(text).alias("error_message"),
             F.lit(logs.FAILED).alias("status"),
-        )
-        _log(spec, named_badly, failed.unionByName(nothing, True), log_root, env, started)
-        return
-
-    accept = name_filter(spec, chosen)
-    raw = read_feed(spark, path, spec, accept)
-    missing = missing_columns(raw, spec.columns)
-    if missing and not spec.delete_columns_allowed:
-        errors = missing_column_errors(chosen, missing, spec.table)
-        runs = chosen.select(
-            *describe(spec), F.col("file_name").alias("filename"),
-            F.lit("Missing columns").alias("error_message"), F.lit(logs.FAILED).alias("status"),
-        )
-        _log(spec, E.union_errors([named_badly, errors]), failed.unionByName(runs, True), log_root, env, started)
+        ))
         return
-
-    wanted = raw.join(small(chosen.withColumnRenamed("file_name", FILE)), FILE, "left_semi")
-    typed = stage(wanted, spec)
-    load = judge(
-        spec, typed, chosen, missing, keep=lambda df, label: staged(df, f"{label}-{spec.table}"), small=small
+    try:
+        raw = read_feed(spark, path, spec, name_filter(spec, chosen))
+        missing = missing_columns(raw, spec.columns)
+        if missing and not spec.delete_columns_allowed:
+            all_failed("Missing columns", E.union_errors([named_badly, missing_column_errors(chosen, missing, spec.table)]))
+            return
+        wanted = raw.join(chosen.withColumnRenamed("file_name", FILE), FILE, "left_semi")
+        typed = stage(wanted, spec, scratch.staged)
+        load = judge(spec, typed, chosen, missing, keep=lambda df, label: scratch.staged(df, f"{label}-{spec.table}"))
+        ready: dict = {}
+
+        def write_tables() -> None:
+            ready["commit"] = write_load(load, store, load_id, today=today, keep=scratch.staged)
+
+        def stage_errors() -> None:
+            ready["errors"] = scratch.staged(load.errors.unionByName(named_badly), f"errors-{spec.table}")
+
+        def write_rejects() -> None:
+            if spec.keep_rejects:
+                rejects = rejected_lines(load, typed)
+                logs.write_rejects(rejects, f"{log_root}/badrecords/{env}", spec.table, load_id)
+
+        # Independent writes over the same staged rows: together they keep the executors busy while
+        # one of them waits for its last tasks. None of them changes a table yet.
+        together(write_tables, stage_errors, write_rejects)
+        ready["commit"]()
+    except Exception as problem:
+        all_failed(f"Ingestion error: {reason(problem)}", named_badly)
+        raise LoadFailed(reason(problem)) from problem
+    log(ready["errors"], with_error_counts(load.runs, ready["errors"]))
+
+
+def rejected_lines(load: Load, typed: DataFrame) -> DataFrame:
+    """Lines that were refused, with their source texts: those of rejected rows, column by column,
+    and the whole line where a file was refused as too corrupt."""
+    names = load.spec.columns
+    told = F.transform(ISSUES, lambda i: F.struct(field_at(load.spec.fields, i["pos"], lambda f: f.name).alias("column"), i["kind"].alias("kind")))
+    bad = lambda n: F.filter(ISSUES, lambda i: (i["pos"] == names.index(n)) & i["raw"].isNotNull())
+    texts = F.create_map(*[x for n in names for x in (
+        F.lit(n), F.coalesce(F.try_element_at(F.transform(bad(n), lambda i: i["raw"]), F.lit(1)), F.col(f"`{n}`").cast("string")))])
+    place = [F.col(FILE).alias("filename"), F.col(PATH).alias("path"), F.col(BLOCK).alias("block_start"), F.col(ROW).alias("line")]
+    rows = load.refused.select(*place, F.lit(None).cast("string").alias("line_text"), texts.alias("texts"), told.alias("issues"))
+    corrupt = typed.where(F.col(CORRUPT).isNotNull()).select(
+        *place, F.col(CORRUPT).alias("line_text"), F.lit(None).cast("map<string, string>").alias("texts"),
+        F.array(F.struct(F.lit("ALL_COLUMNS").alias("column"), F.lit("CORRUPT").alias("kind"))).alias("issues"),
     )
-    errors = load.errors.unionByName(named_badly)
-
-    def write_logs() -> None:
-        found = staged(errors, f"errors-{spec.table}")
-        runs = with_error_counts(load.runs, found)
-        _log(spec, found, failed.unionByName(runs, True), log_root, env, started)
+    return rows.unionByName(corrupt)
 
-    def write_rejects() -> None:
-        if spec.keep_rejects:
-            rejects = load.refused.select(F.lit(spec.table).alias("table_name"), FILE, *spec.columns)
-            logs.write_rejects(rejects, f"{log_root}/badrecords/{env}")
 
-    # Independent writes over the same staged rows: together they keep the executors busy while
-    # one of them waits for its last tasks.
-    together(
-        lambda: apply_load(load, store, load_id, today=today),
-        write_logs,
-        write_rejects,
-    )
+def reason(problem: Exception) -> str:
+    """What went wrong, in one line: the innermost cause that Spark reports, else the message itself."""
+    lines = [x.strip() for x in str(problem).splitlines() if x.strip()]
+    causes = [x.removeprefix("Caused by: ") for x in lines if x.startswith("Caused by: ")]
+    plain = next((x for x in lines if not x.startswith("An error occurred while calling")), type(problem).__name__)
+    return causes[-1] if causes else plain
 
 
 def empty_deliveries(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
@@ -337,8 +409,10 @@ def ingest_feeds(
         try:
             ingest(spark, path, spec, store, log_root, env)
             outcome[table] = "DONE"
+        except LoadFailed as problem:
+            outcome[table] = f"Ingestion error: {problem}"
         except Exception as problem:  # noqa: BLE001 - one broken feed must not lose the rest
-            outcome[table] = f"Ingestion error: {str(problem).splitlines()[0]}"
+            outcome[table] = f"Ingestion error: {reason(problem)}"
             failed = spark.range(1).select(
                 *describe(spec), F.lit("N/A").alias("filename"), F.lit(outcome[table]).alias("error_message"),
                 F.lit(logs.FAILED).alias("status"),
@@ -360,7 +434,12 @@ def name_filter(spec: FeedSpec, chosen: DataFrame) -> Column:
     return name.startswith(re.split(r"[<*]", spec.filename_pattern)[0])
 
 
-def _log(spec: FeedSpec, errors: DataFrame, runs: DataFrame, root: str, env: str, started: float) -> None:
-    logs.append_log(logs.quality_rows(errors, spec.table, spec.zone, env), f"{root}/quality")
+def _log(
+    spec: FeedSpec, errors: DataFrame, runs: DataFrame, root: str, env: str, started: float, load_id: str
+) -> None:
+    quality = logs.quality_rows(errors, spec.table, spec.zone, env)
     timed = runs.withColumn("duration", F.lit(round(time.time() - started, 2)))
-    logs.append_log(logs.execution_rows(timed, env), f"{root}/execution")
+    together(
+        lambda: logs.append_log(quality, f"{root}/quality", load_id),
+        lambda: logs.append_log(logs.execution_rows(timed, env), f"{root}/execution", load_id),
+    )

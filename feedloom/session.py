@@ -75,6 +75,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Folder for what one load writes on its way; the load removes it when it has ended."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path = spark, fresh_dir(spark, label)
+
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{self.path}/{label}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def together(*jobs: Callable[[], None]) -> None:
     """Submit independent writes at the same time; the first failure is raised when all have ended."""
     spark = SparkSession.active()

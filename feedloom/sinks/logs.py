@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,16 +65,21 @@ def quality_rows(
     )
 
 
-def append_log(rows: DataFrame, path: str) -> None:
-    """One append per batch; logs are never overwritten."""
-    rows.write.mode("append").partitionBy(*DATE_PARTS).parquet(path)
+LOAD = "load_id"
+
+
+def append_log(rows: DataFrame, path: str, load_id: str | None = None) -> None:
+    """Rows of one load, by date and load. Written again under the same id they replace themselves."""
+    named = rows.withColumn(LOAD, F.lit(load_id or uuid.uuid4().hex))
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*DATE_PARTS, LOAD).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, layout: str) -> DataFrame:
     schema = T._parse_datatype_string(layout)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(T.StructType([*schema, T.StructField(LOAD, T.StringType())])).parquet(path).drop(LOAD)
 
 
 def register_log(spark: SparkSession, name: str, path: str, layout: str) -> None:
@@ -81,14 +88,17 @@ def register_log(spark: SparkSession, name: str, path: str, layout: str) -> None
     if not path_exists(spark, path):
         # Without partition columns in the layout of the data there is nothing to discover yet.
         spark.createDataFrame([], schema).write.mode("append").parquet(path)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema, T.StructField(LOAD, T.StringType())])
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(DATE_PARTS)}) LOCATION '{path}'"
+        f"PARTITIONED BY ({', '.join((*DATE_PARTS, LOAD))}) LOCATION '{path}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def write_rejects(rows: DataFrame, root: str) -> None:
-    """Rejected lines, kept per table."""
-    rows.write.mode("append").partitionBy("table_name").parquet(root)
+REJECTS = "filename string, path string, block_start bigint, line bigint, line_text string, texts map<string, string>, issues array<struct<column: string, kind: string>>"
+
+
+def write_rejects(rows: DataFrame, root: str, table: str, load_id: str) -> None:
+    """Rejected lines of a load, in one layout for all tables (``REJECTS``)."""
+    rows.write.mode("overwrite").parquet(f"{root}/table_name={table}/{LOAD}={load_id}")

@@ -1,26 +1,33 @@
 """Parquet tables a feed is loaded into.
 
-Every feed has a history table (append only) and a current table. Without a transactional table
-format on the classpath, a current table is replaced by writing a new version folder and then
-recording it in a commit list; a job that dies before its commit leaves the old version in force.
-Each load writes its own ``load_id`` folder in overwrite mode, so a retried load adds nothing twice.
+Every feed has a history table (append only) and a current table. Each load writes folders of its own,
+named by its load id, and takes effect with one commit row. The row says which dates of the current
+table the load replaces (all of them, none, or a list), so a merge rewrites only the dates it touches
+and leaves the files of the others where they are. Reading takes the folders that commits put in force
+and nothing else: what a load that died has written is never read, and a retry overwrites it.
 """
 
 from __future__ import annotations
 
 import json
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.operators.columns import DATE_PARTS, dedup_columns, metadata_first
 from feedloom.session import path_exists
 
-COMMITS = "at long, version int, load_id string, action string, history string, current string"
+# How much of the current table a load replaces.
+ALL, NONE, DATES = "all", "none", "dates"
+COMMITS = (
+    "at long, load_id string, replaces string, dates array<int>, in_history boolean, history string, current string"
+)
 ROWS_PER_FILE = 1_000_000  # Fixed value: rows a written file should not exceed.
 
 
@@ -54,89 +61,92 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None)
     return spark.read.option("mergeSchema", "true").parquet(path).drop("load_id")
 
 
+def date_key(columns: Sequence[str] = DATE_PARTS) -> Column:
+    """The date of a row as one number, 0 for parts that are NULL."""
+    y, m, d = (F.coalesce(F.col(c), F.lit(0)) for c in columns)
+    return y * 10_000 + m * 100 + d
+
+
 @dataclass(frozen=True)
 class TableStore:
     spark: SparkSession
     root: str
 
-    def _history(self, name: str) -> str:
-        return f"{self.root}/{name}_all"
-
-    def _version(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}_last/version-{version}"
+    def _folder(self, name: str, side: str) -> str:
+        return f"{self.root}/{name}_{side}"
 
-    def _commits(self, name: str) -> DataFrame | None:
+    def commits(self, name: str) -> list[Row]:
+        """Loads in force, in their order: one row per load of this table."""
         try:
-            return self.spark.read.schema(COMMITS).json(f"{self.root}/{name}_commits")
+            rows = self.spark.read.schema(COMMITS).json(self._folder(name, "commits")).collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
-
-    def last_commit(self, name: str) -> Row | None:
-        commits = self._commits(name)
-        if commits is None:
-            return None
-        last = commits.agg(F.max(F.struct("version", "at", "history", "current")).alias("c")).first()
-        return last["c"]
-
-    def current_version(self, name: str) -> int:
-        last = self.last_commit(name)
-        return last["version"] if last else 0
+        return sorted(rows, key=lambda r: (r["at"], r["load_id"]))
 
     def is_loaded(self, name: str, load_id: str) -> bool:
-        commits = self._commits(name)
-        return commits is not None and not commits.where(F.col("load_id") == load_id).isEmpty()
+        return any(r["load_id"] == load_id for r in self.commits(name))
 
     def commit(
-        self, name: str, version: int, load_id: str, action: str,
-        history: T.StructType, current: T.StructType,
+        self, name: str, load_id: str, history: T.StructType, current: T.StructType,
+        replaces: str = ALL, dates: Sequence[int] = (), in_history: bool = False,
     ) -> None:
-        """Puts a load in force. The schemas of both tables are kept here, so that reading a table
-        does not have to open the footers of its files."""
-        last = self.last_commit(name)
-        before = _schemas(last) if last else (None, None)
-        kept = before[1] if action == "append" else None
-        schemas = [merged_schema(before[0], history).json(), merged_schema(kept, current).json()]
-        row = self.spark.createDataFrame([(time.time_ns(), version, load_id, action, *schemas)], COMMITS)
-        row.coalesce(1).write.mode("append").json(f"{self.root}/{name}_commits")
+        """Puts a load in force. ``in_history``: its current rows are those it added to the history.
+
+        The schemas of both tables are kept here, so that reading a table does not have to open the
+        footers of its files.
+        """
+        before = self.commits(name)
+        known = _schemas(before[-1]) if before else (None, None)
+        kept = None if replaces == ALL else known[1]
+        schemas = [merged_schema(known[0], history).json(), merged_schema(kept, current).json()]
+        row = (time.time_ns(), load_id, replaces, list(dates), in_history, *schemas)
+        frame = self.spark.createDataFrame([row], COMMITS).coalesce(1)
+        frame.write.mode("overwrite").json(f"{self._folder(name, 'commits')}/load={load_id}")
 
     def history(self, name: str) -> DataFrame | None:
-        last = self.last_commit(name)
-        return self._read(self._history(name), _schemas(last)[0]) if last else None
+        commits = self.commits(name)
+        if not commits:
+            return None
+        return self._read(name, "all", _schemas(commits[-1])[0], {frozenset(): [r["load_id"] for r in commits]})
 
     def current(self, name: str) -> DataFrame | None:
-        last = self.last_commit(name)
-        return self._read(self._version(name, last["version"]), _schemas(last)[1]) if last else None
-
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
+        commits = self.commits(name)
+        if not commits:
+            return None
+        schema = _schemas(commits[-1])[1]
+        sides = [self._read(name, side, schema, loads) for side, loads in in_force(commits).items() if loads]
+        return reduce(DataFrame.unionByName, sides)
+
+    def _read(self, name: str, side: str, schema: T.StructType, loads: dict[frozenset, list[str]]) -> DataFrame:
+        """Rows of the loads, without the dates that later loads replaced. Load and date are folders, so
+        Spark lists but does not open the others."""
+        path = self._folder(name, side)
         # An empty load writes no date folder; nothing to list then.
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
+        rows = self.spark.read.schema(T.StructType([*schema, T.StructField("load_id", T.StringType())])).parquet(path)
+        wanted = F.lit(False)
+        for gone, ids in loads.items():
+            mine = F.col("load_id").isin(*ids)
+            wanted = wanted | (mine & ~date_key().isin(*sorted(gone)) if gone else mine)
+        return rows.where(wanted).select(*schema.names)
 
     def add_history(self, name: str, df: DataFrame, load_id: str) -> None:
-        write_partitioned(df, f"{self._history(name)}/load_id={load_id}", "overwrite")
+        write_partitioned(df, f"{self._folder(name, 'all')}/load_id={load_id}", "overwrite")
 
     def append_current(self, name: str, df: DataFrame, load_id: str) -> None:
-        version = max(self.current_version(name), 1)
-        write_partitioned(df, f"{self._version(name, version)}/load_id={load_id}", "overwrite")
-        self.commit(name, version, load_id, "append", df.schema, df.schema)
+        """Puts rows already added to the history in force in the current table too."""
+        self.commit(name, load_id, df.schema, df.schema, NONE, in_history=True)
 
-    def next_version(self, name: str) -> int:
-        return self.current_version(name) + 1
-
-    def write_version(
-        self, name: str, version: int, df: DataFrame, load_id: str, scattered: bool = True
-    ) -> None:
-        """New full state; it may be computed from the current one, which stays untouched."""
-        path = f"{self._version(name, version)}/load_id={load_id}"
-        write_partitioned(df, path, "overwrite", scattered)
+    def write_current(self, name: str, df: DataFrame, load_id: str, scattered: bool = True) -> None:
+        """Rows of a load; they may be computed from the current table, which stays untouched."""
+        write_partitioned(df, f"{self._folder(name, 'last')}/load_id={load_id}", "overwrite", scattered)
 
     def replace_current(self, name: str, df: DataFrame, load_id: str, scattered: bool = True) -> None:
-        version = self.next_version(name)
-        self.write_version(name, version, df, load_id, scattered)
-        self.commit(name, version, load_id, "replace", df.schema, df.schema)
+        self.write_current(name, df, load_id, scattered)
+        self.commit(name, load_id, df.schema, df.schema)
 
     def register(self, name: str) -> None:
         """Views over both tables of a feed."""
@@ -144,12 +154,40 @@ class TableStore:
             if df is not None:
                 df.createOrReplaceTempView(f"{name}_{suffix}")
 
+    def tables(self, *suffixes: str) -> dict[str, DataFrame]:
+        """Tables of the store by name, for inventories (``_all``, ``_last``)."""
+        folder = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        paths = folder.option("pathGlobFilter", "part-*.json").load(self.root).select("path")
+        feed = F.regexp_extract("path", r"/([^/]+)_commits/load=[^/]*/part-[^/]*$", 1)
+        names = [r["feed"] for r in paths.select(feed.alias("feed")).where("feed <> ''").distinct().collect()]
+        sides = {"_all": self.history, "_last": self.current}
+        return {f"{n}{s}": sides[s](n) for n in sorted(names) for s in (suffixes or tuple(sides))}
+
+
+def in_force(commits: list[Row]) -> dict[str, dict[frozenset, list[str]]]:
+    """Per folder (``all``, ``last``) the loads that make up the current table, grouped by the dates
+    of theirs that later loads replaced."""
+    gone: dict[str, set[int]] = {}
+    side: dict[str, str] = {}
+    for r in commits:
+        if r["replaces"] == ALL:
+            gone.clear()
+        elif r["replaces"] == DATES:
+            for dates in gone.values():
+                dates.update(r["dates"])
+        gone[r["load_id"]], side[r["load_id"]] = set(), "all" if r["in_history"] else "last"
+    out: dict[str, dict[frozenset, list[str]]] = {"all": {}, "last": {}}
+    for load, dates in gone.items():
+        out[side[load]].setdefault(frozenset(dates), []).append(load)
+    return out
+
 
 def _schemas(commit: Row) -> tuple[T.StructType, T.StructType]:
     return tuple(T.StructType.fromJson(json.loads(commit[side])) for side in ("history", "current"))
 
 
 def catalog_tables(spark: SparkSession, *suffixes: str, database: str | None = None) -> dict[str, DataFrame]:
-    """Catalog tables whose names end in one of the suffixes (``_all``, ``_last``, ``_staging``)."""
+    """Catalog tables, no views of the session, whose names end in one of the suffixes (``_all``, ``_last``, ``_staging``)."""
     found = spark.catalog.listTables(database) if database else spark.catalog.listTables()
-    return {t.name: spark.table(t.name) for t in found if t.name.endswith(suffixes)}
+    own = [t for t in found if not t.isTemporary and t.name.endswith(suffixes)]
+    return {t.name: spark.table(".".join([*(t.namespace or []), t.name])) for t in own}

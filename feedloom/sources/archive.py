@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,12 +33,17 @@ def _entry_lines(path: str, content: bytes, charset: str) -> Iterator[tuple]:
             entries = [n for n in archive.namelist() if is_data_entry(n)]
             if not entries:
                 yield path, None, None, None, "No valid files in ZIP"
+            # A fault anywhere makes the whole archive invalid, so it is looked for before any line.
+            if broken := archive.testzip():
+                raise zipfile.BadZipFile(f"entry {broken} is damaged")
+            for name in entries:
+                archive.read(name).decode(charset)
             for name in entries:
                 with archive.open(name) as raw:
                     text = io.TextIOWrapper(raw, encoding=charset, newline=None)
                     for number, line in enumerate(text, start=1):
                         yield path, name, number, line.rstrip("\n"), None
-    except (zipfile.BadZipFile, UnicodeDecodeError, OSError, EOFError) as problem:
+    except (zipfile.BadZipFile, UnicodeDecodeError, OSError, EOFError, zlib.error) as problem:
         yield path, None, None, None, f"Invalid ZIP file: {problem}"
 
 

@@ -8,7 +8,7 @@ data work downstream is expressed with Spark columns built from them.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -214,13 +214,13 @@ class FeedSpec:
     delimiter: str = ","
     delete_columns_allowed: bool = False
     ignore_empty: bool = True
-    file_policy: str = FIRST
+    file_policy: str = EACH
     charset: str = "UTF-8"
     keep_rejects: bool = False
     header: str = POSITIONAL
     imposed: bool = True
     tolerance: Tolerance = Tolerance(0.1, True)
-    max_logged_errors: int | None = field(default=1000)
+    max_logged_errors: int | None = None
 
     def __post_init__(self) -> None:
         if self.input_format not in FORMATS:
@@ -272,7 +272,7 @@ class FeedSpec:
             delimiter=delimiter(row.get("Input delimiter")),
             delete_columns_allowed=flag(row.get("Delete Columns Allowed"), False),
             ignore_empty=flag(row.get("Ignore empty Files"), True),
-            file_policy=MERGE if merged else FIRST,
+            file_policy=MERGE if merged else EACH,
             charset=text_or(row.get("Input charset"), "UTF-8"),
             keep_rejects=flag(row.get("Invalid Lines Generate"), False),
             header=header_mode(row.get("Input header"), reader),

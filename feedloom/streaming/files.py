@@ -36,8 +36,9 @@ def read_stream(
 ) -> DataFrame:
     """Stream of one feed's files with lower-case source columns.
 
-    Files of other feeds are kept out of the listing by a glob; the exact rule is a condition on the
-    file name.
+    Files of other feeds are left out by a condition on the file name, which Spark applies to the
+    listing. Where names come from the header, a file with other names or another order stops the
+    stream: its values would end up in the wrong columns.
     """
     names = [c.lower() for c in spec.columns]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
@@ -47,7 +48,7 @@ def read_stream(
         .option("quote", '"')
         .option("escape", "\\")
         .option("header", str(spec.header == NAMES).lower())
-        .option("enforceSchema", "true")
+        .option("enforceSchema", str(spec.header != NAMES).lower())
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", str(files_per_batch))
         .csv(path)
@@ -113,18 +114,21 @@ class Counter:
 
     def __init__(self, spark: SparkSession) -> None:
         self.name = "feed_rows"
-        # Progress reports beyond this number are forgotten.
-        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+        self.seen: dict[int, int] = {}
 
     def wait(self, query) -> StreamResult:
-        query.awaitTermination()
-        rows, batches = 0, 0
+        """Reads reports as they come: a query forgets all but its last hundred."""
+        while not query.awaitTermination(1):
+            self._read(query)
+        self._read(query)
+        rows = sum(self.seen.values())
+        return StreamResult("SUCCESS" if rows else "NO_DATA", rows, len(self.seen))
+
+    def _read(self, query) -> None:
         for progress in query.recentProgress:
-            seen = (progress["observedMetrics"] or {}).get(self.name)
-            if seen is not None:
-                rows += seen["rows"]
-                batches += 1
-        return StreamResult("SUCCESS" if rows else "NO_DATA", rows, batches)
+            found = (progress["observedMetrics"] or {}).get(self.name)
+            if found is not None:
+                self.seen[progress["batchId"]] = found["rows"]
 
 
 def stream_feeds(

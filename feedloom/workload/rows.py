@@ -96,12 +96,13 @@ def add_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     "align_to_string",
     duck(
         "SELECT CAST(o_orderkey AS STRING) AS o_orderkey, CAST(o_custkey AS STRING) AS o_custkey, o_orderstatus, "
+        "CAST(o_totalprice AS STRING) AS o_totalprice, CAST(o_orderdate AS STRING) AS o_orderdate, o_orderpriority, "
         "CAST(NULL AS STRING) AS o_comment FROM {orders}"
     ),
 )
 def align_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return cols.align_to_string(rows, ["o_orderkey", "o_custkey", "o_orderstatus", "o_comment"])
+    rows = table(spark, sf_dir, "orders")
+    return cols.align_to_string(rows, [*rows.columns, "o_comment"])
 
 
 @query("trim_all", duck(f"SELECT order_id, trim(cust_id) AS cust_id, trim(priority) AS priority FROM ({feeds.ORDERS}) f"))

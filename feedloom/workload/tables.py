@@ -98,11 +98,12 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT p AS position, c AS column_name, t AS data_type, CAST(n AS BIGINT) AS value_count FROM ("
         "SELECT 1 AS p, 'o_orderkey' AS c, 'bigint' AS t, count(o_orderkey) AS n FROM {orders} UNION ALL SELECT 2, 'o_custkey', 'bigint', count(o_custkey) FROM {orders} "
         "UNION ALL SELECT 3, 'o_orderstatus', 'string', count(o_orderstatus) FROM {orders} UNION ALL SELECT 4, 'o_totalprice', 'double', count(o_totalprice) FROM {orders} "
-        "UNION ALL SELECT 5, 'o_orderpriority', 'string', count(o_orderpriority) FROM {orders}) d"
+        "UNION ALL SELECT 5, 'o_orderdate', 'timestamp_ntz', count(o_orderdate) FROM {orders} "
+        "UNION ALL SELECT 6, 'o_orderpriority', 'string', count(o_orderpriority) FROM {orders}) d"
     ),
 )
 def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maintenance.describe(table(spark, sf_dir, "orders").drop("o_orderdate"))
+    return maintenance.describe(table(spark, sf_dir, "orders"))
 
 
 @query("maintain_tables", duck("SELECT t AS table_name, m AS moment, n AS row_count FROM (SELECT 'customer' AS t, CAST(count(*) AS BIGINT) AS n FROM {customer} UNION ALL SELECT 'lines', CAST(count(*) AS BIGINT) FROM {lineitem}) x, (SELECT 'before' AS m UNION ALL SELECT 'after') y"))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.observability import dashboards, reports
-from feedloom.plans.ingest import ingest
+from feedloom.plans.ingest import LoadFailed, ingest
 from feedloom.sinks import logs
 from feedloom.sinks.tables import TableStore
 from feedloom.specs import DELTA_FROM_NON_HISTORIZED, EACH, FIRST, FULL_SNAPSHOT, MERGE, NAMES, FeedSpec, FieldSpec, Tolerance
@@ -104,7 +104,9 @@ def test_corrupt_file_and_rejects(place, rows):
     assert runs == {"site_20250902_120001.csv": ("FAILED", 15, 0, "Too many corrupted lines"), "site_20250903_120001.csv": ("SUCCESS", 9, 1, "1 errors detected")}
     assert rows(place.errors(), "column_name", "error_kind", "raw_value") == [("qty", "REJECT", "bad")]
     kept = place.spark.read.parquet(str(place.root / "logs/badrecords/dev"))
-    assert rows(kept, "table_name", "id") == [("site", 77)]
+    bad = [r for r in kept.collect() if r["texts"]]
+    assert [(r["table_name"], r["texts"]["id"], r["texts"]["qty"], r["issues"][0]["column"]) for r in bad] == [("site", "77", "bad", "qty")]
+    assert rows(kept.where("texts IS NULL"), "filename", "line_text") == [("site_20250902_120001.csv", "1,2")] * 5
 
 
 def test_missing_columns(place, rows):
@@ -150,6 +152,8 @@ def test_logs_as_tables(place):
     assert place.spark.sql("SELECT status FROM run_log").collect()[0][0] == "SUCCESS"
     place.store.register("site")
     assert place.spark.sql("SELECT count(*) FROM site_last").first()[0] == 2
+    for view in ("site_all", "site_last"):
+        place.spark.catalog.dropTempView(view)
     place.spark.sql("DROP TABLE run_log")
     place.spark.sql("DROP TABLE empty_log")
 
@@ -192,3 +196,90 @@ def test_new_columns_are_added(place, rows):
     place.load(SITE.with_(mode="DELTA_FROM_FLOW", fields=wider), "two", "b")
     for table in (place.store.current("site"), place.store.history("site")):
         assert rows(table, "id", "extra") == [(0, None), (5, "e")]
+
+
+def dying(monkeypatch, at="commit"):
+    """Lets the next load die at a step of the store."""
+
+    def fail(self, *a, **k):
+        raise OSError("disk lost")
+
+    monkeypatch.setattr(TableStore, at, fail)
+
+
+@pytest.mark.parametrize("mode", [FULL_SNAPSHOT, "DELTA_FROM_FLOW", DELTA_FROM_NON_HISTORIZED])
+def test_a_load_that_dies_before_its_commit_changes_nothing(place, rows, monkeypatch, mode):
+    spec = SITE.with_(mode=mode)
+    place.put("a", site_20250902_120001=lines(10))
+    place.put("b", site_20250903_120001=lines(10, 5, "03/09/2025", "newer"))
+    place.load(spec, "one", "a")
+    before = [rows(place.store.history("site"), "id"), rows(place.store.current("site"), "id", "name")]
+    with monkeypatch.context() as m:
+        dying(m)
+        with pytest.raises(LoadFailed, match="disk lost"):
+            place.load(spec, "two", "b")
+    assert before == [rows(place.store.history("site"), "id"), rows(place.store.current("site"), "id", "name")]
+    assert rows(place.runs().where("status = 'FAILED'"), "filename", "error_message", "row_count") == [("site_20250903_120001.csv", "Ingestion error: disk lost", 0)]
+    # The next load, under an id of its own, does not see what the dead one wrote.
+    place.load(spec, "three", "b")
+    assert place.store.history("site").count() == 20
+    want = {FULL_SNAPSHOT: 10, "DELTA_FROM_FLOW": 20, DELTA_FROM_NON_HISTORIZED: 15}[mode]
+    assert place.store.current("site").count() == want
+
+
+def test_a_retry_adds_nothing_to_tables_or_logs(place, rows):
+    place.put(site_20250902_120001=lines(15) + "x,n,1,02/09/2025\n", site_20250903_120001=lines(3))
+    for _ in range(3):
+        place.load(SITE, "same")
+    assert place.store.history("site").count() == 19 and place.runs().count() == 2
+    assert rows(place.errors(), "error_kind") == [("NULL_VALUE",)]
+
+
+def test_a_failed_load_is_logged_as_failed_only(place, rows):
+    place.put(site_20250902_120001=lines(2))
+    spec = SITE.with_(mode="FULL_KEY_REPLACE", fields=FIELDS[1:])
+    with pytest.raises(LoadFailed, match="needs merge keys"):
+        place.load(spec)
+    assert rows(place.runs(), "filename", "status") == [("site_20250902_120001.csv", "FAILED")]
+
+
+def test_two_loads_at_once_write_apart(place, rows):
+    from feedloom.session import together
+
+    place.put("a", site_20250902_120001=lines(4))
+    place.put("b", site_20250903_120001=lines(4, 10))
+    spec = SITE.with_(mode="DELTA_FROM_FLOW")
+    together(lambda: place.load(spec, "one", "a"), lambda: place.load(spec, "two", "b"))
+    assert place.store.current("site").count() == place.store.history("site").count() == 8
+
+
+def test_every_error_is_logged_by_default(place, rows):
+    fields = (FIELDS[0], FIELDS[1], FieldSpec("qty", "INT", nullable=False, on_error="REJECT"), FIELDS[3])
+    place.put(site_20250902_120001=lines(3) + "".join(f"{i},n,bad,02/09/2025\n" for i in range(100, 2600)))
+    place.load(SITE.with_(fields=fields))
+    assert place.errors().count() == 2500
+    assert rows(place.runs(), "row_count", "error_count") == [(3, 2500)]
+
+
+def test_a_merge_rewrites_only_the_dates_it_touches(place, rows):
+    spec = SITE.with_(mode=DELTA_FROM_NON_HISTORIZED)
+    place.put("a", site_20250902_120001=lines(10), site_20250903_120001=lines(10, 100))
+    place.load(spec, "one", "a")
+    place.put("b", site_20250904_120001=lines(1, 3, "05/09/2025", "newer") + lines(1, 500))
+    place.load(spec, "two", "b")
+    commit = place.store.commits("site")[-1]
+    assert (commit["replaces"], commit["dates"]) == ("dates", [20250902])
+    written = place.spark.read.parquet(str(place.root / "tables/site_last/load_id=two"))
+    assert written.where("dd = 3").isEmpty() and written.count() == 11
+    last = place.store.current("site")
+    assert last.count() == 21 and rows(last.where("name = 'newer'"), "id", "dd") == [(3, 4)]
+
+
+def test_a_load_leaves_no_folders_of_its_own(place):
+    from pathlib import Path
+
+    from feedloom.session import shared_dir
+
+    place.put(site_20250902_120001=lines(2))
+    place.load(SITE)
+    assert not list(Path(shared_dir(place.spark)).glob("load-site-*"))

@@ -82,8 +82,26 @@ def test_versions_and_retries(spark, tmp_path, rows):
         store.append_current("t", frame(1, 2), "a")
     assert rows(store.history("t"), "k") == [(1,), (2,)] == rows(store.current("t"), "k")
     assert store.is_loaded("t", "a") and not store.is_loaded("t", "b")
-    # A version written without its commit, as after a lost driver, is not in force.
-    store.write_version("t", 2, frame(9), "b")
-    assert rows(store.current("t"), "k") == [(1,), (2,)]
-    store.replace_current("t", store.current("t").where("k = 2"), "b")
-    assert rows(store.current("t"), "k") == [(2,)] and store.current_version("t") == 2
+    # Rows written without their commit, as after a lost driver, are not in force on either side.
+    store.add_history("t", frame(9), "b")
+    store.write_current("t", frame(9), "b")
+    assert rows(store.current("t"), "k") == [(1,), (2,)] == rows(store.history("t"), "k")
+    store.replace_current("t", frame(7), "c")
+    assert rows(store.current("t"), "k") == [(7,)] and rows(store.history("t"), "k") == [(1,), (2,)]
+    assert sorted(store.tables()) == ["t_all", "t_last"]
+
+
+def test_dates_of_later_loads_replace_those_of_earlier_ones(spark, tmp_path, rows):
+    store = TableStore(spark, str(tmp_path))
+    frame = lambda *kd: spark.createDataFrame([(k, 2025, 9, d) for k, d in kd], "k int, yyyy int, mm int, dd int")
+    store.replace_current("t", frame((1, 1), (2, 2), (3, 3)), "a")
+    new = frame((20, 2), (40, 4))
+    store.write_current("t", new, "b")
+    store.commit("t", "b", new.schema, new.schema, "dates", [20250902])
+    assert rows(store.current("t"), "k") == [(1,), (20,), (3,), (40,)]
+    more = frame((41, 4))
+    store.write_current("t", more, "c")
+    store.commit("t", "c", more.schema, more.schema, "dates", [20250904, 20250901])
+    assert rows(store.current("t"), "k") == [(20,), (3,), (41,)]
+    plan = store.current("t").where("dd = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
