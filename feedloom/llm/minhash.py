@@ -7,8 +7,9 @@ Documents with equal sets form a class, represented by their smallest id; only r
   probability below 5e-8.
 * A bucket (equal band) is not expanded into pairs. In a few rounds each bucket compares its members with
   one centre, another one each round; what is linked joins one component and need not be compared any
-  more. At last, members outside the largest component of their bucket are compared with every member
-  of another component, so that no pair of a bucket is left out that could still join two components.
+  more. At last, buckets that share members are taken together, and documents outside the largest
+  component of such a cluster are compared with all of it in blocks, so that no pair of a bucket is left
+  out that could still join two components. No step makes a row for every pair of a group.
 * A pair is tested on 32 minima at a time. With a uniform prior, the posterior probability of reaching
   the threshold after ``m`` of ``n`` agreements is a binomial tail; a pair is dropped as soon as that
   is below ``miss``. Survivors are compared on their full sets.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,6 +37,7 @@ from feedloom.session import staged
 BANDS, ROWS, STEP = 32, 4, 32
 MINIMA = BANDS * ROWS
 ROUNDS = 3  # rounds with one centre per bucket, before the rest is compared in full
+ASKING, ASKED = 1 << 18, 1 << 20  # shingles of either side in a block of that rest
 _rng = np.random.default_rng(20240229)
 FACTORS = _rng.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = _rng.integers(0, 2**63, MINIMA, dtype=np.uint64)
@@ -191,7 +194,7 @@ def near_duplicates(
             break
         names = _renamed(names, links, label)
     open_ = _open_buckets(buckets, names, f"{label}-open")
-    links = links_of(_rest_pairs(open_, percent), sigs, sets, percent, miss, label)
+    links = rest_links(open_, sigs, sets, percent, miss, label)
     names = _renamed(names, links, label)
 
     class_names = reps.select("key", "rep").join(names, "rep", "left").select(
@@ -221,20 +224,75 @@ def _star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
 
 
-def _rest_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that could still join components. The largest component of a bucket is not
-    paired with itself, so the pairs are as many as members outside it times members."""
-    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("m")).select("bucket", F.col("m.component").alias("main"))
-    marked = members.join(main, "bucket")
-    few = marked.where("component <> main").select("bucket", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("component").alias("pc"))
-    on = ["bucket"]
-    met = marked.join(few, on).where(
-        (F.col("component") != F.col("pc"))
-        & ((F.col("component") == F.col("main")) | (F.col("rep") < F.col("p")))
-        & similar_sizes("n", "pn", percent)
+def rest_links(members: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, miss: float, label: str) -> DataFrame:
+    """Links that could still join components, without a row per pair.
+
+    Buckets that share members form a cluster. In each, the documents outside its largest component are
+    compared with all of it, block by block: a task holds a bounded number of shingles of either side,
+    tests signatures and then full sets, and gives a link for each component a document reaches.
+    """
+    first = members.groupBy("bucket").agg(F.min("rep").alias("b"))
+    edges = members.join(first, "bucket").select(F.col("rep").alias("a"), "b")
+    cluster = components(edges, f"{label}-clusters").select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    docs = staged(members.select("rep", "n", "component").distinct().join(cluster, "rep"), f"{label}-clustered")
+    sizes = docs.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
+    whole = sizes.groupBy("cluster").agg(F.max(F.struct("k", "component", "s")).alias("m"), F.sum("s").alias("all"))
+    parts = whole.select(
+        "cluster",
+        F.col("m.component").alias("main"),
+        F.ceil((F.col("all") - F.col("m.s")) / ASKING).cast("int").alias("rows"),
+        F.ceil(F.col("all") / ASKED).cast("int").alias("columns"),
+    ).where("rows > 0")
+    placed = docs.join(parts, "cluster").join(sigs, "rep").join(sets, "rep")
+    spread = F.xxhash64("rep")
+    up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    facts = ["cluster", "rep", "component", "sig", "members"]
+    asked = placed.select(*facts, F.lit(False).alias("asks"), up_to("rows").alias("row"), F.pmod(spread, "columns").cast("int").alias("column"))
+    asking = placed.where("component <> main").select(
+        *facts, F.lit(True).alias("asks"), F.pmod(spread, "rows").cast("int").alias("row"), up_to("columns").alias("column")
     )
-    return met.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
+    blocks = asked.unionByName(asking).groupBy("cluster", "row", "column")
+    return staged(blocks.applyInPandas(_compare(percent, miss), "a long, b long").distinct(), f"{label}-links")
+
+
+def _compare(percent: int, miss: float):
+    limits = least_agreements(percent / 100, miss)
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        asks = rows[rows["asks"]]
+        other = rows[~rows["asks"]].sort_values("rep")
+        found = []
+        if len(asks) and len(other):
+            sig = np.frombuffer(b"".join(other["sig"]), dtype=np.uint32).reshape(-1, MINIMA)
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in other["members"]]
+            n = np.array([len(x) for x in sets])
+            # Shingles by number, so that membership in one set is a lookup in an array.
+            names, number = np.unique(np.concatenate(sets), return_inverse=True)
+            begin = np.concatenate([[0], np.cumsum(n)[:-1]])
+            part, reps = other["component"].to_numpy(), other["rep"].to_numpy()
+            mark = np.zeros(len(names) + 1, dtype=bool)
+            for rep, component, mine, own in zip(asks["rep"], asks["component"], asks["sig"], asks["members"], strict=True):
+                mine, own = np.frombuffer(mine, dtype=np.uint32), np.frombuffer(own, dtype=np.uint64)
+                left = np.flatnonzero(
+                    (part != component) & (100 * np.minimum(n, len(own)) >= percent * np.maximum(n, len(own)))
+                )
+                agreed = np.zeros(len(left), dtype=int)
+                for upto, fewest in limits:
+                    agreed += (sig[left, upto - STEP : upto] == mine[upto - STEP : upto]).sum(axis=1)
+                    left, agreed = left[agreed >= fewest], agreed[agreed >= fewest]
+                if not len(left):
+                    continue
+                at = np.searchsorted(names, own)
+                known = at[(at < len(names)) & (names[np.minimum(at, len(names) - 1)] == own)]
+                mark[known] = True
+                both = np.array([np.count_nonzero(mark[number[begin[j] : begin[j] + n[j]]]) for j in left])
+                mark[known] = False
+                linked = left[100 * both >= percent * (n[left] + len(own) - both)]
+                _, one_each = np.unique(part[linked], return_index=True)
+                found.extend((min(rep, reps[j]), max(rep, reps[j])) for j in linked[one_each])
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
 
 
 def _renamed(names: DataFrame, links: DataFrame, label: str) -> DataFrame:
@@ -246,3 +304,16 @@ def _renamed(names: DataFrame, links: DataFrame, label: str) -> DataFrame:
     merged = components(edges, label).select(F.col("node").alias("component"), F.col("component").alias("new"))
     joined = names.join(merged, "component", "left").select("rep", F.coalesce("new", "component").alias("component"))
     return staged(joined, f"{label}-names")
+
+
+def deduplicated(docs: DataFrame, label: str = "dedup", **options) -> DataFrame:
+    """Rows of ``docs`` with one document of each component; of rows that repeat an id, one stays."""
+    found = staged(near_duplicates(docs, label=label, **options), f"{label}-found")
+    gone = found.where(~F.col("kept")).select("doc_id")
+    left = docs.join(gone, "doc_id", "left_anti")
+    named = found.where(F.col("kept") & F.col("doc_id").isNotNull())
+    repeated = staged(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), f"{label}-repeated")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once)
