@@ -21,15 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import block_starts, ordered_blocks, within_block
-from feedloom.llm.tokenizing import memory
+from feedloom.llm.tokenizing import memory, slices
 from feedloom.session import staged
 
 DIMENSIONS, BITS = 4, 9  # of the grid; the key has 36 bits, and 27 more of a hash of the id
 TIE_BITS = 27
+PART = 4 << 20  # bytes of text encoded at a time
 
 
 def directions(ids: int, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -72,16 +74,27 @@ def _encode(file: str, ids: int, closing: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered, way = memory(file, "ids"), directions(ids)
-        end = np.array([closing], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, PART)):
             # A space is never part of a token of this vocabulary, so pieces between spaces are independent.
-            cut = [t.replace("\n", " ").split(" ") if t else [] for t in batch.column(1).to_pylist()]
-            known = remembered.learn({x for p in cut for x in p})
-            codes = [b"".join([*map(known.__getitem__, p), end]) for p in cut]
-            flat = np.frombuffer(b"".join(codes), dtype="<u4")
-            n = np.array([len(c) // 4 for c in codes], dtype=np.int64)
-            starts = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-            means = [np.add.reduceat(way[flat, i], starts, dtype=np.float64) / n for i in range(DIMENSIONS)] if len(n) else [[]] * DIMENSIONS
+            spaced = pc.replace_substring(pc.fill_null(batch.column(1), ""), "\n", " ")
+            pieces = pc.split_pattern(spaced, " ")
+            distinct = pieces.flatten().dictionary_encode()
+            code, bounds = distinct.indices.to_numpy(), pieces.offsets.to_numpy()
+            names = distinct.dictionary.to_pylist()
+            found = remembered.of(names, np.bincount(code, minlength=len(names)).tolist())
+            size = np.array(list(map(len, found)), dtype=np.int64) // 4
+            first = np.cumsum(size) - size
+            pool = np.frombuffer(b"".join(found), dtype="<u4")
+            # Ids of all pieces in order, then the closing id after those of every text.
+            each = size[code]
+            upto = np.concatenate([[0], np.cumsum(each)])
+            n = upto[bounds[1:]] - upto[bounds[:-1]] + 1
+            flat = np.full(n.sum(), closing, dtype="<u4")
+            starts = np.cumsum(n) - n
+            own = np.ones(len(flat), dtype=bool)
+            own[starts + n - 1] = False
+            flat[own] = pool[np.arange(upto[-1]) + np.repeat(first[code] - upto[:-1], each)]
+            means = [np.add.reduceat(way[flat, i], starts, dtype=np.float64) / n for i in range(DIMENSIONS)]
             small = flat.astype("<u2")
             out = [small[s : s + k].tobytes() for s, k in zip(starts, n, strict=True)]
             arrays = [batch.column(0), batch.column(2), pa.array(n), pa.array(out, pa.binary()), *[pa.array(m, pa.float64()) for m in means]]

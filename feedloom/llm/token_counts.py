@@ -44,8 +44,7 @@ def _short(file: str):
             cut = [BEFORE_SPACE.split(t) if t else [] for t in batch.column(2).to_pylist()]
             # The first piece of a text has no space before it.
             pieces = [[p[0], *[" " + x for x in p[1:]]] if p else [] for p in cut]
-            known = remembered.learn({x for p in pieces for x in p})
-            n = pa.array([sum(map(known.__getitem__, p)) for p in pieces], pa.int64())
+            n = pa.array(map(sum, remembered.values(pieces)), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n], names=["doc_id", "n_bytes", "n_tokens"])
 
     return run

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMORY = 200_000  # pieces remembered per Python worker; some 40 MB
+MEMORY = 500_000  # pieces remembered per Python worker; some 100 MB
+ONCE = 500_000  # hashes of pieces met once; some 30 MB
 SLICE = 1 << 20  # characters cut into pieces at a time
 
 #: A space after a character that is no white space. The byte-level pattern never joins such a
@@ -47,27 +51,98 @@ def tokenizer(name: str):
 
 
 class Memory:
-    """What each piece of text is encoded to. Starts anew when full, which costs time but no result."""
-
-    def __init__(self, name: str, keep: Callable):
-        self.name, self.keep, self.known = name, keep, {}
-
-    def learn(self, pieces: set[str]) -> dict:
-        """``known`` with all of ``pieces`` in it."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > MEMORY:
-            self.known, new = {}, list(pieces)
-        if new:
-            found = tokenizer(self.name).encode_batch(new, add_special_tokens=False)
-            self.known.update(zip(new, map(self.keep, found), strict=True))
-        return self.known
+    """What pieces of text are encoded to, for those met more than once.
+
+    Most distinct pieces of a corpus occur a single time; remembering them would only push out the
+    others. A full memory starts anew, which costs time but changes no result.
+
+    A full stop or comma at the end, after a letter or digit, is a piece of its own for both kinds of
+    vocabulary, so it is put aside before a piece counts as new. With ``fold`` ASCII pieces are
+    lower-cased, which a vocabulary without capitals does itself.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list], fold: bool):
+        self.encode, self.fold = encode, fold
+        self.known: dict[str, object] = {}
+        self.once: set[int] = set()
+
+    def split(self, piece: str) -> tuple[str, str]:
+        core, mark = piece, ""
+        if piece[-1:] in (".", ",") and piece[-2:-1].isalnum():
+            core, mark = piece[:-1], piece[-1]
+        if self.fold and core.isascii() and "<" not in core:
+            core = core.lower()
+        return core, mark
+
+    def values(self, texts: list[list[str]]) -> list[list]:
+        """For every text the values of its pieces."""
+        counts = Counter(chain.from_iterable(texts))
+        found = dict(zip(counts, self.of(list(counts), list(counts.values())), strict=True))
+        return [list(map(found.__getitem__, t)) for t in texts]
+
+    def of(self, pieces: list[str], counts: list[int]) -> list:
+        """Values of distinct pieces that were met so many times."""
+        known = self.known
+        new = [(p, n, *self.split(p)) for p, n in zip(pieces, counts, strict=True) if p not in known]
+        cores: dict[str, int] = {}
+        for _, n, core, mark in new:
+            if core not in known:
+                cores[core] = cores.get(core, 0) + n
+            if mark and mark not in known:
+                cores[mark] = 2
+        known.update(zip(cores, self.encode(list(cores)), strict=True))
+        for p, _, core, mark in new:
+            if mark:
+                known[p] = known[core] + known[mark]
+            elif p is not core:
+                known[p] = known[core]
+        out = list(map(known.__getitem__, pieces))
+        rare = [c for c, n in cores.items() if n == 1 and hash(c) not in self.once]
+        self.once.update(map(hash, rare))
+        for p in [p for p, n, core, _ in new if p != core and n == 1] + rare:
+            del known[p]
+        if len(self.once) > ONCE:
+            self.once = set()
+        if len(known) > MEMORY:
+            self.known = {}
+        return out
+
+
+def counts_of(name: str) -> Callable[[list[str]], list[int]]:
+    return lambda pieces: [len(e.ids) for e in tokenizer(name).encode_batch_fast(pieces, add_special_tokens=False)]
+
+
+def ids_of(name: str, end: str = "</w>") -> Callable[[list[str]], list[bytes]]:
+    """Ids of pieces as bytes. Words of letters alone are encoded as one text and told apart by the
+    ids that end a word; if their number is not that of the words, one by one."""
+    vocabulary_ = tokenizer(name).get_vocab()
+    ends = np.zeros(max(vocabulary_.values()) + 1, dtype=bool)
+    ends[[i for token, i in vocabulary_.items() if token.endswith(end)]] = True
+
+    def single(pieces: list[str]) -> list[bytes]:
+        found = tokenizer(name).encode_batch_fast(pieces, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        plain = [i for i, p in enumerate(pieces) if p.isalpha()]
+        out: list[bytes | None] = [None] * len(pieces)
+        if plain:
+            ids = np.array(tokenizer(name).encode(" ".join([pieces[i] for i in plain]), add_special_tokens=False).ids, dtype="<u4")
+            stop = np.flatnonzero(ends[ids]) + 1
+            if len(stop) == len(plain) and stop[-1] == len(ids):
+                data, begin = ids.tobytes(), 0
+                for i, at in zip(plain, (stop * 4).tolist(), strict=True):
+                    out[i] = data[begin:at]
+                    begin = at
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, single([pieces[i] for i in rest]), strict=True):
+            out[i] = x
+        return out
+
+    return encode
 
 
 @lru_cache(maxsize=8)
 def memory(name: str, kind: str) -> Memory:
     """One memory per worker process, file and kind; it outlives the task."""
-    kinds = {
-        "count": lambda e: len(e.ids),
-        "ids": lambda e: np.array(e.ids, dtype="<u4").tobytes(),
-    }
-    return Memory(name, kinds[kind])
+    return Memory(counts_of(name), False) if kind == "count" else Memory(ids_of(name), True)
