@@ -118,7 +118,9 @@ def judge(
         duplicate_keys(accepted, spec.merge_keys, spec.table, UNIT),
     ]
     if missing:
-        frames.append(missing_column_errors(files, list(missing), spec.table, lenient=True))
+        # Under the name the log has: that of the unit, not of each merged file.
+        named = unit_names.select(F.col(UNIT).alias("file_name"))
+        frames.append(missing_column_errors(named, list(missing), spec.table, lenient=True))
     return Load(
         spec=spec,
         accepted=accepted,
@@ -277,6 +279,35 @@ def refused_names(spec: FeedSpec, files: DataFrame) -> tuple[DataFrame, DataFram
     return quality, runs.withColumn("column_count", F.lit(0))
 
 
+def ingest_rows(
+    rows: DataFrame, spec: FeedSpec, store: TableStore, log_root: str, load_id: str, env: str = "dev",
+) -> None:
+    """Load rows already read as text, with where they came from (``_file``, ``_path``, ``_block``,
+    ``_row``, ``_corrupt_record``), such as a micro-batch, through the same typing, gates and merge."""
+    started = time.time()
+    if store.is_loaded(spec.table, load_id):
+        return
+    spark = rows.sparkSession
+    scratch = Scratch(spark, f"load-{spec.table}")
+    try:
+        typed = stage(rows, spec, scratch.staged)
+        files = typed.select(F.col(FILE).alias("file_name")).distinct()
+        load = judge(spec, typed, files, keep=lambda df, label: scratch.staged(df, f"{label}-{spec.table}"))
+        ready: dict = {}
+
+        def write_tables() -> None:
+            ready["commit"] = write_load(load, store, load_id, keep=scratch.staged)
+
+        def stage_errors() -> None:
+            ready["errors"] = scratch.staged(load.errors, f"errors-{spec.table}")
+
+        together(write_tables, stage_errors)
+        ready["commit"]()
+        _log(spec, ready["errors"], with_error_counts(load.runs, ready["errors"]), log_root, env, started, load_id)
+    finally:
+        scratch.remove()
+
+
 class LoadFailed(Exception):
     """A load that ended without taking effect; its files are in the execution log as FAILED."""
 

@@ -56,7 +56,7 @@ def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     return T.StructType([*old, *[f for f in new if f.name.lower() not in known]])
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Table with additive schema changes merged; the load folder is not part of the rows."""
     return spark.read.option("mergeSchema", "true").parquet(path).drop("load_id")
 

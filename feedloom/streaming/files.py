@@ -8,7 +8,7 @@ batches of a bounded number of files, and stop.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from feedloom.functions.filenames import belongs_to, received_name, stream_name_parts
 from feedloom.observability.reports import table_inventory
-from feedloom.sources.delimited import CORRUPT, csv_options, first_line
+from feedloom.plans.ingest import ingest_rows, reason
+from feedloom.sinks.tables import TableStore
+from feedloom.sources.delimited import BLOCK, CORRUPT, FILE, PATH, ROW, csv_options, first_line
 from feedloom.sources.listing import by_feed, list_files, match_config
 from feedloom.specs import NAMES, FeedSpec, FieldSpec
 
@@ -29,6 +31,7 @@ class StreamResult:
     status: str
     rows: int
     batches: int
+    message: str = ""
 
 
 def read_stream(
@@ -144,13 +147,38 @@ def stream_feeds(
     results = {}
     for row in match_config(found, config, "substring").collect():
         spec = specs.get(row["table_name"]) or _from_header(spark, source, row["name"])
-        rows = read_stream(spark, source, spec.with_(table=row["name"]))
-        results[row["name"]] = run_into_staging(
-            rows, f"{root}/{spec.table}_staging", f"{root}/checkpoints/{row['name']}"
-        )
+        try:
+            rows = read_stream(spark, source, spec.with_(table=row["name"]))
+            results[row["name"]] = run_into_staging(
+                rows, f"{root}/{spec.table}_staging", f"{root}/checkpoints/{row['name']}"
+            )
+        except Exception as problem:  # noqa: BLE001 - one broken feed must not stop the others
+            results[row["name"]] = StreamResult("ERROR", 0, 0, reason(problem))
     return results
 
 
+def stream_into_tables(
+    spark: SparkSession, source: str, spec: FeedSpec, store: TableStore, log_root: str, checkpoint: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> StreamResult:
+    """New files of a feed through typing, gates and merge into its tables, with logs per micro-batch.
+
+    A micro-batch that is sent again after a failure has the same load id and changes nothing twice.
+    """
+
+    lowered = spec.with_(fields=tuple(replace(f, name=f.name.lower()) for f in spec.fields))
+
+    def handle(batch: DataFrame, load_id: str) -> None:
+        rows = batch.select(
+            *lowered.columns, CORRUPT, F.col("FILE_NAME_RECEIVED").alias(FILE),
+            F.col("FILE_PATH_RECEIVED").alias(PATH), F.lit(0).cast("long").alias(BLOCK),
+            F.monotonically_increasing_id().alias(ROW),
+        )
+        ingest_rows(rows, lowered, store, log_root, load_id)
+
+    return run_batches(read_stream(spark, source, spec, files_per_batch), checkpoint, handle)
+
+
 def _from_header(spark: SparkSession, source: str, feed: str) -> FeedSpec:
     spec = FeedSpec(feed, header=NAMES, imposed=False)
     mine = belongs_to(received_name(F.col("_metadata.file_path")), feed)

@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from feedloom.observability import maintenance
 from feedloom.operators.columns import stamp
-from feedloom.plans import ingest
 from feedloom.session import fresh_dir
 from feedloom.sinks.tables import TableStore, read_table, write_partitioned
-from feedloom.sources.delimited import BLOCK, CORRUPT, FILE, PATH, ROW
 from feedloom.specs import DELTA_FROM_NON_HISTORIZED, NAMES, FeedSpec, FieldSpec
 from feedloom.streaming import files as stream
 from feedloom.workload import feeds
@@ -184,19 +182,8 @@ def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_to_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every micro-batch goes through the same typing, gates and merge as a batch load."""
     store = TableStore(spark, fresh_dir(spark, "tables"))
-
-    def handle(batch: DataFrame, load_id: str) -> None:
-        rows = batch.select(
-            *[c.lower() for c in EVENT_SPEC.columns], CORRUPT, F.col("FILE_NAME_RECEIVED").alias(FILE),
-            F.col("FILE_PATH_RECEIVED").alias(PATH), F.lit(0).cast("long").alias(BLOCK),
-            F.monotonically_increasing_id().alias(ROW),
-        )
-        typed = ingest.stage(rows, EVENT_SPEC)
-        files = typed.select(F.col(FILE).alias("file_name")).distinct()
-        ingest.apply_load(ingest.judge(EVENT_SPEC, typed, files), store, load_id)
-
-    source = feeds.events_csv(spark, sf_dir)
-    stream.run_batches(stream.read_stream(spark, source, EVENT_SPEC), fresh_dir(spark, "checkpoint"), handle)
+    source, logs = feeds.events_csv(spark, sf_dir), fresh_dir(spark, "logs")
+    stream.stream_into_tables(spark, source, EVENT_SPEC, store, logs, fresh_dir(spark, "checkpoint"))
     sides = [
         df.select(
             F.lit(side).alias("side"), "FILE_NAME_RECEIVED", "event_id", "user_id", "event_type",

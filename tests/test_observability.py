@@ -82,3 +82,28 @@ def test_statistics_of_a_catalog_table(spark):
         assert reports.table_inventory({"stat_all": found["stat_all"]}).first()["rows"] == 10
     finally:
         spark.sql("DROP TABLE stat_all")
+
+
+def test_clustered_files_are_sorted_and_cover_small_ranges(spark, tmp_path):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from feedloom.sinks.tables import TableStore
+
+    rows = spark.range(4000).select(
+        F.pmod(F.xxhash64("id"), F.lit(10_000)).alias("k"), F.lit(2025).alias("yyyy"), (F.col("id") % 3 + 1).cast("int").alias("mm"), F.lit(1).alias("dd")
+    )
+    rows.repartition(6).write.parquet(str(tmp_path / "in"))
+    maintenance.cluster(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["k"])
+    files = list(Path(tmp_path / "out").rglob("*.parquet"))
+    assert len(files) < 12
+    for f in files:
+        keys = pq.read_table(f, partitioning=None)["k"].to_pylist()
+        assert keys == sorted(keys)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    store.replace_current("t", rows, "a")
+    maintenance.cluster_current(store, "t", "b", ["k"])
+    maintenance.compact_current(store, "t", "c")
+    assert store.current("t").exceptAll(rows).isEmpty() and store.current("t").count() == 4000
+    assert [c["load_id"] for c in store.commits("t")] == ["a", "b", "c"]

@@ -126,3 +126,23 @@ def test_archives(spark, tmp_path, rows):
     ]
     failed = {r["archive"]: r["error"] for r in lines.where("error is not null").collect()}
     assert set(failed) == {"bad.zip", "none_1.zip"} and failed["none_1.zip"] == "No valid files in ZIP"
+
+
+def test_a_damaged_archive_gives_no_line(spark, tmp_path, rows):
+    for name in ("good_1.zip", "bad_1.zip"):
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("a.csv", "A,B\n1,2\n")
+            z.writestr("b.csv", "A,B\n" + "".join(f"{i},{i * i}\n" for i in range(3000)))
+    data = bytearray((tmp_path / "bad_1.zip").read_bytes())
+    data[len(data) // 2] ^= 0xFF
+    (tmp_path / "bad_1.zip").write_bytes(bytes(data))
+    lines = archive.read_archives(spark, str(tmp_path))
+    bad = lines.where("archive = 'bad_1.zip'").collect()
+    assert len(bad) == 1 and bad[0]["error"].startswith("Invalid ZIP file")
+    assert lines.where("archive = 'good_1.zip' AND error IS NULL").count() == 3003
+
+
+def test_deliveries_may_start_like_part_files(spark, tmp_path, rows):
+    path = write(tmp_path / "in", **{"part-20250901__csv": "1,2\n"})
+    write(tmp_path / "in" / "x_20250902.csv", **{"part-00000__csv": "3,4\n"})
+    assert rows(listing.list_files(spark, path), "file_name", "folder") == [("part-20250901.csv", "in"), ("x_20250902.csv", "in")]

@@ -40,3 +40,29 @@ def test_load_ids_differ_between_checkpoints(spark, tmp_path):
         rows = stream.read_stream(spark, str(tmp_path / "in"), SPEC)
         stream.run_batches(rows, str(tmp_path / state), lambda df, load_id: seen.append(load_id))
     assert len(seen) == 2 and seen[0] != seen[1] and all(s.endswith("-000000000") for s in seen)
+
+
+def test_a_file_with_its_columns_in_another_order_is_not_taken_wrong(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "site_1.csv").write_text("Name,ID\nann,1\n")
+    (tmp_path / "in" / "other_1.csv").write_text("X,Y\n1,2\n")
+    results = stream.stream_feeds(spark, str(tmp_path / "in"), {"site": SPEC}, str(tmp_path / "out"))
+    assert results["site"].status == "ERROR" and "site_1.csv" in results["site"].message
+    assert (results["other"].status, results["other"].rows) == ("SUCCESS", 1)
+
+
+def test_stream_into_tables_with_logs(spark, tmp_path, rows):
+    from feedloom.sinks import logs
+    from feedloom.sinks.tables import TableStore
+
+    (tmp_path / "in").mkdir()
+    store, state, log = TableStore(spark, str(tmp_path / "tables")), str(tmp_path / "state"), str(tmp_path / "log")
+    spec = FeedSpec("site", (FieldSpec("ID", "INT", nullable=False), FieldSpec("Name")), header=NAMES)
+    run = lambda: stream.stream_into_tables(spark, str(tmp_path / "in"), spec, store, log, state)
+    (tmp_path / "in" / "site_20250902.csv").write_text("ID,Name\n1,a\n2,b\n")
+    assert run().rows == 2
+    (tmp_path / "in" / "site_20250903.csv").write_text("ID,Name\n3,c\n")
+    assert run().rows == 1 and run().status == "NO_DATA"
+    assert rows(store.current("site"), "id", "name") == [(1, "a"), (2, "b"), (3, "c")]
+    runs = logs.read_log(spark, f"{log}/execution", logs.EXECUTION_LOG)
+    assert rows(runs, "filename", "row_count", "status") == [("site_20250902.csv", 2, "SUCCESS"), ("site_20250903.csv", 1, "SUCCESS")]
