@@ -3,7 +3,8 @@
 A page is cut into lines, one per block element, in page order. Pages are sorted by host and URL path,
 and each is compared with the neighbour in that order whose path shares the longer start with its own
 (the earlier one on a tie). The two lists of lines are aligned by a longest common subsequence, and
-lines that both pages have are template, not text: they are deleted.
+lines that both pages have are template, not text: they are deleted. Protected lines, as said below,
+cannot be deleted and are left out of the comparison.
 
 Differencing alone can't give exact articles. It keeps what a template fills in anew on every page, it
 has nothing to compare where a host has one page, and it would delete sentences that two articles of a
@@ -188,10 +189,20 @@ def nearer(path: str, before: str | None, after: str | None) -> int:
     return 0 if left < 0 and right < 0 else -1 if left >= right else 1
 
 
-PARSED = "page_id long, url string, host string, path string, lines array<struct<text: string, state: int>>"
+# ``places``: where the lines stand among those that are compared; null for the protected lines of an article.
+PARSED = "page_id long, url string, host string, path string, lines array<string>, places array<int>"
 HASHED = "page_id long, host string, path string, hashes array<long>"
 
 
+def candidates(lines: list[tuple[str, int]]) -> tuple[list[str], list[int] | None]:
+    """Lines that may be text: those of the article, or where there is none the undecided ones with
+    their places among the lines that are compared."""
+    article = [t for t, s in lines if s == ARTICLE]
+    if article:
+        return article, None
+    return [t for t, s in lines if s == OPEN], [i for i, (_, s) in enumerate(lines) if s == OPEN]
+
+
 def _parse(hashed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,14 +213,18 @@ def _parse(hashed: bool):
                 pages = [lines_of(h) for h in part.column(2).to_pylist()]
                 host, path = pa.array([s[0] for s in sites], pa.string()), pa.array([s[1] for s in sites], pa.string())
                 if hashed:
-                    codes = [np.array([xxhash.xxh3_64_intdigest(t) for t, _ in p], dtype=np.uint64).view(np.int64) for p in pages]
+                    codes = [
+                        np.array([xxhash.xxh3_64_intdigest(t) for t, s in p if s != ARTICLE], dtype=np.uint64).view(np.int64)
+                        for p in pages
+                    ]
                     arrays = [part.column(0), host, path, pa.array(codes, pa.list_(pa.int64()))]
                     yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "host", "path", "hashes"])
                 else:
-                    kind = pa.list_(pa.struct([("text", pa.string()), ("state", pa.int32())]))
-                    lines = pa.array([[{"text": t, "state": s} for t, s in p] for p in pages], kind)
-                    names = ["page_id", "url", "host", "path", "lines"]
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), host, path, lines], names=names)
+                    chosen = [candidates(p) for p in pages]
+                    lines = pa.array([c[0] for c in chosen], pa.list_(pa.string()))
+                    places = pa.array([c[1] for c in chosen], pa.list_(pa.int32()))
+                    names = ["page_id", "url", "host", "path", "lines", "places"]
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), host, path, lines, places], names=names)
 
     return run
 
@@ -247,19 +262,15 @@ def shared_lines(pages: DataFrame, label: str) -> DataFrame:
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", label: str = "pages") -> DataFrame:
-    """``page_id, url, text, lines, n_shared``: the main text, the lines it is made of, and how many
-    lines of the page its neighbour has too."""
+    """``page_id, url, text, lines, n_shared``: the main text, the lines it is made of, and how many of
+    the lines that are not protected its neighbour has too."""
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html")
     )
     parsed = rows.mapInArrow(_parse(False), PARSED)
     known = parsed.join(shared_lines(rows, label), ["host", "path"], "left")
     shared = F.coalesce("shared", F.array().cast("array<int>"))
-    in_article = F.exists("lines", lambda x: x["state"] == ARTICLE)
-    article = F.filter("lines", lambda x: x["state"] == ARTICLE)
-    undecided = F.filter("lines", lambda x: x["state"] == OPEN)
-    own = F.filter("lines", lambda x, i: (x["state"] == OPEN) & ~F.array_contains(F.col("shared"), i.cast("int")))
-    text = F.when(in_article, article).when(F.size(own) > 0, own).otherwise(undecided)
-    chosen = known.withColumn("shared", shared).select("page_id", "url", F.transform(text, lambda x: x["text"]).alias("lines"),
-                                                       F.size("shared").alias("n_shared"))
+    own = F.filter("lines", lambda x, i: ~F.array_contains(F.col("shared"), F.col("places")[i]))
+    text = F.when(F.col("places").isNull() | (F.size(own) == 0), F.col("lines")).otherwise(own)
+    chosen = known.withColumn("shared", shared).select("page_id", "url", text.alias("lines"), F.size("shared").alias("n_shared"))
     return chosen.select("page_id", "url", F.array_join("lines", " ").alias("text"), "lines", "n_shared")

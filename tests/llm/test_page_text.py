@@ -89,7 +89,7 @@ def test_differencing_decides_without_an_article(pages):
     assert by[100]["text"] == whole("Only page") and by[101]["text"] == whole("No address")
     assert by[102]["text"] == by[103]["text"] == ""
     assert by[104]["text"] == whole("Same") and by[106]["text"] == whole("Repeated")
-    assert by[107]["text"] == "Common A" and by[107]["n_shared"] == 1
+    assert by[107]["text"] == "Common A" and by[107]["n_shared"] == 0
 
 
 def test_empty_table(pages):
