@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,6 +15,14 @@ from feedloom.session import staged
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows per Arrow batch, where the session has Spark's default: ten thousand texts at once
+    would be held several times over by a Python worker."""
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, "1000")
+
+
 def ordered_blocks(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     """Rows sorted into range partitions and written once, each with the number of its block.
 

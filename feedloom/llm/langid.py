@@ -26,6 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.llm.common import small_batches
+from feedloom.llm.tokenizing import slices
+
 UNKNOWN = "und"
 WINDOW = 1 << 19  # bytes scored at a time; bounds the memory of a task
 
@@ -204,11 +207,12 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
              keep: bool = False) -> DataFrame:
     """Language of every row. ``score`` is the probability of the best language if all are equally
     likely beforehand; ``bits_per_byte`` its code length per byte. ``keep`` adds the row as ``row``."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2, 4 * WINDOW)):
             texts = batch.column(2).to_pylist()
             lettered = np.array(batch.column(3).to_pylist(), dtype=bool)
             scored = np.flatnonzero(lettered) if m else np.array([], dtype=int)

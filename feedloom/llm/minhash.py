@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import small_batches
 from feedloom.llm.graphs import components
 from feedloom.session import staged
 
@@ -163,6 +164,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row. Documents are linked if their sets share
     ``percent`` of their union; a component is named by its smallest id, and only that one is kept."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     sketched = staged(
         rows.mapInArrow(_sketch(shingle), "doc_id long, n_shingles long, key binary, sig binary"), f"{label}-sketches"

@@ -21,6 +21,7 @@ are scored alike; several labels of one id count as toxic if one is; other colum
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.llm.common import small_batches
 from feedloom.llm.langid import remainder
+from feedloom.llm.tokenizing import slices
 
 BUCKETS, WIDTH, FILTERS = 1 << 18, 8, 8
 SPANS = (1, 2, 3)  # words a filter covers
 STEMS = (4, 5, 6)  # letters of the beginnings
 SLOTS = 1 + len(STEMS)
-REMEMBERED = 200_000  # words remembered per Python worker
+REMEMBERED = 100_000  # words remembered per Python worker
 RUN = 1 << 17  # words scored at a time
 
 
@@ -64,7 +67,11 @@ class Words:
 
     def __init__(self):
         self.number: dict[str, int] = {}
-        self.buckets = [[0] * SLOTS]
+        self.flat = array("i", [0] * SLOTS)
+
+    def buckets(self, start: int = 0) -> np.ndarray:
+        """Buckets of the words from number ``start`` on, a row each."""
+        return np.array(self.flat[start * SLOTS :], dtype=np.int32).reshape(-1, SLOTS)
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -72,15 +79,15 @@ class Words:
             words = text.split()
             for w in set(words):
                 if w not in self.number:
-                    self.number[w] = len(self.buckets)
-                    self.buckets.append(features(w))
-            out.append(np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words)))
+                    self.number[w] = len(self.flat) // SLOTS
+                    self.flat.extend(features(w))
+            out.append(np.fromiter(map(self.number.__getitem__, words), dtype=np.int32, count=len(words)))
         return out
 
 
 def laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers of all texts one after the other with empty places between; begins and ends."""
-    gap = np.zeros(max(SPANS) - 1, dtype=np.int64)
+    gap = np.zeros(max(SPANS) - 1, dtype=np.int32)
     line = np.concatenate([x for t in texts for x in (t, gap)] or [gap])
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     begins = np.concatenate([[0], np.cumsum(sizes + len(gap))[:-1]]).astype(np.int64) if len(sizes) else sizes
@@ -220,6 +227,27 @@ def best_threshold(logit: np.ndarray, y: np.ndarray) -> float:
     return float((padded[cut] + padded[cut + 1]) / 2)
 
 
+def outputs(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Raw output and language of every text, a run of texts at a time so that little is held at once."""
+    logit, guess = np.zeros(len(texts)), np.zeros(len(texts), dtype=int)
+    rows: list[int] = []
+    size = 0
+    for i, t in enumerate(texts):
+        rows.append(i)
+        size += len(t)
+        if size < RUN and i + 1 < len(texts):
+            continue
+        words, inverse = np.unique(np.concatenate([[0], *[texts[j] for j in rows]]), return_inverse=True)
+        local = np.split(inverse[1:], np.cumsum([len(texts[j]) for j in rows])[:-1])
+        line, begins, ends = laid_out(local)
+        near = buckets[words]
+        logit[rows] = model.responses(model.projection(near), line, begins, ends) @ model.out + model.bias
+        bits = model.language_bits(near)
+        guess[rows] = [bits[x].sum(axis=0).argmax() for x in local]
+        rows, size = [], 0
+    return logit, guess
+
+
 def calibrate(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y: np.ndarray, langs: np.ndarray, held: np.ndarray,
               fewest: int = 8) -> None:
     """Language model of words, and a threshold per language found on the rows in ``held``.
@@ -234,11 +262,7 @@ def calibrate(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y
     model.langs = known or [""]
     model.word_bits = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     model.thresholds = np.zeros(len(model.langs))
-    projected, bits = model.projection(buckets), model.language_bits(buckets)
-    line, begins, ends = laid_out(texts)
-    logit = model.responses(projected, line, begins, ends) @ model.out + model.bias
-    sums = np.array([bits[t].sum(axis=0) for t in texts])
-    guess = sums.argmax(axis=1)
+    logit, guess = outputs(model, texts, buckets)
     both = lambda rows: min((y[rows] == 1).sum(), (y[rows] == 0).sum())
     overall = best_threshold(logit[held], y[held]) if both(held) else best_threshold(logit, y)
     for i in range(len(model.langs)):
@@ -247,7 +271,7 @@ def calibrate(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, most_each: int = 3000, longest: int = 32_768,
+    docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, most_each: int = 2000, longest: int = 32_768,
 ) -> Classifier | None:
     """Classifier from the labelled rows that are not held out."""
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -261,18 +285,16 @@ def learn(
     # About three times most_each rows of two numbers: small by the parameter, whatever the input.
     chosen = F.broadcast(one.where(draw < share))
     texts = docs.where(F.col("text").isNotNull() & (F.octet_length("text") <= longest)).select("doc_id", "text", "lang")
-    sample = texts.join(chosen, "doc_id").toArrow()
+    sample = texts.join(chosen, "doc_id").toArrow().sort_by("doc_id")  # the same rows give the same model
     y = np.array(sample["toxic"].to_pylist(), dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    # In the order of ids, so that the same rows give the same model.
-    ids = np.array(sample["doc_id"].to_pylist(), dtype=np.int64)
-    order = np.argsort(ids, kind="stable")
     words = Words()
-    numbers = words.of(sample["text"].take(pa.array(order)).to_pylist())
-    y, langs = y[order], np.array(sample["lang"].to_pylist(), dtype=object)[order]
-    buckets = np.array(words.buckets, dtype=np.int64)
-    apart = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in ids[order]])
+    numbers = [x for at in range(0, len(y), 256) for x in words.of(sample["text"].slice(at, 256).to_pylist())]
+    langs = np.array(sample["lang"].to_pylist(), dtype=object)
+    apart = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in sample["doc_id"].to_pylist()])
+    buckets = words.buckets()
+    del sample, words
     if not (0 < y[~apart].sum() < (~apart).sum()):
         apart[:] = False
     inside = np.flatnonzero(~apart)
@@ -289,29 +311,23 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 def score(docs: DataFrame, model: Classifier | None, parts: int = 5, held: int = 0, doc_id: str = "doc_id", text: str = "text",
           keep: bool = False) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row; with ``keep`` also the row as the struct ``row``."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Classifier | None = shared.value
         words, projected, bits = Words(), None, None
-        for batch in batches:
-            texts, found = batch.column(2).to_pylist(), np.zeros(batch.num_rows)
-            rows: list[int] = []
-            size = 0
-            for i, t in enumerate(texts) if m else ():
-                rows.append(i)
-                size += len(t)
-                if size < RUN * 4 and i + 1 < len(texts):
-                    continue
+        for batch in (part for whole in batches for part in slices(whole, 2, RUN * 4)):
+            found = np.zeros(batch.num_rows)
+            if m:
                 if len(words.number) > REMEMBERED:
                     words, projected, bits = Words(), None, None
-                numbers = words.of([texts[j] for j in rows])
-                new = np.array(words.buckets[0 if projected is None else len(projected) :], dtype=np.int64).reshape(-1, SLOTS)
+                numbers = words.of(batch.column(2).to_pylist())
+                new = words.buckets(0 if projected is None else len(projected))
                 more, more_bits = m.projection(new), m.language_bits(new)
                 projected = more if projected is None else np.concatenate([projected, more])
                 bits = more_bits if bits is None else np.concatenate([bits, more_bits])
-                found[rows] = m.scores(numbers, projected, bits)
-                rows, size = [], 0
+                found[:] = m.scores(numbers, projected, bits)
             arrays = [batch.column(0), batch.column(1), pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
             names = ["doc_id", "held_out", "score", "predicted"]
             if keep:

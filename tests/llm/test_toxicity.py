@@ -78,7 +78,7 @@ def test_batch_layout_does_not_change_scores():
     texts = ["one two three", "", "four", "a b c d e f g", "two three"]
     words = toxicity.Words()
     numbers = words.of(texts)
-    buckets = np.array(words.buckets)
+    buckets = words.buckets()
     together = m.scores(numbers, m.projection(buckets), np.zeros((len(buckets), 1)))
     for i, t in enumerate(numbers):
         x = m.embedding[buckets[t]].sum(axis=1)
