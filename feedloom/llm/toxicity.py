@@ -11,8 +11,8 @@ text is read from its own words (a hashed word model learned along with the clas
 column, so a score depends on the text alone: it is the logistic function of the output minus the
 threshold of the text's language, hence 0.5 at the threshold.
 
-Fitting takes a bounded sample: at most about ``most_each`` rows of each label, of texts of at most
-``longest`` bytes, chosen by a hash of the id. Scoring reads every word of every text.
+Fitting takes a bounded sample: about ``most_each`` toxic rows and twice as many others at most, of
+texts of at most ``longest`` bytes, chosen by a hash of the id. Scoring reads every word of every text.
 
 Defined results: null and empty texts get the score of a text without words; without labelled rows of
 both kinds every score is 0; a null id counts as the empty text when rows are held out; repeated rows
