@@ -8,10 +8,11 @@ cannot be deleted and are left out of the comparison.
 
 Differencing alone can't give exact articles. It keeps what a template fills in anew on every page, it
 has nothing to compare where a host has one page, and it would delete sentences that two articles of a
-host really share. So elements that say what they are settle their lines: those inside ``article`` or
-``main`` are protected from deletion; navigation, headers, footers, asides, forms, notices, adverts and
-comments, by element, role or class word, go in any case; and where a page has an article, lines
-outside of it go too. On pages without such an element, differencing decides.
+host really share. So elements that say what they are settle their lines: those inside ``article`` are protected from
+deletion; navigation, headers, footers, asides, forms, notices, adverts and comments, by element, role
+or class word, go in any case; and where a page has an article, lines outside of it go too, except the
+``h1`` of the ``main`` around it. ``main`` without an article only says where the text is: lines outside
+of it go, and differencing decides on those inside. On pages without either it decides on all lines.
 
 Neighbours are found in range blocks of the sorted paths, with the ends of each block handed to the
 next, so no host is gathered in one task. Only hashes of lines are sorted; texts move once.
@@ -39,18 +40,19 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import ordered_blocks
 
 OPEN, ARTICLE, FURNITURE = 0, 1, 2  # what is known of a line: nothing, text of an article, none of it
+MAIN, HEADLINE = 3, 4  # a line of main outside of articles, and its h1
 
 # Elements by what they mean.
 HIDDEN = "script style noscript template iframe object svg math canvas textarea title select audio video"
 FURNITURE_TAGS = set("nav header footer aside form dialog menu head button".split())
-ARTICLE_TAGS = {"article", "main"}
+ARTICLE_TAGS = {"article": ARTICLE, "main": MAIN}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = set(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
-TRACKED = FURNITURE_TAGS | ARTICLE_TAGS | set("div section ul ol dl table p span figure details body html".split()) | HEADINGS
+TRACKED = FURNITURE_TAGS | set(ARTICLE_TAGS) | set("div section ul ol dl table p span figure details body html".split()) | HEADINGS
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 FURNITURE_WORDS = set(
@@ -73,11 +75,11 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 
 def meaning(tag: str, attributes: str) -> int:
     """What an element says about its lines."""
-    known = ARTICLE if tag in ARTICLE_TAGS else FURNITURE if tag in FURNITURE_TAGS else OPEN
+    known = FURNITURE if tag in FURNITURE_TAGS else ARTICLE_TAGS.get(tag, OPEN)
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name == "role":
-            known = FURNITURE if value in FURNITURE_ROLES else ARTICLE if value in ARTICLE_TAGS else known
+            known = FURNITURE if value in FURNITURE_ROLES else ARTICLE_TAGS.get(value, known)
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             known = FURNITURE
         elif name == "style" and "display:none" in value.replace(" ", ""):
@@ -88,7 +90,13 @@ def meaning(tag: str, attributes: str) -> int:
 
 
 def lines_of(html: str | None) -> list[tuple[str, int]]:
-    """Lines of a page in order, with what their elements say about them."""
+    """Lines of a page in order, with what their elements say about them in three words: the lines of
+    main count as those of an article."""
+    return [(t, ARTICLE if s in (MAIN, HEADLINE) else s) for t, s in marked_lines(html)]
+
+
+def marked_lines(html: str | None) -> list[tuple[str, int]]:
+    """Lines of a page in order, with all that their elements say about them."""
     out: list[tuple[str, int]] = []
     text: list[str] = []
     stack: list[tuple[str, int]] = []  # tracked open elements with what holds inside them
@@ -99,8 +107,10 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
             text.clear()
             if line:
                 state = stack[-1][1] if stack else OPEN
-                if state == FURNITURE and in_article_heading(stack):
-                    state = ARTICLE
+                if state == FURNITURE:
+                    state = heading_of(stack)
+                if state == MAIN and any(name == "h1" for name, _ in stack):
+                    state = HEADLINE
                 out.append((line, state))
 
     at, source = 0, html or ""
@@ -124,6 +134,8 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
                 stack.pop()  # a paragraph ends where the next one begins
             above = stack[-1][1] if stack else OPEN
             own = meaning(tag, attributes)
+            if above == ARTICLE and own == MAIN:
+                own = ARTICLE
             stack.append((tag, FURNITURE if FURNITURE in (above, own) else own or above))
     if at < len(source):
         text.append(source[at:])
@@ -131,13 +143,14 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
     return out
 
 
-def in_article_heading(stack: list[tuple[str, int]]) -> bool:
-    """True for a heading in the header of an article, which is its title."""
+def heading_of(stack: list[tuple[str, int]]) -> int:
+    """What a line of furniture is after all: a heading in the header of an article is its title."""
     names = [name for name, _ in stack]
     if names[-1] not in HEADINGS or "header" not in names:
-        return False
+        return FURNITURE
     at = names.index("header")
-    return at > 0 and stack[at - 1][1] == ARTICLE and all(n in ("header", *HEADINGS, "div") for n in names[at:])
+    title = at > 0 and stack[at - 1][1] in (ARTICLE, MAIN) and all(n in ("header", *HEADINGS, "div") for n in names[at:])
+    return stack[at - 1][1] if title else FURNITURE
 
 
 def site_of(url: str | None) -> tuple[str | None, str | None]:
@@ -189,18 +202,23 @@ def nearer(path: str, before: str | None, after: str | None) -> int:
     return 0 if left < 0 and right < 0 else -1 if left >= right else 1
 
 
-# ``places``: where the lines stand among those that are compared; null for the protected lines of an article.
+# ``places``: where the lines stand among those that are compared; null for the protected ones of an article.
 PARSED = "page_id long, url string, host string, path string, lines array<string>, places array<int>"
 HASHED = "page_id long, host string, path string, hashes array<long>"
 
 
-def candidates(lines: list[tuple[str, int]]) -> tuple[list[str], list[int] | None]:
-    """Lines that may be text: those of the article, or where there is none the undecided ones with
-    their places among the lines that are compared."""
-    article = [t for t, s in lines if s == ARTICLE]
-    if article:
-        return article, None
-    return [t for t, s in lines if s == OPEN], [i for i, (_, s) in enumerate(lines) if s == OPEN]
+def candidates(lines: list[tuple[str, int]]) -> tuple[list[str], list[int | None]]:
+    """Lines that may be text, with their places among the lines that are compared: those of the
+    article, or else of main, or else the undecided ones."""
+    states = {s for _, s in lines}
+    may = {ARTICLE, HEADLINE} if ARTICLE in states else {MAIN, HEADLINE} if states & {MAIN, HEADLINE} else {OPEN}
+    texts, places, compared = [], [], 0
+    for t, s in lines:
+        if s in may:
+            texts.append(t)
+            places.append(None if s == ARTICLE else compared)
+        compared += s != ARTICLE
+    return texts, places
 
 
 def _parse(hashed: bool):
@@ -210,7 +228,7 @@ def _parse(hashed: bool):
                 part = batch.slice(at, 256)
                 urls = part.column(1).to_pylist()
                 sites = [site_of(u) for u in urls]
-                pages = [lines_of(h) for h in part.column(2).to_pylist()]
+                pages = [marked_lines(h) for h in part.column(2).to_pylist()]
                 host, path = pa.array([s[0] for s in sites], pa.string()), pa.array([s[1] for s in sites], pa.string())
                 if hashed:
                     codes = [
@@ -270,7 +288,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     parsed = rows.mapInArrow(_parse(False), PARSED)
     known = parsed.join(shared_lines(rows, label), ["host", "path"], "left")
     shared = F.coalesce("shared", F.array().cast("array<int>"))
-    own = F.filter("lines", lambda x, i: ~F.array_contains(F.col("shared"), F.col("places")[i]))
-    text = F.when(F.col("places").isNull() | (F.size(own) == 0), F.col("lines")).otherwise(own)
+    own = F.filter("lines", lambda x, i: F.coalesce(~F.array_contains(F.col("shared"), F.col("places")[i]), F.lit(True)))
+    text = F.when(F.size(own) == 0, F.col("lines")).otherwise(own)
     chosen = known.withColumn("shared", shared).select("page_id", "url", text.alias("lines"), F.size("shared").alias("n_shared"))
     return chosen.select("page_id", "url", F.array_join("lines", " ").alias("text"), "lines", "n_shared")

@@ -94,3 +94,15 @@ def test_differencing_decides_without_an_article(pages):
 
 def test_empty_table(pages):
     assert page_text.extract(pages([])).count() == 0
+
+
+def test_differencing_decides_in_main(pages):
+    also = "<p>Read also</p><ul><li>Old story</li></ul>"
+    page = "<html><body><p>Top</p><main>{}</main></body></html>".format
+    rows = [(i, f"http://m.example/{i:02d}", page(f"<p>Story {i}</p>{also}")) for i in range(6)]
+    nested = "<header><h1>Title {0}</h1></header><h2>Latest</h2><article><p>Shared words</p><p>Body {0}</p></article>{1}".format
+    rows += [(10 + i, f"http://n.example/{i:02d}", page(nested(i, also))) for i in range(6)]
+    got = {r["page_id"]: r for r in page_text.extract(pages(rows)).collect()}
+    for i in range(6):
+        assert got[i]["lines"] == [f"Story {i}"] and got[i]["n_shared"] == 3
+        assert got[10 + i]["lines"] == [f"Title {i}", "Shared words", f"Body {i}"]
