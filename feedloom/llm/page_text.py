@@ -13,6 +13,8 @@ deletion; navigation, headers, footers, asides, forms, notices, adverts and comm
 or class word, go in any case; and where a page has an article, lines outside of it go too, except the
 ``h1`` of the ``main`` around it. ``main`` without an article only says where the text is: lines outside
 of it go, and differencing decides on those inside. On pages without either it decides on all lines.
+Class words of wrappers ("has-sidebar") do not reach into the article or main they hold, unless they mean
+comments, and where nothing but furniture by class word is left, differencing decides on that.
 
 Neighbours are found in range blocks of the sorted paths, with the ends of each block handed to the
 next, so no host is gathered in one task. Only hashes of lines are sorted; texts move once.
@@ -41,6 +43,7 @@ from feedloom.llm.common import ordered_blocks
 
 OPEN, ARTICLE, FURNITURE = 0, 1, 2  # what is known of a line: nothing, text of an article, none of it
 MAIN, HEADLINE = 3, 4  # a line of main outside of articles, and its h1
+NAMED = 5  # furniture by a class word alone, which an article or main inside takes back
 
 # Elements by what they mean.
 HIDDEN = "script style noscript template iframe object svg math canvas textarea title select audio video"
@@ -61,10 +64,12 @@ FURNITURE_WORDS = set(
     "reply replies respond share sharing social related newsletter subscribe signup popup modal overlay login search widget "
     "toolbar pagination pager alert".split()
 )
+COMMENT_WORDS = set("comment comments disqus reply replies".split())
+STATE_WORDS = set("open opened closed enabled disabled allowed on off no has with without count".split())  # of a page
 
 _HIDDEN_NAMES = "|".join(HIDDEN.split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_HIDDEN_NAMES})\b[^>]*+>.*?(?:</\1\b[^>]*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|math)\b[^>]*+(?<=/)>|<({_HIDDEN_NAMES})\b[^>]*+>.*?(?:</\1\b[^>]*>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)[^>]*+>|<[/!?a-zA-Z][^>]*+(?:>|\Z)""",
     re.S | re.I,
@@ -76,23 +81,42 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 def meaning(tag: str, attributes: str) -> int:
     """What an element says about its lines."""
     known = FURNITURE if tag in FURNITURE_TAGS else ARTICLE_TAGS.get(tag, OPEN)
+    gone = named = comments = False
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name == "role":
             known = FURNITURE if value in FURNITURE_ROLES else ARTICLE_TAGS.get(value, known)
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            known = FURNITURE
+            gone = True
         elif name == "style" and "display:none" in value.replace(" ", ""):
-            known = FURNITURE
-        elif name in ("class", "id") and tag not in ("body", "html", "main") and FURNITURE_WORDS.intersection(_WORDS.split(value)):
-            known = FURNITURE
-    return known
+            gone = True
+        elif name in ("class", "id") and tag not in ("body", "html"):
+            for words in map(set, map(_WORDS.split, value.split())):
+                named = named or bool(words & FURNITURE_WORDS)
+                comments = comments or bool(words & COMMENT_WORDS) and not words & STATE_WORDS
+    if gone or comments and known != MAIN:
+        return FURNITURE
+    return NAMED if named and known == OPEN else known
+
+
+def within(stack: list[tuple[str, int]], own: int) -> int:
+    """What holds inside an element, by what it says itself and the elements around it."""
+    above = stack[-1][1] if stack else OPEN
+    if FURNITURE in (above, own):
+        return FURNITURE
+    if above == NAMED and own in (ARTICLE, MAIN):
+        # A wrapper of the page's article, and not a box with others inside it.
+        return NAMED if any(s == ARTICLE for _, s in stack) else own
+    if NAMED in (above, own):
+        return NAMED
+    return ARTICLE if ARTICLE in (above, own) else own or above
 
 
 def lines_of(html: str | None) -> list[tuple[str, int]]:
     """Lines of a page in order, with what their elements say about them in three words: the lines of
-    main count as those of an article."""
-    return [(t, ARTICLE if s in (MAIN, HEADLINE) else s) for t, s in marked_lines(html)]
+    main count as those of an article, and class words like other furniture."""
+    coarse = {MAIN: ARTICLE, HEADLINE: ARTICLE, NAMED: FURNITURE}
+    return [(t, coarse.get(s, s)) for t, s in marked_lines(html)]
 
 
 def marked_lines(html: str | None) -> list[tuple[str, int]]:
@@ -107,7 +131,7 @@ def marked_lines(html: str | None) -> list[tuple[str, int]]:
             text.clear()
             if line:
                 state = stack[-1][1] if stack else OPEN
-                if state == FURNITURE:
+                if state in (FURNITURE, NAMED):
                     state = heading_of(stack)
                 if state == MAIN and any(name == "h1" for name, _ in stack):
                     state = HEADLINE
@@ -132,11 +156,7 @@ def marked_lines(html: str | None) -> list[tuple[str, int]]:
                 stack = [s for s in stack if s[0] != "head"]
             if tag in ("p", *HEADINGS) and stack and stack[-1][0] in ("p", "span"):
                 stack.pop()  # a paragraph ends where the next one begins
-            above = stack[-1][1] if stack else OPEN
-            own = meaning(tag, attributes)
-            if above == ARTICLE and own == MAIN:
-                own = ARTICLE
-            stack.append((tag, FURNITURE if FURNITURE in (above, own) else own or above))
+            stack.append((tag, within(stack, meaning(tag, attributes))))
     if at < len(source):
         text.append(source[at:])
     flush()
@@ -147,10 +167,10 @@ def heading_of(stack: list[tuple[str, int]]) -> int:
     """What a line of furniture is after all: a heading in the header of an article is its title."""
     names = [name for name, _ in stack]
     if names[-1] not in HEADINGS or "header" not in names:
-        return FURNITURE
+        return stack[-1][1]
     at = names.index("header")
     title = at > 0 and stack[at - 1][1] in (ARTICLE, MAIN) and all(n in ("header", *HEADINGS, "div") for n in names[at:])
-    return stack[at - 1][1] if title else FURNITURE
+    return stack[at - 1][1] if title else stack[-1][1]
 
 
 def site_of(url: str | None) -> tuple[str | None, str | None]:
@@ -209,9 +229,9 @@ HASHED = "page_id long, host string, path string, hashes array<long>"
 
 def candidates(lines: list[tuple[str, int]]) -> tuple[list[str], list[int | None]]:
     """Lines that may be text, with their places among the lines that are compared: those of the
-    article, or else of main, or else the undecided ones."""
+    article, or else of main, or else the undecided ones, or else what class words alone call furniture."""
     states = {s for _, s in lines}
-    may = {ARTICLE, HEADLINE} if ARTICLE in states else {MAIN, HEADLINE} if states & {MAIN, HEADLINE} else {OPEN}
+    may = {ARTICLE, HEADLINE} if ARTICLE in states else {MAIN, HEADLINE} if states & {MAIN, HEADLINE} else {OPEN} & states or {NAMED}
     texts, places, compared = [], [], 0
     for t, s in lines:
         if s in may:

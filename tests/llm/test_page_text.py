@@ -106,3 +106,19 @@ def test_differencing_decides_in_main(pages):
     for i in range(6):
         assert got[i]["lines"] == [f"Story {i}"] and got[i]["n_shared"] == 3
         assert got[10 + i]["lines"] == [f"Title {i}", "Shared words", f"Body {i}"]
+
+
+def test_class_words_of_wrappers_do_not_reach_the_article(pages):
+    assert kept("<div class='layout has-sidebar'><article>a<div class='sidebar'>x</div></article><p>y</div>") == ["a"]
+    assert kept("<div id='page' class='header-fixed'><div><main><p>a</main></div><p>x</div>") == ["a"]
+    assert kept("<article class='post comments-open'>a</article><article class='comment-body'>x</article>") == ["a"]
+    assert kept("<div class='comments'><article>x</article></div><nav><article>y</article></nav>") == []
+    assert kept("<article>a<div class='related'><article>x</article></div></article>") == ["a"]
+    assert kept("<article class='social-news' hidden>x</article><div role='main' class='widget'>a</div>") == ["a"]
+    got = page_text.extract(pages([(1, None, "<div id='page' class='header-fixed'><nav>x</nav><p>a</div>")])).first()
+    assert got["text"] == "a"
+
+
+def test_closed_svg_hides_nothing():
+    assert kept("<article>a<svg viewBox='0 0 1 1'/>b<p><math/>c<svg><path d='x'/>no</svg>d</article>") == ["ab", "cd"]
+    assert kept("<article>a<svg>no<p>c</svg>d<script src=x />no</script></article>") == ["ad"]
