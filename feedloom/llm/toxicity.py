@@ -6,13 +6,15 @@ words slide over the whole text; each contributes its largest response, cut off
 output. Everything is trained in numpy by gradient descent. The first embedding dimension starts from
 the class log-odds of the hashed feature, which saves the search for the few words that matter.
 
-Thresholds are calibrated on labelled rows kept out of the gradient, by language. The language of a
+Thresholds are calibrated by language on all labelled rows that neither the gradient used nor are held
+out: Spark counts their outputs in steps of 1/64 by language and label. The language of a
 text is read from its own words (a hashed word model learned along with the classifier), never from a
 column, so a score depends on the text alone: it is the logistic function of the output minus the
 threshold of the text's language, hence 0.5 at the threshold.
 
-Fitting takes a bounded sample: about ``most_each`` toxic rows and twice as many others at most, of
-texts of at most ``longest`` bytes, chosen by a hash of the id. Scoring reads every word of every text.
+The gradient and the words of languages take a bounded sample: about ``most_each`` toxic rows and twice
+as many others at most, of texts of at most ``longest`` bytes, chosen by a hash of the id. Calibrating
+and scoring read every word of every text.
 
 Defined results: null and empty texts get the score of a text without words; without labelled rows of
 both kinds every score is 0; a null id counts as the empty text when rows are held out; repeated rows
@@ -42,6 +44,8 @@ STEMS = (4, 5, 6)  # letters of the beginnings
 SLOTS = 1 + len(STEMS)
 REMEMBERED = 100_000  # words remembered per Python worker
 RUN = 1 << 17  # words scored at a time
+BITS = 1 << 25  # of the map of labelled ids
+STEPS, FARTHEST = 64, 64  # counted steps of an output from one number to the next; outputs beyond count as this
 
 
 def features(word: str) -> list[int]:
@@ -130,19 +134,42 @@ class Classifier:
     def language_bits(self, buckets: np.ndarray) -> np.ndarray:
         return self.word_bits[buckets[:, 0]] * (buckets[:, :1] > 0)
 
-    def scores(self, texts: list[np.ndarray], projected: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    def raw(self, texts: list[np.ndarray], projected: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Output and language of every text, before any threshold."""
         line, begins, ends = laid_out(texts)
         logit = self.responses(projected, line, begins, ends) @ self.out + self.bias
+        sums = np.zeros((len(texts), max(1, len(self.langs))))
+        some = np.flatnonzero(ends > begins)
+        if self.langs and len(some):
+            edges = np.stack([begins[some], ends[some]], axis=1).ravel()
+            sums[some] = np.add.reduceat(bits[line], edges, axis=0, dtype=np.float64)[::2]
+        return logit, sums.argmax(axis=1)
+
+    def scores(self, texts: list[np.ndarray], projected: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        logit, guess = self.raw(texts, projected, bits)
         if self.langs:
-            sums = np.zeros((len(texts), len(self.langs)))
-            some = np.flatnonzero(ends > begins)
-            if len(some):
-                edges = np.stack([begins[some], ends[some]], axis=1).ravel()
-                sums[some] = np.add.reduceat(bits[line], edges, axis=0, dtype=np.float64)[::2]
-            logit = logit - self.thresholds[sums.argmax(axis=1)]
+            logit = logit - self.thresholds[guess]
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
+class Remembered:
+    """Words of a Python worker with what they add to filters and languages; forgotten when they are many."""
+
+    def __init__(self, model: Classifier):
+        self.model, self.words = model, Words()
+        self.projected = self.bits = None
+
+    def of(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        if len(self.words.number) > REMEMBERED:
+            self.words, self.projected, self.bits = Words(), None, None
+        numbers = self.words.of(texts)
+        new = self.words.buckets(0 if self.projected is None else len(self.projected))
+        more, more_bits = self.model.projection(new), self.model.language_bits(new)
+        self.projected = more if self.projected is None else np.concatenate([self.projected, more])
+        self.bits = more_bits if self.bits is None else np.concatenate([self.bits, more_bits])
+        return numbers, self.projected, self.bits
+
+
 def initial(texts: list[np.ndarray], buckets: np.ndarray, y: np.ndarray) -> Classifier:
     """Embeddings whose first dimension is the shrunk log-odds of the bucket; the rest is small noise."""
     rng = np.random.default_rng(5)
@@ -215,11 +242,15 @@ def train(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y: np
 
 def best_threshold(logit: np.ndarray, y: np.ndarray) -> float:
     """The output that separates the labels best by F1, in the middle of the widest such gap."""
-    order = np.argsort(logit)
-    v, t = logit[order], y[order]
-    positive = t.sum()
-    caught = positive - np.concatenate([[0], np.cumsum(t)])  # positives above each cut
-    taken = len(t) - np.arange(len(t) + 1)
+    v, where = np.unique(logit, return_inverse=True)
+    return best_cut(v, np.bincount(where, y == 1, len(v)), np.bincount(where, y != 1, len(v)))
+
+
+def best_cut(v: np.ndarray, toxic: np.ndarray, others: np.ndarray) -> float:
+    """The same from the numbers of toxic and other rows at each of the rising outputs ``v``."""
+    positive, everyone = toxic.sum(), (toxic + others).sum()
+    caught = positive - np.concatenate([[0], np.cumsum(toxic)])  # positives above each cut
+    taken = everyone - np.concatenate([[0], np.cumsum(toxic + others)])
     f1 = 2 * caught / np.maximum(1, taken + positive)
     padded = np.concatenate([[v[0] - 2], v, [v[-1] + 2]])
     gaps = padded[1:] - padded[:-1]
@@ -227,9 +258,9 @@ def best_threshold(logit: np.ndarray, y: np.ndarray) -> float:
     return float((padded[cut] + padded[cut + 1]) / 2)
 
 
-def outputs(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Raw output and language of every text, a run of texts at a time so that little is held at once."""
-    logit, guess = np.zeros(len(texts)), np.zeros(len(texts), dtype=int)
+def outputs(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray) -> np.ndarray:
+    """Raw output of every text, a run of texts at a time so that little is held at once."""
+    logit = np.zeros(len(texts))
     rows: list[int] = []
     size = 0
     for i, t in enumerate(texts):
@@ -239,21 +270,14 @@ def outputs(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray) ->
             continue
         words, inverse = np.unique(np.concatenate([[0], *[texts[j] for j in rows]]), return_inverse=True)
         local = np.split(inverse[1:], np.cumsum([len(texts[j]) for j in rows])[:-1])
-        line, begins, ends = laid_out(local)
         near = buckets[words]
-        logit[rows] = model.responses(model.projection(near), line, begins, ends) @ model.out + model.bias
-        bits = model.language_bits(near)
-        guess[rows] = [bits[x].sum(axis=0).argmax() for x in local]
+        logit[rows] = model.raw(local, model.projection(near), model.language_bits(near))[0]
         rows, size = [], 0
-    return logit, guess
+    return logit
 
 
-def calibrate(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y: np.ndarray, langs: np.ndarray, held: np.ndarray,
-              fewest: int = 8) -> None:
-    """Language model of words, and a threshold per language found on the rows in ``held``.
-
-    A language with fewer than ``fewest`` held rows of either label takes the threshold of all.
-    """
+def learn_languages(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, langs: np.ndarray) -> None:
+    """Language model of words; thresholds are 0 until they are calibrated."""
     known = sorted({g for g in langs if g is not None})
     counts = np.full((BUCKETS, max(1, len(known))), 0.1)
     for t, g in zip(texts, langs, strict=True):
@@ -262,12 +286,67 @@ def calibrate(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y
     model.langs = known or [""]
     model.word_bits = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     model.thresholds = np.zeros(len(model.langs))
-    logit, guess = outputs(model, texts, buckets)
-    both = lambda rows: min((y[rows] == 1).sum(), (y[rows] == 0).sum())
-    overall = best_threshold(logit[held], y[held]) if both(held) else best_threshold(logit, y)
+
+
+def id_bits(marked: DataFrame) -> np.ndarray:
+    """Map of ``BITS`` bits with the bits of the ids set by their hash: a document whose bit is not set has
+    no label. Of fixed size; where it gets full, more documents are scored in vain."""
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BITS)) + 1
+    found = marked.groupBy(F.bitmap_bucket_number(place).alias("n")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    out = np.zeros((BITS >> 15, 1 << 12), dtype=np.uint8)
+    for r in found.toLocalIterator():
+        out[r["n"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out.ravel()
+
+
+def counted_outputs(docs: DataFrame, marked: DataFrame, model: Classifier) -> np.ndarray:
+    """How many rows of ``docs`` with a label in ``marked`` have which language, label and output, as
+    rows of language, step, toxic rows and other rows. Texts are not moved: those that may have a label
+    are scored where they are, and only ids, languages and steps meet the labels. The table is bounded by
+    the steps."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((model, id_bits(marked)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, bits = shared.value
+        known = Remembered(m)
+
+        def likely(batch: pa.RecordBatch) -> pa.RecordBatch:
+            place = batch.column(2).to_numpy()
+            return batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+
+        for batch in (part for whole in batches for part in slices(likely(whole), 1, RUN * 4)):
+            logit, guess = m.raw(*known.of(batch.column(1).to_pylist()))
+            step = np.floor(np.clip(logit, -FARTHEST, FARTHEST) * STEPS).astype(np.int32)
+            arrays = [batch.column(0), pa.array(guess.astype(np.int32)), pa.array(step)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "guess", "step"])
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    placed = own.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).cast("long"))
+    found = placed.mapInArrow(run, "doc_id long, guess int, step int")
+    met = found.join(marked, "doc_id").groupBy("guess", "step")
+    counts = met.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") != 1).alias("others"))
+    return np.array([list(r) for r in counts.orderBy("guess", "step").collect()], dtype=np.int64).reshape(-1, 4)
+
+
+def calibrate(model: Classifier, counts: np.ndarray, overall: float, fewest: int = 8) -> None:
+    """A threshold per language from ``counted_outputs``.
+
+    A language with fewer than ``fewest`` rows of either label takes the threshold of all, and where all
+    have only one label, that is ``overall``.
+    """
+
+    def cut(rows: np.ndarray) -> float:
+        steps, where = np.unique(rows[:, 1], return_inverse=True)
+        sums = [np.bincount(where, rows[:, k], len(steps)) for k in (2, 3)]
+        return best_cut((steps + 0.5) / STEPS, *sums)
+
+    overall = cut(counts) if counts[:, 2:].sum(axis=0).min() else overall
     for i in range(len(model.langs)):
-        rows = held & (guess == i)
-        model.thresholds[i] = best_threshold(logit[rows], y[rows]) if both(rows) >= fewest else overall
+        rows = counts[counts[:, 0] == i]
+        model.thresholds[i] = cut(rows) if rows[:, 2:].sum(axis=0).min() >= fewest else overall
 
 
 def learn(
@@ -284,15 +363,16 @@ def learn(
     draw = F.pmod(F.xxhash64(F.lit("toxicity sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # About three times most_each rows of two numbers: small by the parameter, whatever the input.
     chosen = F.broadcast(one.where(draw < share))
-    texts = docs.where(F.col("text").isNotNull() & (F.octet_length("text") <= longest)).select("doc_id", "text", "lang")
-    sample = texts.join(chosen, "doc_id").toArrow().sort_by("doc_id")  # the same rows give the same model
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    sample = texts.where(F.octet_length("text") <= longest).join(chosen, "doc_id").toArrow().sort_by("doc_id")  # the same rows give the same model
     y = np.array(sample["toxic"].to_pylist(), dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
     words = Words()
     numbers = [x for at in range(0, len(y), 256) for x in words.of(sample["text"].slice(at, 256).to_pylist())]
     langs = np.array(sample["lang"].to_pylist(), dtype=object)
-    apart = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in sample["doc_id"].to_pylist()])
+    ids = sample["doc_id"].to_pylist()
+    apart = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in ids])
     buckets = words.buckets()
     del sample, words
     if not (0 < y[~apart].sum() < (~apart).sum()):
@@ -301,7 +381,10 @@ def learn(
     model = initial([numbers[i] for i in inside], buckets, y[inside])
     train(model, [numbers[i] for i in inside], buckets, y[inside])
     model.embedding = model.embedding.astype(np.float32)
-    calibrate(model, numbers, buckets, y, langs, apart if apart.any() else np.ones(len(y), dtype=bool))
+    learn_languages(model, numbers, buckets, langs)
+    used = docs.sparkSession.createDataFrame([(i,) for i in sorted({ids[j] for j in inside})], "doc_id long")
+    rest = texts.where(remainder(F.col("doc_id"), parts) != held).join(F.broadcast(used), "doc_id", "left_anti")
+    calibrate(model, counted_outputs(rest, one, model), best_threshold(outputs(model, numbers, buckets), y))
     return model
 
 
@@ -316,18 +399,11 @@ def score(docs: DataFrame, model: Classifier | None, parts: int = 5, held: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Classifier | None = shared.value
-        words, projected, bits = Words(), None, None
+        known = Remembered(m) if m else None
         for batch in (part for whole in batches for part in slices(whole, 2, RUN * 4)):
             found = np.zeros(batch.num_rows)
             if m:
-                if len(words.number) > REMEMBERED:
-                    words, projected, bits = Words(), None, None
-                numbers = words.of(batch.column(2).to_pylist())
-                new = words.buckets(0 if projected is None else len(projected))
-                more, more_bits = m.projection(new), m.language_bits(new)
-                projected = more if projected is None else np.concatenate([projected, more])
-                bits = more_bits if bits is None else np.concatenate([bits, more_bits])
-                found[:] = m.scores(numbers, projected, bits)
+                found[:] = m.scores(*known.of(batch.column(2).to_pylist()))
             arrays = [batch.column(0), batch.column(1), pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
             names = ["doc_id", "held_out", "score", "predicted"]
             if keep:

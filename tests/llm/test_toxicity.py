@@ -94,3 +94,28 @@ def test_batch_layout_does_not_change_scores():
 def test_threshold_lies_in_the_widest_gap():
     assert toxicity.best_threshold(np.array([0.0, 1, 5, 6]), np.array([0, 0, 1, 1])) == 3.0
     assert toxicity.best_threshold(np.array([0.0, 1, 2]), np.array([1, 1, 1])) < 0
+
+
+def test_thresholds_are_found_on_all_labelled_rows(tables, monkeypatch):
+    rows, labels = corpus(3000)
+    rows = [r for r in rows if r[2] == "en" or r[0] % 8 == 0]  # 25 toxic texts in the rarer language
+    rows[1] = (rows[1][0], rows[1][1] + " word" * 10_000, *rows[1][2:])  # too long for the sample
+    docs, marks = tables(rows, [x for x in labels if x[0] in {r[0] for r in rows}])
+    seen, count = [], toxicity.counted_outputs
+    monkeypatch.setattr(toxicity, "counted_outputs", lambda *a: seen.append((a[0], count(*a))) or seen[-1][1])
+    model = toxicity.learn(docs, marks, most_each=100)
+    calibrated, counts = seen[0][0], seen[0][1]
+    left = {r["doc_id"] for r in toxicity.score(docs, None).where("not held_out").collect()}
+    assert len(left) * 0.8 < counts[:, 2:].sum() == calibrated.count() < len(left) and rows[1][0] in left
+    assert calibrated.where(F.col("doc_id") == rows[1][0]).count() == 1
+    de = counts[counts[:, 0] == model.langs.index("de")]
+    assert 8 <= de[:, 2].sum() < 25
+    over = (de[:, 1] + 0.5) / toxicity.STEPS >= model.thresholds[model.langs.index("de")]
+    assert de[over, 2].sum() >= 0.9 * de[:, 2].sum() and de[over, 3].sum() <= 0.1 * de[:, 3].sum()
+
+
+def test_map_of_ids_has_the_bits_of_the_ids_alone(spark):
+    ids = spark.range(0, 5000, 3).withColumnRenamed("id", "doc_id")
+    bits = toxicity.id_bits(ids)
+    place = [r[0] for r in ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(toxicity.BITS))).collect()]
+    assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == set(place)
