@@ -26,15 +26,61 @@ from pyspark.sql import functions as F
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Wording of public licenses and of the usual notices that point to them.
+_MIT = (
+    "Permission is hereby granted free of charge to any person obtaining a copy of this software and "
+    "associated documentation files the Software to deal in the Software without restriction including "
+    "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+    "copies of the Software and to permit persons to whom the Software is furnished to do so subject to "
+    "the following conditions The above copyright notice and this permission notice [[including the next "
+    "paragraph]] shall be included in all copies or substantial portions of the Software"
+)
+_MIT_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED AS IS WITHOUT WARRANTY OF ANY KIND EXPRESS OR IMPLIED INCLUDING BUT NOT LIMITED TO "
+    "THE WARRANTIES OF MERCHANTABILITY FITNESS FOR A PARTICULAR PURPOSE AND [[NON]] <<what:noninfringement|infringement>> "
+    "IN NO EVENT SHALL <<who:1-12>> BE LIABLE FOR ANY CLAIM DAMAGES OR OTHER LIABILITY WHETHER IN AN ACTION OF CONTRACT "
+    "TORT OR OTHERWISE ARISING FROM OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"
+)
+_ISC = (
+    "Permission to use copy modify and or distribute this software for any purpose with or without fee "
+    "is hereby granted provided that the above copyright notice and this permission notice appear in all copies"
+)
+_APACHE = (
+    "you may not use this <<what:file|work|software>> except in compliance with the License "
+    "You may obtain a copy of the License at <<url:1-12>> Unless required by applicable law or "
+    "agreed to in writing software distributed under the License is distributed on an AS IS BASIS "
+    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND either express or implied"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met [[<<n:1|a>>]] Redistributions of source code must retain the above copyright notice "
+    "this list of conditions and the following disclaimer [[<<n:2|b>>]] Redistributions in binary form must reproduce "
+    "the above copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution"
+)
+_BSD_NAMES = (
+    "[[<<n:3|c>>]] Neither the name of <<who:1-12>> nor the names of <<its:1-4>> may be used to endorse or promote "
+    "products derived from this software without specific prior written permission"
+)
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY <<who:1-12>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES INCLUDING BUT NOT LIMITED TO "
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED IN NO EVENT SHALL "
+    "<<who:1-12>> BE LIABLE FOR ANY DIRECT INDIRECT INCIDENTAL SPECIAL EXEMPLARY OR CONSEQUENTIAL DAMAGES INCLUDING BUT "
+    "NOT LIMITED TO PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES LOSS OF USE DATA OR PROFITS OR BUSINESS INTERRUPTION "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY WHETHER IN CONTRACT STRICT LIABILITY OR TORT INCLUDING NEGLIGENCE OR "
+    "OTHERWISE ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"
+)
+
+# Wording of public licenses to their last mandatory word, and of the usual notices that
+# point to them.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under [[the terms of]] the Apache [[Software]] License Version <<v:2>> [[<<minor:0>>]]",
-    "apache-2.0-header": (
-        "you may not use this <<what:file|work|software>> except in compliance with the License "
-        "You may obtain a copy of the License at <<url:1-12>> Unless required by applicable law or "
-        "agreed to in writing software distributed under the License is distributed on an AS IS BASIS "
-        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND either express or implied"
+    "apache-2.0-header": f"{_APACHE} See the License for the specific language governing permissions and limitations under the License",
+    "agpl-notice": (
+        "redistribute it and or modify it under the terms of the GNU Affero General Public License "
+        "as published by the Free Software Foundation"
     ),
+    "bsd-2-clause-text": f"{_BSD} {_BSD_WARRANTY}",
+    "bsd-3-clause-text": f"{_BSD} {_BSD_NAMES} {_BSD_WARRANTY}",
     "cc-by-nc-4.0-notice": (
         "Licensed under [[a]] [[the]] [[Creative Commons]] <<name:cc|attribution>> [[by]] "
         "<<nc:nc|noncommercial>> <<v:4>> [[<<minor:0>>]] [[International]] [[License]]"
@@ -45,18 +91,36 @@ TEMPLATES = {
         "[[either]] [[version <<v:1|2|3>> [[<<minor:0>>]] [[of the License]] [[or at your option any later version]]]]"
     ),
     "isc-text": (
-        "Permission to use copy modify and or distribute this software for any purpose with or without fee "
-        "is hereby granted provided that the above copyright notice and this permission notice appear in all copies"
+        f"{_ISC} THE SOFTWARE IS PROVIDED AS IS AND <<who:1-12>> <<verb:disclaims|disclaim>> ALL WARRANTIES WITH REGARD "
+        "TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS IN NO EVENT SHALL <<who:1-12>> "
+        "BE LIABLE FOR ANY SPECIAL DIRECT INDIRECT OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
+        "LOSS OF USE DATA OR PROFITS WHETHER IN AN ACTION OF CONTRACT NEGLIGENCE OR OTHER TORTIOUS ACTION ARISING OUT "
+        "OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE"
+    ),
+    "json-text": f"{_MIT} The Software shall be used for Good not Evil {_MIT_WARRANTY}",
+    "lgpl-notice": (
+        "redistribute it and or modify it under the terms of the GNU <<kind:lesser|library>> General Public License "
+        "as published by the Free Software Foundation"
     ),
     "mit-notice": "<<verb:released|licensed|distributed|available>> under [[the terms of]] the MIT License",
-    "mit-text": (
-        "Permission is hereby granted free of charge to any person obtaining a copy of this software and "
-        "associated documentation files the Software to deal in the Software without restriction including "
-        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
-        "copies of the Software and to permit persons to whom the Software is furnished to do so subject to "
-        "the following conditions The above copyright notice and this permission notice [[including the next "
-        "paragraph]] shall be included in all copies or substantial portions of the Software"
+    "mit-text": f"{_MIT} {_MIT_WARRANTY}",
+    "mpl-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License v 2 0 If a copy of the MPL was not "
+        "distributed with this file You can obtain one at"
     ),
+    "x11-text": (
+        f"{_MIT} {_MIT_WARRANTY} Except as contained in this notice the name of <<who:1-12>> shall not be used in "
+        "advertising or otherwise to promote the sale use or other dealings in this Software without prior written "
+        "authorization from"
+    ),
+}
+
+# Beginnings of these texts, named as partial where no whole text with that beginning stands.
+PARTIAL = {
+    "apache-2.0-header-partial": (_APACHE, {"apache-2.0-header"}),
+    "bsd-text-partial": (_BSD, {"bsd-2-clause-text", "bsd-3-clause-text"}),
+    "isc-text-partial": (_ISC, {"isc-text"}),
+    "mit-text-partial": (_MIT, {"json-text", "mit-text", "x11-text"}),
 }
 
 # ASCII characters that end a word once A-Z is lower-cased.
@@ -70,7 +134,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().translate(_TO_SPACE).split()
 
 
-@dataclass
+@dataclass(eq=False)
 class Automaton:
     """States are numbers; ``steps[s]`` are (words or None for any, next state), ``free[s]`` next
     states that take no word. The last state accepts."""
@@ -192,21 +256,23 @@ def scan(
 ) -> DataFrame:
     """Per row the words, the places of the phrases and the labels of phrases and templates.
 
-    ``score`` is 1 where a template matches, 0.5 where only a phrase stands, else 0.
+    ``score`` is 1 where a template matches, 0.5 where only a phrase or the beginning of a text stands,
+    else 0. Beginnings go with the templates of this module, not with given ones.
     """
     asked = {b" " + b" ".join(words_of(p.encode())) + b" ": label for p, label in (phrases or PHRASES).items()}
     wanted = dict(templates or TEMPLATES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = [compile_template(label, t) for label, t in wanted.items()]
+        begun = {} if templates else {compile_template(label, t): whole for label, (t, whole) in PARTIAL.items()}
         for batch in batches:
-            out = [one(t, automata) for t in batch.column(1).to_pylist()]
+            out = [one(t, automata, begun) for t in batch.column(1).to_pylist()]
             columns = list(zip(*out, strict=True)) if out else [()] * 7
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             arrays = [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=NAMES)
 
-    def one(value: bytes | None, automata: list[Automaton]):
+    def one(value: bytes | None, automata: list[Automaton], begun: dict[Automaton, set[str]]):
         words = words_of(value or b"")
         joined = b" " + b" ".join(words) + b" "
         base: dict[str, list[int]] = {}
@@ -215,10 +281,13 @@ def scan(
                 base.setdefault(label, []).extend(found)
         starts = [s for found in base.values() for s in found]
         more = {a.label for a in automata if a.key in joined and matched(a, words, joined)}
+        if "x11-text" in more:
+            more.discard("mit-text")  # its wording is part of the other
+        part = {a.label for a, whole in begun.items() if not whole & more and a.key in joined and matched(a, words, joined)}
         return (
             len(words), len(starts), min(starts, default=None), max(starts, default=None),
-            ",".join(sorted(base)), ",".join(sorted(more.union(base))),
-            1.0 if more else 0.5 if base else 0.0,
+            ",".join(sorted(base)), ",".join(sorted(more.union(part, base))),
+            1.0 if more else 0.5 if base or part else 0.0,
         )
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))

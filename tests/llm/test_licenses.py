@@ -60,3 +60,14 @@ def test_whole_texts_match_their_templates():
 
 def test_empty_table(documents):
     assert licenses.scan(documents([])).count() == 0
+
+
+def test_cut_and_changed_texts_are_partial(documents):
+    mit = licenses._MIT.replace("[[including the next paragraph]] ", "")
+    end = licenses._MIT_WARRANTY.replace("[[NON]] <<what:noninfringement|infringement>>", "NONINFRINGEMENT")
+    end = end.replace("<<who:1-12>>", "THE AUTHORS OR COPYRIGHT HOLDERS")
+    x11 = " Except as contained in this notice, the name of X shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from X."
+    texts = [mit, f"{mit}. {end}.", f"{mit}. The Software shall be used for Good, not Evil. {end}", f"{mit} {end} {x11}", f"{mit} and more {end}", licenses._ISC]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(documents(list(enumerate(texts)))).collect()}
+    assert got == {0: ("mit-text-partial", 0.5), 1: ("mit-text", 1.0), 2: ("json-text", 1.0), 3: ("x11-text", 1.0),
+                   4: ("mit-text-partial", 0.5), 5: ("isc-text-partial", 0.5)}
