@@ -114,11 +114,14 @@ def cuts(sized: DataFrame, rates: DataFrame, seed: str, label: str) -> DataFrame
     drawing = (
         sized.join(rates.where("_p > 0"), ["_src", "_class"])
         .select("_src", "size", "_left", rank(drawn(F.col("doc_id"), seed), F.col("_p")).alias("_rank"))
+        # Rows that tie, by null or repeated ids, are one row with their words: no block holds them all.
+        .groupBy("_src", "_rank", "size").agg(F.max("_left").alias("_left"), F.sum("size").alias("_tied"))
     )
     order = ["_rank", "size"]
     blocks = ordered_blocks(drawing, ["_src", *order], f"{label}-ranks")
-    starts = block_starts(blocks, ["_src"], "size")
+    starts = block_starts(blocks, ["_src"], "_tied")
     # A document is taken if that brings the source nearer its target: 2 * before + size <= 2 * left.
+    # Of documents that tie, the last one has the others before it; if it is refused, all are.
     # Where a block ends below its source's target, all of it is taken; only the first block that
     # ends above is judged by row. If all of that is taken, its last rank is the border.
     aims = blocks.groupBy("_src").agg(F.max("_left").alias("_aim"))
@@ -127,9 +130,9 @@ def cuts(sized: DataFrame, rates: DataFrame, seed: str, label: str) -> DataFrame
         "_src", F.col("c._block").alias("_block"), F.col("c._start").alias("_start")
     )
     inside = blocks.join(first, ["_src", "_block"])
-    before = F.col("_start") + F.coalesce(F.sum("size").over(within_block(["_src"], order)), F.lit(0))
+    before = F.col("_start") + F.coalesce(F.sum("_tied").over(within_block(["_src"], order)), F.lit(0))
     judged = inside.withColumn("_before", before)
-    refused = judged.where(2 * F.col("_before") + F.col("size") > 2 * F.col("_left"))
+    refused = judged.where(2 * (F.col("_before") + F.col("_tied")) - F.col("size") > 2 * F.col("_left"))
     here = refused.groupBy("_src").agg(F.min("_rank").alias("_cut"))
     ends = judged.groupBy("_src").agg(F.max("_rank").alias("_last"))
     return ends.join(here, "_src", "left")

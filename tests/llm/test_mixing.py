@@ -77,3 +77,13 @@ def test_only_empty_texts(documents):
 def test_no_python_on_the_path(documents):
     plan = mixing.mix(documents(corpus()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_rows_that_tie_are_ordered_as_one(documents, monkeypatch):
+    sorted_rows, real = {}, mixing.ordered_blocks
+    def kept(df, order, label):
+        sorted_rows[label] = (out := real(df, order, label)).count()
+        return out
+    monkeypatch.setattr(mixing, "ordered_blocks", kept)
+    got = decided(documents([(None, "w " * (i % 3 + 4), "en", "a") for i in range(600)] + [(1, "w " * 900, "en", "b")]))
+    assert len(got) == 601 and sorted_rows["mix-ranks"] <= 4
