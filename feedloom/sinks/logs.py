@@ -102,3 +102,11 @@ REJECTS = "filename string, path string, block_start bigint, line bigint, line_t
 def write_rejects(rows: DataFrame, root: str, table: str, load_id: str) -> None:
     """Rejected lines of a load, in one layout for all tables (``REJECTS``)."""
     rows.write.mode("overwrite").parquet(f"{root}/table_name={table}/{LOAD}={load_id}")
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Rejected lines of all tables and loads below a reject folder."""
+    layout = f"{REJECTS}, table_name string, {LOAD} string"
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], layout)
+    return spark.read.schema(layout).parquet(root)

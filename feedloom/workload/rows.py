@@ -252,15 +252,18 @@ def policy_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("reject_rows", duck(f"SELECT 'orders' AS table_name, received AS file_name, order_id, qty_text AS raw_value FROM ({TYPED}) t WHERE qty IS NULL"))
 def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written to the reject folder and read back."""
-    rows = typed(spark, sf_dir, qty={"on_error": "REJECT"}).where(F.col(typing.DROPPED))
-    shown = rows.select(
-        F.lit("orders").alias("table_name"), F.col(FILE).alias("file_name"), "order_id",
-        F.filter(typing.ISSUES, lambda i: i["kind"] == E.REJECT)[0]["raw"].alias("raw_value"),
+    """Judged, written to the reject folder of a load and read back from its layout."""
+    fields = feeds.fields(qty={"on_error": "REJECT"})
+    spec = order_spec(fields=fields)
+    rows = ingest.stage(orders(spark, sf_dir), spec)
+    load = ingest.judge(spec, rows, rows.select(F.col(FILE).alias("file_name")).distinct())
+    root = fresh_dir(spark, "badrecords")
+    logs.write_rejects(ingest.rejected_lines(load, rows), root, "orders", "first")
+    back = logs.read_rejects(spark, root)
+    return back.where(F.exists("issues", lambda i: i["kind"] == E.REJECT)).select(
+        "table_name", F.col("filename").alias("file_name"),
+        F.col("texts")["order_id"].cast("long").alias("order_id"), F.col("texts")["qty"].alias("raw_value"),
     )
-    path = fresh_dir(spark, "badrecords")
-    logs.write_rejects(shown, path)
-    return spark.read.schema(shown.schema).parquet(path)
 
 
 @query(
