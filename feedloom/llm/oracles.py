@@ -128,3 +128,51 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 20
 """
+
+RANKED = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS length FROM d WHERE len(terms) > 0),
+q AS (
+    SELECT DISTINCT item_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE item_id IS NOT NULL),
+t AS (
+    SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+    WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM f CROSS JOIN s),
+m AS (SELECT r, doc_id, 10 + (90 * CAST(len(terms) AS BIGINT) * docs) // length AS m FROM d CROSS JOIN s WHERE len(terms) > 0),
+scored AS (
+    SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (r) WHERE doc_id IS NOT NULL GROUP BY item_id, r),
+ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scored JOIN m USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+VECTOR_LINKS = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS vec,
+           vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS fine
+    FROM embeddings),
+l AS (
+    SELECT a.r, b.r AS s FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r
+    WHERE a.fine AND b.fine AND list_cosine_similarity(a.vec, b.vec) >= 0.93),
+reach AS (SELECT r, s FROM l UNION SELECT reach.r, l.s FROM reach JOIN l ON reach.s = l.r),
+least AS (SELECT reach.r, min(v.vec_id) AS least FROM reach JOIN v ON v.r = reach.s GROUP BY reach.r),
+n AS (SELECT r, count(*) AS n FROM l GROUP BY r),
+o AS (
+    SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id
+    FROM v LEFT JOIN n USING (r) LEFT JOIN least USING (r))
+SELECT vec_id, n_links, component_id, coalesce(vec_id = component_id, true) AS kept FROM o
+"""

@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import hashing_index, langid, licenses, minhash, mixing, oracles, packing, page_text, token_counts, toxicity, voronoi
+from feedloom.llm import (
+    fp_tree,
+    hashing_index,
+    langid,
+    licenses,
+    minhash,
+    mixing,
+    oracles,
+    packing,
+    page_text,
+    spelling,
+    tiles,
+    token_counts,
+    toxicity,
+    voronoi,
+)
 from feedloom.workload.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -75,3 +90,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.learn(docs, labels))
+
+
+@register("op11_document_fp_tree", oracles.RANKED)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@register("op12_int8_tiles", oracles.VECTOR_LINKS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@register("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
