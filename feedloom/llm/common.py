@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,11 +18,37 @@ SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Fewer rows per Arrow batch, where the session has Spark's default: ten thousand texts at once
-    would be held several times over by a Python worker."""
-    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
-    if spark.conf.get(key) == default:
-        spark.conf.set(key, "1000")
+    """Settings for rows of whole texts, where the session has Spark's defaults: fewer rows per Arrow and
+    per Parquet batch, which are held several times over, and smaller row groups, which a writer holds."""
+    for key, default, better in (
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
+        ("spark.sql.parquet.columnarReaderBatchSize", "4096", "512"),
+        ("parquet.block.size", None, str(32 << 20)),
+    ):
+        if spark.conf.get(key, None) == default:
+            spark.conf.set(key, better)
+
+
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(run: Run) -> Run:
+    """A task's function that gives its memory back to the system when it ends: the worker stays, idle
+    beside the next stage, and would keep it."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return tidied
+
+
+def whole_row(df: DataFrame, name: str = "row") -> Column:
+    """All columns as one struct, whatever their names."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias(name)
 
 
 def ordered_blocks(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:

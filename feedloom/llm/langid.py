@@ -7,8 +7,9 @@ down to a uniform code (escape method C: ``distinct / (total + distinct)``). Sta
 after fitting, so the code length of a text is a sum over its byte windows, and all lengths of windows
 seen in training are worked out beforehand. The language with the shortest code wins.
 
-Fitting takes a bounded sample of whole labelled texts: about ``train_bytes`` bytes per language, from
-texts of at most ``longest`` bytes, chosen by a hash of the id. Scoring reads every byte of every text.
+Fitting takes a bounded sample of whole labelled texts: about ``train_bytes`` bytes per language, and at
+least one text, chosen by a hash of id and text; of more than ``most_langs`` languages those with most
+bytes are learned. Scoring reads every byte of every text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; without any labelled
 text every row is ``und``; equal code lengths go to the language that sorts first; a null id counts as
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import small_batches
+from feedloom.llm.common import small_batches, tidy, whole_row
 from feedloom.llm.tokenizing import slices
 
 UNKNOWN = "und"
@@ -162,8 +163,10 @@ def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["lang", "k", "window", "n"]
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = np.frombuffer(b"\n" * order + text, dtype=np.uint8)
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            # A long text goes window by window; each window carries the bytes before it.
+            for lang, whole, start in ((g, b"\n" * order + t, at) for g, t in rows for at in range(0, len(t), WINDOW)):
+                data = np.frombuffer(whole[start : start + order + WINDOW], dtype=np.uint8)
                 for k in range(order + 1):
                     keys, n = np.unique(windows(data[order - k :], k), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
@@ -179,19 +182,22 @@ def _count(order: int):
 
 def fit(
     rows: DataFrame, lang: str, text: str, doc_id: str,
-    order: int = 3, train_bytes: int = 400_000, longest: int = 32_768,
+    order: int = 3, train_bytes: int = 400_000, most_langs: int = 1000,
 ) -> Model | None:
     """Model of the labelled ``rows``. The sample holds about ``train_bytes`` bytes per language."""
-    size = F.octet_length(text)
-    usable = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (size > 0) & (size <= longest))
-    known = {r["lang"]: r["n"] for r in usable.groupBy(F.col(lang).alias("lang")).agg(F.sum(size).alias("n")).collect()}
+    draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col(doc_id), F.col(text)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    usable = rows.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0)).select(
+        F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"), draw.alias("draw")
+    )
+    sums = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"), F.min("draw").alias("least"))
+    known = {r["lang"]: r for r in sums.orderBy(F.col("n").desc(), "lang").limit(most_langs).collect()}
     if not known:
         return None
     langs = sorted(known)
-    share = F.create_map(*[F.lit(x) for g in langs for x in (g, min(1.0, train_bytes / known[g]))])
-    draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col(doc_id)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = usable.where(draw < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"))
-    counted = sample.mapInArrow(_count(order), "lang string, k int, window long, n long")
+    share = F.create_map(*[F.lit(x) for g in langs for x in (g, max(known[g]["least"], min(1.0, train_bytes / known[g]["n"])))])
+    # Rows that repeat id and text draw alike and count once.
+    sample = usable.where(F.col("draw") <= share[F.col("lang")]).dropDuplicates(["lang", "draw"])
+    counted = sample.select("lang", "text").mapInArrow(tidy(_count(order)), "lang string, k int, window long, n long")
     table = counted.groupBy("lang", "k", "window").agg(F.sum("n").alias("n")).toArrow()
     number = {g: i for i, g in enumerate(langs)}
     lang_no = np.array([number[g] for g in table["lang"].to_pylist()], dtype=np.int64)
@@ -237,12 +243,12 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
         (remainder(F.col(doc_id), parts) == held).alias("held_out"),
         F.when(letter, F.col(text).cast("binary")).alias("text"),
         letter.alias("lettered"),
-        *[F.struct(*docs.columns).alias("row")] * keep,
+        *[whole_row(docs)] * keep,
     )
     schema = T.StructType.fromDDL(SCHEMA)
     if keep:
         schema.add("row", narrow.schema["row"].dataType)
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(tidy(run), schema)
 
 
 def learn(docs: DataFrame, parts: int = 4, held: int = 2, **options) -> Model | None:

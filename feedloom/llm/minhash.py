@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import small_batches
+from feedloom.llm.common import small_batches, tidy
 from feedloom.llm.graphs import components
 from feedloom.session import staged
 
@@ -149,8 +149,8 @@ def _with(pairs: DataFrame, facts: DataFrame, column: str) -> DataFrame:
 
 def links_of(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int, miss: float, label: str) -> DataFrame:
     """Those of the candidate pairs that reach the threshold, written once."""
-    likely = _with(pairs, sigs, "sig").mapInArrow(_prune(percent / 100, miss), "a long, b long")
-    linked = _with(likely, sets, "members").mapInArrow(_verify(percent), "a long, b long")
+    likely = _with(pairs, sigs, "sig").mapInArrow(tidy(_prune(percent / 100, miss)), "a long, b long")
+    linked = _with(likely, sets, "members").mapInArrow(tidy(_verify(percent)), "a long, b long")
     return staged(linked.distinct(), f"{label}-links")
 
 
@@ -167,7 +167,7 @@ def near_duplicates(
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     sketched = staged(
-        rows.mapInArrow(_sketch(shingle), "doc_id long, n_shingles long, key binary, sig binary"), f"{label}-sketches"
+        rows.mapInArrow(tidy(_sketch(shingle)), "doc_id long, n_shingles long, key binary, sig binary"), f"{label}-sketches"
     )
     known = sketched.where("doc_id IS NOT NULL AND key IS NOT NULL")
     classes = known.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("r"))
@@ -185,7 +185,7 @@ def near_duplicates(
     near = staged(buckets.select("rep").distinct(), f"{label}-near")
     sigs = reps.join(near, "rep", "left_semi").select("rep", "sig")
     texts = rows.join(near.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = staged(texts.mapInArrow(_sets(shingle), "rep long, members binary"), f"{label}-sets")
+    sets = staged(texts.mapInArrow(tidy(_sets(shingle)), "rep long, members binary"), f"{label}-sets")
 
     names = near.withColumn("component", F.col("rep"))
     for turn in range(ROUNDS):

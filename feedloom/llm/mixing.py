@@ -9,11 +9,13 @@ the documents with the smallest ranks are taken until the words of the source co
 
 The rank that separates taken from left documents is one number per source. It is found from sums
 per range block; only the block in which the target is reached is looked at row by row, so a source
-with most of the rows is spread over many tasks.
+with most of the rows is spread over many tasks. Rows that draw alike, by null or repeated ids, are in the
+order of their sizes, then of their texts' hash; of those at the border as many are taken as bring the
+source nearest its target, numbered over range blocks of their own.
 
 Defined results: a null text has size 0 and is never taken; a null source is a source of its own, the
-last one; a null id draws like the empty text; repeated rows draw alike and are decided alike; an
-empty table gives an empty result; other columns of the input have no influence.
+last one; a null id draws like the empty text; of rows that repeat id and text any may be the ones
+taken; an empty table gives an empty result; other columns of the input have no influence.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import SPACED_WORD, block_starts, ordered_blocks, within_block
+from feedloom.llm.common import SPACED_WORD, block_starts, ordered_blocks, small_batches, whole_row, within_block
 from feedloom.session import staged
 
 DIGITS = 13  # Fixed value: hexadecimal digits of the hash that make the drawn number, 52 bits.
@@ -110,7 +112,8 @@ def rank(u: Column, p: Column) -> Column:
 
 
 def cuts(sized: DataFrame, rates: DataFrame, seed: str, label: str) -> DataFrame:
-    """Per source the smallest rank that is not taken. Sources of which all is taken have no row."""
+    """Per source the rank and size at which taking ends, and how many rows of just these are taken.
+    Sources of which all is taken have no row."""
     drawing = (
         sized.join(rates.where("_p > 0"), ["_src", "_class"])
         .select("_src", "size", "_left", rank(drawn(F.col("doc_id"), seed), F.col("_p")).alias("_rank"))
@@ -121,7 +124,7 @@ def cuts(sized: DataFrame, rates: DataFrame, seed: str, label: str) -> DataFrame
     blocks = ordered_blocks(drawing, ["_src", *order], f"{label}-ranks")
     starts = block_starts(blocks, ["_src"], "_tied")
     # A document is taken if that brings the source nearer its target: 2 * before + size <= 2 * left.
-    # Of documents that tie, the last one has the others before it; if it is refused, all are.
+    # Of documents that tie, the last one has the others before it; if it is refused, some may be.
     # Where a block ends below its source's target, all of it is taken; only the first block that
     # ends above is judged by row. If all of that is taken, its last rank is the border.
     aims = blocks.groupBy("_src").agg(F.max("_left").alias("_aim"))
@@ -132,10 +135,15 @@ def cuts(sized: DataFrame, rates: DataFrame, seed: str, label: str) -> DataFrame
     inside = blocks.join(first, ["_src", "_block"])
     before = F.col("_start") + F.coalesce(F.sum("_tied").over(within_block(["_src"], order)), F.lit(0))
     judged = inside.withColumn("_before", before)
-    refused = judged.where(2 * (F.col("_before") + F.col("_tied")) - F.col("size") > 2 * F.col("_left"))
-    here = refused.groupBy("_src").agg(F.min("_rank").alias("_cut"))
-    ends = judged.groupBy("_src").agg(F.max("_rank").alias("_last"))
-    return ends.join(here, "_src", "left")
+    refused = 2 * (F.col("_before") + F.col("_tied")) - F.col("size") > 2 * F.col("_left")
+    nearest = F.floor((2 * F.col("_left") - 2 * F.col("_before") + F.col("size")) / (2 * F.col("size"))).cast("long")
+    border = lambda take: F.struct(F.col("_rank").alias("r"), F.col("size").alias("s"), take.alias("take"))
+    ends = judged.groupBy("_src").agg(
+        F.min(F.when(refused, border(F.greatest(nearest, F.lit(0))))).alias("first"),
+        F.max(border((F.col("_tied") / F.col("size")).cast("long"))).alias("last"),
+    )
+    end = F.coalesce("first", "last")
+    return ends.select("_src", end["r"].alias("_cut"), end["s"].alias("_cut_size"), end["take"].alias("_take"))
 
 
 def mix(
@@ -160,8 +168,10 @@ def mix(
         F.col(doc_id).alias("doc_id"),
         source_key(F.col(source)).alias("_src"),
         n_words(F.col(text)).alias("size"),
-        *[F.struct(*docs.columns).alias("row")] * keep,
+        F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_text"),
+        *[whole_row(docs)] * keep,
     )
+    small_batches(docs.sparkSession)
     rows = measured.withColumn("_class", size_class(F.col("size")))
     sized = staged(rows.drop("row"), f"{label}-sized")
     targets = staged(source_targets(sized, weights, share, most, label), f"{label}-targets")
@@ -169,10 +179,21 @@ def mix(
     cut = staged(cuts(sized, rates, seed, label), f"{label}-cuts")
     known = (rows if keep else sized).join(targets.select("_src", "source_size", "target"), "_src", "left")
     known = known.join(rates, ["_src", "_class"], "left").join(cut, "_src", "left")
-    r = rank(drawn(F.col("doc_id"), seed), F.col("_p"))
-    more = (F.col("_p") > 0) & F.coalesce(r < F.col("_cut"), r <= F.col("_last"), F.lit(True))
-    copies = F.coalesce(F.col("_base") + F.when(more, 1).otherwise(0), F.lit(0))
-    return known.select(
+    known = known.withColumn("_rank", F.when(F.col("_p") > 0, rank(drawn(F.col("doc_id"), seed), F.col("_p"))))
+    at, end = F.struct("_rank", "size"), F.struct("_cut", "_cut_size")
+    on_border = F.coalesce((F.col("_rank") == F.col("_cut")) & (F.col("size") == F.col("_cut_size")), F.lit(False))
+    more = F.col("_rank").isNotNull() & (F.col("_cut").isNull() | (at < end))
+    decided = known.where(~on_border).withColumn("_more", more)
+    # Mostly one row per source; however many they are, they are numbered in blocks.
+    order = ["_text", "_row"]
+    tied = ordered_blocks(known.where(on_border).withColumns({"_row": F.monotonically_increasing_id(), "_one": F.lit(1)}),
+                          ["_src", *order], f"{label}-border")
+    starts = block_starts(tied, ["_src"], "_one").select("_src", "_block", "_start")
+    ended = tied.withColumn("_earlier", F.coalesce(F.sum("_one").over(within_block(["_src"], order)), F.lit(0)))
+    ended = ended.join(starts, ["_src", "_block"]).withColumn("_more", F.col("_start") + F.col("_earlier") < F.col("_take"))
+    all_ = decided.unionByName(ended.select(*decided.columns))
+    copies = F.coalesce(F.col("_base") + F.when(F.col("_more"), 1).otherwise(0), F.lit(0))
+    return all_.select(
         "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), copies.alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
         *["row"] * keep,

@@ -4,7 +4,8 @@ MIX = r"""
 WITH sized AS (
     SELECT doc_id, source,
            CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src,
-           CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+           CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+           md5(coalesce(text, '')) AS tie, row_number() OVER () AS row
     FROM documents),
 classed AS (
     SELECT *, CASE WHEN size = 0 THEN 0 ELSE length(bin(size)) END AS class,
@@ -48,19 +49,20 @@ split AS (
            target - (sum(CAST(floor(q) AS BIGINT) * words) OVER (PARTITION BY src))::DOUBLE AS aim
     FROM rates),
 ranked AS (
-    SELECT d.src, d.size, s.aim, (u / (1 - u)) / (p / (1 - p)) AS r
+    SELECT d.src, d.row, d.tie, d.size, s.aim, (u / (1 - u)) / (p / (1 - p)) AS r
     FROM classed d JOIN split s USING (src, class) WHERE p > 0),
 summed AS (
-    SELECT *, coalesce(sum(size) OVER (PARTITION BY src ORDER BY r, size
-                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-    FROM ranked),
-cuts AS (SELECT src, min(r) AS cut FROM summed WHERE (2 * before + size)::DOUBLE > 2 * aim GROUP BY src),
+    SELECT *, row_number() OVER o AS place,
+           coalesce(sum(size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM ranked WINDOW o AS (PARTITION BY src ORDER BY r, size, tie, row)),
+cuts AS (SELECT src, min(place) AS cut FROM summed WHERE (2 * before + size)::DOUBLE > 2 * aim GROUP BY src),
 decided AS (
     SELECT d.doc_id, d.size, t.source_size, t.target,
-           CAST(coalesce(s.base + CASE WHEN s.p > 0 AND (c.cut IS NULL OR (u / (1 - u)) / (p / (1 - p)) < c.cut)
-                                       THEN 1 ELSE 0 END, 0) AS INTEGER) AS copies
+           CAST(coalesce(s.base + CASE WHEN s.p > 0 AND (c.cut IS NULL OR m.place < c.cut) THEN 1 ELSE 0 END, 0)
+                AS INTEGER) AS copies
     FROM classed d JOIN targets t USING (src)
     LEFT JOIN split s ON s.src = d.src AND s.class = d.class
+    LEFT JOIN summed m ON m.row = d.row
     LEFT JOIN cuts c ON c.src = d.src)
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM decided
 """

@@ -25,13 +25,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import block_starts, ordered_blocks, within_block
-from feedloom.llm.tokenizing import memory, slices
+from feedloom.llm.common import block_starts, ordered_blocks, small_batches, tidy, within_block
+from feedloom.llm.tokenizing import joined, memory, ranked, runs, slices, tokens_with
 from feedloom.session import staged
 
 DIMENSIONS, BITS = 4, 9  # of the grid; the key has 36 bits, and 27 more of a hash of the id
 TIE_BITS = 27
 PART = 4 << 20  # bytes of text encoded at a time
+WORD_END = "</w>"  # Fixed value: how the vocabulary marks the end of a word.
+#: Letters that lower-casing and composing leave alone or change one by one, and marks that are words of
+#: their own behind a letter.
+WORD, MARK = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,]"
+WORD_OR_MARK = r"\p{L}+_|[.,]_"
 
 
 def directions(ids: int, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -69,22 +74,44 @@ def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+def distinct_encoder(file: str):
+    """Ids of distinct pieces, one after the other, and how many each has.
+
+    Words of letters, with or without a mark behind, are most of them and are encoded as one text in lower
+    case; what is left goes piece by piece and is remembered where it is met again.
+    """
+    fast = ranked(file, WORD_OR_MARK, WORD_END)
+    ends, remembered = tokens_with(file, lambda t: t.endswith(WORD_END)), memory(file)
+
+    def encode(pieces: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.match_substring_regex(pieces, f"^{WORD}{MARK}?$").to_numpy(zero_copy_only=False)
+        words = pieces.filter(pa.array(plain))
+        marked = pc.match_substring_regex(words, f"{MARK}$").to_numpy(zero_copy_only=False)
+        text = pc.utf8_lower(pc.replace_substring_regex(words, f"({MARK})$", r"_\1"))
+        flat, n = runs(fast.encode_ordinary(joined(text, "_") + "_" * bool(len(text))), ends, 1 + marked)
+        rest = remembered.of(pieces.filter(pa.array(~plain)).to_pylist(), counts[~plain].tolist())
+        size = np.zeros(len(pieces), dtype=np.int64)
+        size[plain], size[~plain] = n, [len(x) // 4 for x in rest]
+        pool, own = np.empty(size.sum(), dtype="<u4"), np.repeat(plain, size)
+        pool[own], pool[~own] = flat, np.frombuffer(b"".join(rest), dtype="<u4")
+        return pool, size
+
+    return encode
+
+
 def _encode(file: str, ids: int, closing: int):
     axes = [f"v{i}" for i in range(DIMENSIONS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered, way = memory(file, "ids"), directions(ids)
+        encode, way = distinct_encoder(file), directions(ids)
         for batch in (part for whole in batches for part in slices(whole, 1, PART)):
             # A space is never part of a token of this vocabulary, so pieces between spaces are independent.
             spaced = pc.replace_substring(pc.fill_null(batch.column(1), ""), "\n", " ")
             pieces = pc.split_pattern(spaced, " ")
             distinct = pieces.flatten().dictionary_encode()
             code, bounds = distinct.indices.to_numpy(), pieces.offsets.to_numpy()
-            names = distinct.dictionary.to_pylist()
-            found = remembered.of(names, np.bincount(code, minlength=len(names)).tolist())
-            size = np.array(list(map(len, found)), dtype=np.int64) // 4
+            pool, size = encode(distinct.dictionary, np.bincount(code, minlength=len(distinct.dictionary)))
             first = np.cumsum(size) - size
-            pool = np.frombuffer(b"".join(found), dtype="<u4")
             # Ids of all pieces in order, then the closing id after those of every text.
             each = size[code]
             upto = np.concatenate([[0], np.cumsum(each)])
@@ -144,6 +171,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and the
     ids themselves, little-endian unsigned 32-bit numbers. ``ids`` is at most 65,536."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).cast("string").alias("text"),
@@ -151,7 +179,7 @@ def pack(
     )
     axes = [f"v{i}" for i in range(DIMENSIONS)]
     schema = "doc_id long, row long, n long, ids binary, " + ", ".join(f"{a} double" for a in axes)
-    encoded = staged(rows.mapInArrow(_encode(file, ids, closing), schema), f"{label}-ids")
+    encoded = staged(rows.mapInArrow(tidy(_encode(file, ids, closing)), schema), f"{label}-ids")
     stats = encoded.agg(*[F.avg(a) for a in axes], *[F.stddev_pop(a) for a in axes]).first()
     # Rounded, so that the order in which Spark adds up does not move a document to another cell.
     mean = [round(x or 0.0, 6) for x in stats[:DIMENSIONS]]
@@ -165,7 +193,7 @@ def pack(
     line = staged(placed.select("row", (F.col("_start") + F.col("before")).alias("at")), f"{label}-line")
     found = encoded.select("doc_id", "n", "ids", "row").join(line, "row").select("doc_id", "n", "ids", "at")
     return found.mapInArrow(
-        _pieces(length),
+        tidy(_pieces(length)),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary",
     )
 

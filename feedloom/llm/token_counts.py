@@ -2,7 +2,7 @@
 
 A byte-level tokenizer cuts a text into pieces before it merges bytes. A space after a character that
 is no white space always starts a new piece, whatever stands around it: such a boundary is stable.
-Short texts are cut at all stable boundaries, and pieces already met are not encoded again.
+Short texts are cut at all stable boundaries, and each distinct piece of a batch is encoded once.
 
 A huge text is cut into chunks that overlap. Chunks are rows of their own, dealt out to all tasks;
 each is encoded by itself, with offsets. Two neighbours are spliced at the first place of their
@@ -17,18 +17,25 @@ repeated rows give repeated results; an empty table gives an empty result; other
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.tokenizing import BEFORE_SPACE, memory, slices, tokenizer
+from feedloom.llm.tokenizing import BEFORE_SPACE, byte_of, joined, ranked, slices, tokenizer, tokens_with
 from feedloom.session import staged
 
 CHUNK = 16_384  # characters of a chunk, without its overlap
 OVERLAP = 512  # characters a chunk shares with the next, at first
 WIDER = 8  # factor for both where alignment fails
+PART = 4 << 20  # bytes of short texts encoded at a time
+SPECIAL = "<|"  # Fixed value: how special strings begin; texts that hold it go to the tokenizer as they are.
+SPACE = "Ġ"  # Fixed value: the space in the characters of a byte-level vocabulary.
+LOOSE_SPACE = r"(^|[\s\p{Z}\x0b\x1c-\x1f\x{85}]) "
 
 CHUNK_SCHEMA = "doc_id long, mark long, n_bytes long, chunk int, start long, last boolean, piece string"
 SPLICE_SCHEMA = (
@@ -37,19 +44,65 @@ SPLICE_SCHEMA = (
 )
 
 
+def pattern() -> str:
+    """How byte-level tokenizers cut a text before they merge bytes."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+@lru_cache(maxsize=4)
+def token_bytes(file: str) -> np.ndarray:
+    """Bytes of every token, 0 for special ones."""
+    found, known = tokenizer(file).get_vocab(), byte_of()
+    out = np.zeros(max(found.values()) + 1, dtype=np.int64)
+    for token, i in found.items():
+        out[i] = len(token) if all(c in known for c in token) else 0
+    return out
+
+
 def _short(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered = memory(file, "count")
-        for batch in (part for whole in batches for part in slices(whole, 2)):
-            cut = [BEFORE_SPACE.split(t) if t else [] for t in batch.column(2).to_pylist()]
-            # The first piece of a text has no space before it.
-            pieces = [[p[0], *[" " + x for x in p[1:]]] if p else [] for p in cut]
-            n = pa.array(map(sum, remembered.values(pieces)), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n], names=["doc_id", "n_bytes", "n_tokens"])
+        starts = tokens_with(file, lambda t: t.startswith(SPACE))
+        fast = ranked(file, pattern())
+        for batch in (part for whole in batches for part in slices(whole, 2, PART)):
+            texts, n = batch.column(2), np.zeros(batch.num_rows, dtype=np.int64)
+            special = pc.match_substring(texts, SPECIAL).to_numpy(zero_copy_only=False)
+            # A space behind white space or at the beginning is no boundary; such texts are not cut.
+            loose = pc.match_substring_regex(texts, LOOSE_SPACE).to_numpy(zero_copy_only=False) & ~special
+            whole_texts = texts.filter(pa.array(special)).to_pylist()
+            n[special] = [len(e.ids) for e in tokenizer(file).encode_batch_fast(whole_texts, add_special_tokens=False)]
+            n[loose] = [len(fast.encode_ordinary(t)) for t in texts.filter(pa.array(loose)).to_pylist()]
+            tight = ~(special | loose)
+            n[tight] = _distinct_counts(texts.filter(pa.array(tight)), fast, starts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n)], names=["doc_id", "n_bytes", "n_tokens"])
 
     return run
 
 
+def _distinct_counts(texts: pa.Array, fast, starts: np.ndarray) -> np.ndarray:
+    """Tokens of texts whose every space is a stable boundary."""
+    pieces = pc.split_pattern(texts, " ")
+    flat, bounds = pieces.flatten(), pieces.offsets.to_numpy()
+    if not len(flat):
+        return np.zeros(len(texts), dtype=np.int64)
+    size = np.zeros(len(flat), dtype=np.int64)
+    # The first piece of a text has no space before it; white space may end the last one.
+    first, last = bounds[:-1], bounds[1:] - 1
+    size[first] = [len(fast.encode_ordinary(p)) for p in flat.take(pa.array(first)).to_pylist()]
+    last = last[last > first]
+    size[last] = [len(fast.encode_ordinary(" " + p)) for p in flat.take(pa.array(last)).to_pylist()]
+    inner = np.ones(len(flat), dtype=bool)
+    inner[first] = inner[last] = False
+    met = flat.filter(pa.array(inner)).dictionary_encode()
+    ids = np.array(fast.encode_ordinary(" " * bool(len(met)) + joined(met.dictionary, " ")), dtype=np.int64)
+    begin = np.flatnonzero(starts[ids])
+    if len(begin) != len(met.dictionary):
+        raise RuntimeError("pieces and their encoding differ in number")
+    size[inner] = np.diff(begin, append=len(ids))[met.indices.to_numpy()]
+    return np.add.reduceat(size, first)
+
+
 def _chunks(size: int, overlap: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -67,28 +120,42 @@ def _chunks(size: int, overlap: int):
     return run
 
 
-def boundaries(piece: str, tokens: dict[int, int], start: int, low: int, high: int) -> tuple[list[int], list[int]]:
+def encoded(piece: str, file: str) -> tuple[np.ndarray, int]:
+    """Where tokens start, as places in the piece, -1 for one that starts within a character; and the
+    number of tokens."""
+    if SPECIAL in piece:
+        code = tokenizer(file).encode(piece, add_special_tokens=False)
+        begins = np.array([b for b, _ in code.offsets], dtype=np.int64)
+        inside = np.diff(begins, prepend=-1) == 0
+        return np.where(inside, -1, begins), len(begins)
+    ids = np.array(ranked(file, pattern()).encode_ordinary(piece), dtype=np.int64)
+    size = token_bytes(file)[ids]
+    # From bytes to characters: a byte that continues a character starts none.
+    first = (np.frombuffer(piece.encode(), dtype=np.uint8) & 0xC0) != 0x80
+    at = np.cumsum(size) - size
+    return np.where(first[at], np.cumsum(first)[at] - 1, -1), len(ids)
+
+
+def boundaries(piece: str, tokens: np.ndarray, start: int, low: int, high: int) -> tuple[list[int], list[int]]:
     """Stable boundaries of a piece from ``low`` to ``high`` at which a token starts: their places in
     the whole text and the number of tokens before them."""
     at = [m.start() for m in BEFORE_SPACE.finditer(piece, low, high)]
-    known = [p for p in at if p in tokens]
-    return [start + p for p in known], [tokens[p] for p in known]
+    here = np.flatnonzero((tokens >= low) & (tokens < high))
+    number = dict(zip(tokens[here].tolist(), here.tolist(), strict=True))
+    known = [p for p in at if p in number]
+    return [start + p for p in known], [number[p] for p in known]
 
 
 def _encode(file: str, size: int, overlap: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = tokenizer(file)
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                code = t.encode(row.piece, add_special_tokens=False)
-                first = {}
-                for i, (begin, _) in enumerate(code.offsets):
-                    first.setdefault(begin, i)
+                first, n = encoded(row.piece, file)
                 left = boundaries(row.piece, first, row.start, 1, overlap) if row.chunk else ([], [])
                 # Near the cut end of a chunk nothing is proven; the last character has no follower.
                 right = ([], []) if row.last else boundaries(row.piece, first, row.start, size, size + overlap - 1)
-                out.append((row.doc_id, row.mark, row.n_bytes, row.chunk, row.last, len(code.ids), *left, *right))
+                out.append((row.doc_id, row.mark, row.n_bytes, row.chunk, row.last, n, *left, *right))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in SPLICE_SCHEMA.split(", ")])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame

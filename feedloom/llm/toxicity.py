@@ -13,8 +13,8 @@ column, so a score depends on the text alone: it is the logistic function of the
 threshold of the text's language, hence 0.5 at the threshold.
 
 The gradient and the words of languages take a bounded sample: about ``most_each`` toxic rows and twice
-as many others at most, of texts of at most ``longest`` bytes, chosen by a hash of the id. Calibrating
-and scoring read every word of every text.
+as many others at most, of about ``most_bytes`` bytes of either kind, whole texts chosen by a hash of the id and
+at least one of each. Calibrating and scoring read every word of every text.
 
 Defined results: null and empty texts get the score of a text without words; without labelled rows of
 both kinds every score is 0; a null id counts as the empty text when rows are held out; repeated rows
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import small_batches
+from feedloom.llm.common import small_batches, tidy, whole_row
 from feedloom.llm.langid import remainder
 from feedloom.llm.tokenizing import slices
 
@@ -325,10 +325,12 @@ def counted_outputs(docs: DataFrame, marked: DataFrame, model: Classifier) -> np
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     placed = own.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).cast("long"))
-    found = placed.mapInArrow(run, "doc_id long, guess int, step int")
+    found = placed.mapInArrow(tidy(run), "doc_id long, guess int, step int")
     met = found.join(marked, "doc_id").groupBy("guess", "step")
     counts = met.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") != 1).alias("others"))
-    return np.array([list(r) for r in counts.orderBy("guess", "step").collect()], dtype=np.int64).reshape(-1, 4)
+    out = np.array([list(r) for r in counts.orderBy("guess", "step").collect()], dtype=np.int64).reshape(-1, 4)
+    shared.destroy()
+    return out
 
 
 def calibrate(model: Classifier, counts: np.ndarray, overall: float, fewest: int = 8) -> None:
@@ -350,21 +352,29 @@ def calibrate(model: Classifier, counts: np.ndarray, overall: float, fewest: int
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, most_each: int = 2000, longest: int = 32_768,
+    docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, most_each: int = 2000, most_bytes: int = 32 << 20,
 ) -> Classifier | None:
     """Classifier from the labelled rows that are not held out."""
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     marked = marked.where(remainder(F.col("doc_id"), parts) != held)
     one = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not known.get(0) or not known.get(1):
-        return None
-    share = F.when(F.col("toxic") == 1, min(1.0, most_each / known[1])).otherwise(min(1.0, 2 * most_each / known[0]))
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", "lang")
     draw = F.pmod(F.xxhash64(F.lit("toxicity sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Texts stay where they are; their ids and lengths meet the labels.
+    sized = texts.select("doc_id", F.octet_length("text").alias("size")).join(one, "doc_id").withColumn("draw", draw)
+    facts = {
+        r["toxic"]: r for r in sized.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), F.min("draw").alias("least")
+        ).collect()
+    }
+    if len(facts) < 2:
+        return None
+    share = [
+        max(facts[k]["least"], min(1.0, most_each * (2 - k) / facts[k]["n"], most_bytes / max(1, facts[k]["size"]))) for k in (0, 1)
+    ]
     # About three times most_each rows of two numbers: small by the parameter, whatever the input.
-    chosen = F.broadcast(one.where(draw < share))
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sample = texts.where(F.octet_length("text") <= longest).join(chosen, "doc_id").toArrow().sort_by("doc_id")  # the same rows give the same model
+    chosen = F.broadcast(one.where(draw <= F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])))
+    sample = texts.join(chosen, "doc_id").toArrow().sort_by("doc_id")  # the same rows give the same model
     y = np.array(sample["toxic"].to_pylist(), dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
@@ -414,12 +424,12 @@ def score(docs: DataFrame, model: Classifier | None, parts: int = 5, held: int =
         F.col(doc_id).cast("long").alias("doc_id"),
         (remainder(F.col(doc_id), parts) == held).alias("held_out"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
-        *[F.struct(*docs.columns).alias("row")] * keep,
+        *[whole_row(docs)] * keep,
     )
     schema = T.StructType.fromDDL(SCHEMA)
     if keep:
         schema.add("row", narrow.schema["row"].dataType)
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(tidy(run), schema)
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -11,6 +11,6 @@ def documents(spark):
     def of(rows):
         full = [(*r, *[None] * (4 - len(r)), len(r[1]) if r[1] else None) for r in rows]
         df = spark.createDataFrame(full, DOCS)
-        return df.withColumns({c: F.lit(-1) for c in ("row", "size", "component", "_src", "key", "copies", "n", "taken")})
+        return df.withColumns({c: F.lit(-1) for c in ("row", "size", "component", "_src", "key", "copies", "n", "taken", "a.b", "c`d")})
 
     return of

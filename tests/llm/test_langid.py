@@ -114,3 +114,26 @@ def test_stage_keeps_clean_rows_and_columns(documents):
     out = langid.kept(df)
     assert out.columns == df.columns
     assert {r["doc_id"] for r in df.select("doc_id").collect()} - {r["doc_id"] for r in out.collect()} == {100, 101, 102}
+
+
+def test_languages_of_long_texts_alone_are_learned(documents, monkeypatch):
+    monkeypatch.setattr(langid, "WINDOW", 1000)
+    rows = [(i, "der hund und die katze gehen nach hause " * 900 + str(i), "de") for i in range(20)]
+    rows += [(100 + i, f"the dog and the cat are walking home {i}", "en") for i in range(60)]
+    rows += [(300, "une maison est grande et les chiens sont petits " * 12_000, "fr")]
+    df = documents(rows)
+    model = langid.learn(df, parts=10**9, held=1)
+    assert model.langs == ["de", "en", "fr"]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df, model).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+
+
+def test_most_frequent_languages_are_learned(documents):
+    rows = [(i, f"text {i} " * (i % 3 + 1), "abc"[i % 3]) for i in range(30)]
+    assert langid.fit(documents(rows), "lang", "text", "doc_id", most_langs=2).langs == ["b", "c"]
+
+
+def test_rows_that_repeat_id_and_text_count_once(documents):
+    one = [(None, "ein text", "de")]
+    counts = lambda rows: langid.fit(documents(rows), "lang", "text", "doc_id").costs[0].tolist()
+    assert counts(one * 50) == counts(one)

@@ -1,6 +1,8 @@
 from collections import defaultdict
 
-from feedloom.llm import mixing
+import pytest
+
+from feedloom.llm import mixing, oracles
 
 
 def decided(df, **options):
@@ -33,9 +35,30 @@ def test_reruns_agree_and_rows_may_come_in_any_order(documents):
     assert sorted(map(key, decided(df))) == sorted(map(key, decided(df.repartition(7))))
 
 
-def test_repeated_rows_are_decided_alike(documents):
-    got = decided(documents([(1, "a b c d", "en", "s"), (1, "a b c d", "en", "s"), (2, "e f g h i j", "en", "s")]))
-    assert len({(r["copies"]) for r in got if r["doc_id"] == 1}) == 1
+@pytest.mark.parametrize("seed", ["mix", "b", "c", "d", "e", "f"])
+@pytest.mark.parametrize("weights", [(1, 1), (2, 3), (1, 3)])
+def test_targets_are_met_where_ids_are_null_or_repeated(documents, seed, weights):
+    rows = [(None if i % 2 else i, "w " * (i % 10 + 1), "en", "a") for i in range(700)]
+    rows += [(7, "same text here", "en", "a")] * 200 + [(None, "other", "en", "b")] * 300
+    for r in (got := decided(documents(rows), weights=weights, seed=seed)):
+        assert r["taken"] in (r["copies"] * r["size"], 0) and r["copies"] <= 2
+    by = defaultdict(int)
+    for r in got:
+        by[(r["source_size"], r["target"])] += r["taken"]
+    assert len(got) == 1200 and all(abs(taken - target) <= 6 for (_, target), taken in by.items())
+
+
+def test_ties_follow_the_sql(spark, documents):
+    import duckdb
+
+    rows = [(None if i % 2 else i % 40, "w " * (i % 10 + 1) + str(i % 90), "en", "ab"[i % 2]) for i in range(400)]
+    df = documents(rows)
+    con = duckdb.connect()
+    con.register("documents", df.select("doc_id", "text", "source").toArrow())
+    key = lambda r: tuple("" if x is None else str(round(float(x), 6)) for x in r)
+    want = sorted(key(r) for r in con.execute(oracles.MIX).fetchall())
+    cols = ["doc_id", "size", "source_size", "target", "taken", "copies"]
+    assert sorted(key(r) for r in mixing.mix(df).select(*cols).collect()) == want
 
 
 def test_longer_documents_are_likelier(documents):

@@ -43,6 +43,24 @@ def test_pieces_hold_every_id_once(documents):
     assert sorted(map(repr, docs)) == want
 
 
+def test_words_encoded_together_are_those_encoded_alone():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    stock = ["The", "été", "ÜBER", "ß", "Straße.", "naïve,", "İx", "ſt", "e\u0301", "µ", "ª", "a_b", "_", "__", "x__", "it's", "'S", "1", "12.", "..",
+             ".", ",", "a..", "<|endoftext|>", "<|ENDOFTEXT|>", "a<|startoftext|>b", "日本", "ÿ", "Ŀ", "×", "", "Ω.", "ﬁ", "\x1c", "\u00a0x", "don't,"]
+    stock += ["".join(rng.choices("abcdefABCÉéñÄ", k=rng.randint(1, 14))) + rng.choice(["", "", ".", ",", "!"]) for _ in range(3000)]
+    stock = list(dict.fromkeys(stock))
+    pool, size = packing.distinct_encoder("word_bpe_49k.json")(pa.array(stock), np.ones(len(stock), dtype=np.int64))
+    at = 0
+    for piece, n in zip(stock, size.tolist(), strict=True):
+        assert pool[at : at + n].tolist() == encoded(piece)[:-1], piece
+        at += n
+    assert at == len(pool)
+
+
 def test_sequences_join_pieces(documents):
     pieces = packing.pack(documents(ROWS), length=256)
     got = {r["sequence_id"]: r for r in packing.sequences(pieces).collect()}

@@ -89,7 +89,7 @@ def test_query_against_its_sql(spark, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, answer.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op13_spelling_variants"}))
 def test_query_gives_a_row_per_input_row(spark, name):
     kind = {"op1": ("pages", "page_id"), "op7": ("embeddings", "query_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     n = spark.read.parquet(f"{SF}/{kind[0]}.parquet").count()

@@ -102,3 +102,23 @@ def test_verified_edits_and_distances():
     pairs = {(int(a), int(b)) for i, j in spelling.near_pairs(chars, longer, 0) for a, b in zip(i, j, strict=True)}
     assert pairs == {(0, 0), (0, 1), (2, 2), (2, 0)} - {(2, 0)} | ({(2, 0)} if one_edit("abcdefh", "abcdefgh") else set())
     assert (spelling.letter_counts(chars, np.arange(256)).sum(axis=1) == 7).all()
+
+
+def test_query_against_all_pairs(spark):
+    from feedloom.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    words = counted(docs)
+    got = sorted(tuple(r) for r in queries.QUERIES["op13_spelling_variants"](spark, sf).collect())
+    assert {(r[0], r[3]) for r in got} == set(words.items())
+    # All near words of a word by its own edits, instead of every pair.
+    letters = sorted({c for w in words for c in w})
+    for w, form, root, n, near, form_n in got:
+        edits = {w[:i] + w[i + 1 :] for i in range(len(w))} | {w[:i] + c + w[i:] for i in range(len(w) + 1) for c in letters}
+        edits |= {w[:i] + c + w[i + 1 :] for i in range(len(w)) for c in letters}
+        mine = (edits - {w}) & words.keys()
+        best = min(mine, key=lambda v: (-words[v], v), default=None)
+        taken = best if best and words[best] >= 10 * n else None
+        assert (near, form, form_n) == (len(mine), taken, words.get(taken))
+        assert (root == w) == (form is None)

@@ -26,3 +26,26 @@ def test_counts_are_those_of_the_whole_text(documents, chunk, overlap):
 
 def test_empty_table(documents):
     assert token_counts.count_tokens(documents([])).count() == 0
+
+
+def test_both_encoders_of_the_vocabulary_agree():
+    import random
+
+    from feedloom.llm.tokenizing import ranked
+
+    rng = random.Random(8)
+    stock = [" ", "  ", "\n", "\t", "a", "the", "ing", "'s", "1", "23", "é", "ñ", "日", "😀", "...", "\u00a0", "\u3000", "\x1c", "\x85", "\u0301", "Ω", "_", "'"]
+    stock += [chr(c) for c in range(33, 0x2500, 7)]
+    fast, slow = ranked(FILE, token_counts.pattern()), tokenizer(FILE)
+    for _ in range(20_000):
+        text = "".join(rng.choices(stock, k=rng.randint(1, 15)))
+        assert fast.encode_ordinary(text) == slow.encode(text, add_special_tokens=False).ids, text
+
+
+def test_places_of_tokens():
+    text = "né 日本 x  y<z 😀a"
+    at, n = token_counts.encoded(text, FILE)
+    assert n == whole(text) == len(at)
+    # The other encoder, which a special string asks for, gives the same places.
+    want, special = token_counts.encoded(text + " <|x", FILE)
+    assert special == whole(text + " <|x") and want[:n].tolist() == at.tolist()

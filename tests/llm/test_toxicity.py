@@ -119,3 +119,57 @@ def test_map_of_ids_has_the_bits_of_the_ids_alone(spark):
     bits = toxicity.id_bits(ids)
     place = [r[0] for r in ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(toxicity.BITS))).collect()]
     assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == set(place)
+
+
+def test_long_texts_alone_are_learned(spark, documents):
+    toxic, fine = "you are a vile worm and i loathe you ", "we went to the lake and had a swim "
+    rows = [(i, (toxic if i % 2 else fine) + "filling words of a very long text " * 1200) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.learn(documents(rows), labels)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(documents(rows), model).collect()}
+    assert got == {i: i % 2 for i in range(60)}
+    # A budget below a single text still learns from one of each.
+    assert toxicity.learn(documents(rows), labels, most_bytes=10) is not None
+
+
+def test_gradients_are_those_of_differences():
+    """One step of training against numerical derivatives of its loss."""
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(1, 30, rng.integers(1, 9)).astype(np.int32) for _ in range(6)]
+    y = np.array([0, 1, 0, 1, 1, 0])
+    buckets = rng.integers(1, 200, (30, toxicity.SLOTS)).astype(np.int32)
+
+    def fresh():
+        model = toxicity.initial(texts, buckets, y)
+        r = np.random.default_rng(2)
+        model.embedding = r.normal(0, 1, model.embedding.shape)
+        model.filters = [r.normal(0, 1, f.shape) for f in model.filters]
+        model.out = r.normal(0, 1, model.out.shape)
+        model.bias = 0.3
+        return model
+
+    def loss(model):
+        line, begins, ends = toxicity.laid_out(texts)
+        x = model.embedding[buckets[line]].sum(axis=1)
+        total = 0.0
+        for d, (s, e) in enumerate(zip(begins, ends, strict=True)):
+            hidden = []
+            for f in model.filters:
+                z = [sum(x[min(p + k, len(line) - 1)] @ f[k] for k in range(len(f))) for p in range(s, min(e, len(line) - len(f) + 1))]
+                hidden.append(np.maximum(np.max(z, axis=0), 0))
+            logit = np.concatenate(hidden) @ model.out + model.bias
+            total += np.log1p(np.exp(-logit if y[d] else logit)) / len(texts)
+        return total
+
+    rate, moved = 1e-3, fresh()
+    toxicity.train(moved, texts, buckets, y, epochs=1, batch=len(texts), rate=rate)
+    start, eps = fresh(), 1e-6
+    for name, index in [("out", (3,)), ("out", (17,)), ("filters", (0, 0, 2, 1)), ("filters", (1, 1, 4, 5)), ("filters", (2, 2, 0, 7))]:
+        at = (lambda m: m.filters[index[0]]) if name == "filters" else (lambda m: m.out)
+        place = index[1:] if name == "filters" else index
+        up, down = fresh(), fresh()
+        at(up)[place] += eps
+        at(down)[place] -= eps
+        slope = (loss(up) - loss(down)) / (2 * eps)
+        step = at(start)[place] - at(moved)[place]
+        assert step == pytest.approx(rate * slope / np.sqrt(1e-2 + slope**2), abs=1e-8)
