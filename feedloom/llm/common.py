@@ -38,14 +38,19 @@ def tidy(run: Run) -> Run:
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
 
     return tidied
 
 
+def give_back() -> None:
+    """Memory that Arrow and the C library hold without need goes to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def whole_row(df: DataFrame, name: str = "row") -> Column:
     """All columns as one struct, whatever their names."""
     return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias(name)

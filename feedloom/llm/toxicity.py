@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import small_batches, tidy, whole_row
+from feedloom.llm.common import give_back, small_batches, tidy, whole_row
 from feedloom.llm.langid import remainder
 from feedloom.llm.tokenizing import slices
 
@@ -204,16 +204,7 @@ def train(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y: np
             if not rows:
                 continue
             line, begins, ends = laid_out([texts[i] for i in rows])
-            near = buckets[line]
-            x = model.embedding[near].sum(axis=1)
-            best = np.zeros((len(rows), len(SPANS), FILTERS), dtype=np.int64)
-            pooled = np.zeros((len(rows), len(SPANS), FILTERS))
-            for i, f in enumerate(model.filters):
-                n = len(line) - len(f) + 1
-                z = sum(x[k : n + k] @ f[k] for k in range(len(f)))
-                for d, (s, e) in enumerate(zip(begins, ends, strict=True)):
-                    top = z[s : min(e, n)].argmax(axis=0)
-                    best[d, i], pooled[d, i] = s + top, z[s + top, np.arange(FILTERS)]
+            best, pooled = largest(model, line, begins, ends, buckets)
             hidden = np.maximum(pooled, 0).reshape(len(rows), -1)
             p = 1 / (1 + np.exp(-np.clip(hidden @ model.out + model.bias, -30, 30)))
             slope = (p - y[rows]) / len(rows)
@@ -223,9 +214,10 @@ def train(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y: np
             for i, f in enumerate(model.filters):
                 for k in range(len(f)):
                     where = np.minimum(best[:, i] + k, len(line) - 1)
-                    grads[i][k] = np.einsum("df,dfw->wf", back[:, i], x[where])
+                    near = buckets[line[where]]
+                    grads[i][k] = np.einsum("df,dfw->wf", back[:, i], model.embedding[near].sum(axis=2))
                     gx = back[:, i, :, None] * f[k].T
-                    touched.append(near[where].reshape(-1, SLOTS))
+                    touched.append(near.reshape(-1, SLOTS))
                     amounts.append(gx.reshape(-1, WIDTH))
             for q, g, h in zip(params, [*grads, hidden.T @ slope], past, strict=True):
                 h += g**2
@@ -240,6 +232,26 @@ def train(model: Classifier, texts: list[np.ndarray], buckets: np.ndarray, y: np
             model.embedding[ids] -= rate * g / np.sqrt(past_e[ids])[:, None]
 
 
+def largest(model: Classifier, line: np.ndarray, begins: np.ndarray, ends: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and size of the largest response of every filter in every text, some words at a time."""
+    best = np.zeros((len(begins), len(SPANS), FILTERS), dtype=np.int64)
+    pooled = np.full((len(begins), len(SPANS), FILTERS), -np.inf)
+    for at in range(0, len(line), RUN):
+        x = model.embedding[buckets[line[at : at + RUN + max(SPANS) - 1]]].sum(axis=1)
+        for i, f in enumerate(model.filters):
+            n = min(RUN, len(x) - len(f) + 1)
+            if n <= 0:
+                continue
+            z = sum(x[k : n + k] @ f[k] for k in range(len(f)))
+            for d in np.flatnonzero((begins < at + n) & (ends > at)):
+                s, e = max(begins[d] - at, 0), min(ends[d] - at, n)
+                top = z[s:e].argmax(axis=0)
+                value = z[s + top, np.arange(FILTERS)]
+                more = value > pooled[d, i]
+                best[d, i, more], pooled[d, i, more] = (at + s + top)[more], value[more]
+    return best, pooled
+
+
 def best_threshold(logit: np.ndarray, y: np.ndarray) -> float:
     """The output that separates the labels best by F1, in the middle of the widest such gap."""
     v, where = np.unique(logit, return_inverse=True)
@@ -352,7 +364,7 @@ def calibrate(model: Classifier, counts: np.ndarray, overall: float, fewest: int
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, most_each: int = 2000, most_bytes: int = 32 << 20,
+    docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, most_each: int = 2000, most_bytes: int = 16 << 20,
 ) -> Classifier | None:
     """Classifier from the labelled rows that are not held out."""
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -385,6 +397,7 @@ def learn(
     apart = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in ids])
     buckets = words.buckets()
     del sample, words
+    give_back()
     if not (0 < y[~apart].sum() < (~apart).sum()):
         apart[:] = False
     inside = np.flatnonzero(~apart)
@@ -394,7 +407,10 @@ def learn(
     learn_languages(model, numbers, buckets, langs)
     used = docs.sparkSession.createDataFrame([(i,) for i in sorted({ids[j] for j in inside})], "doc_id long")
     rest = texts.where(remainder(F.col("doc_id"), parts) != held).join(F.broadcast(used), "doc_id", "left_anti")
-    calibrate(model, counted_outputs(rest, one, model), best_threshold(outputs(model, numbers, buckets), y))
+    overall = best_threshold(outputs(model, numbers, buckets), y)
+    del numbers, buckets
+    give_back()
+    calibrate(model, counted_outputs(rest, one, model), overall)
     return model
 
 
