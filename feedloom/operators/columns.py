@@ -35,10 +35,14 @@ def missing_column_errors(
     files: DataFrame, missing: Sequence[str], table: str, lenient: bool = False
 ) -> DataFrame:
     """One row per file and missing column; ``files`` has a column ``file_name``."""
-    kind = "INFO_MISSING_COLUMN" if lenient else "MISSING_COLUMN"
     column = F.explode(F.array(*[F.lit(m) for m in missing]).cast("array<string>"))
-    rows = files.select(F.lit(table).alias("table_name"), F.col("file_name").alias("filename"),
-                        column.alias("column_name"))
+    return gap_errors(files.select("file_name", column.alias("column_name")), table, lenient)
+
+
+def gap_errors(gaps: DataFrame, table: str, lenient: bool = False) -> DataFrame:
+    """One row per row of ``gaps`` (``file_name``, ``column_name``): columns a file does not have."""
+    kind = "INFO_MISSING_COLUMN" if lenient else "MISSING_COLUMN"
+    rows = gaps.select(F.lit(table).alias("table_name"), F.col("file_name").alias("filename"), "column_name")
     message = (
         F.concat(F.lit("Column '"), F.col("column_name"),
                  F.lit("' not present in source CSV, added with NULL"))

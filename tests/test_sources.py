@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.operators.quality import number_lines
-from feedloom.sources import archive, delimited, fixed_width, listing
+from feedloom.sources import archive, delimited, fixed_width, headers, listing
 from feedloom.specs import NAMES, SKIP_POSITIONAL, FeedSpec, FieldSpec
 
 AB = (FieldSpec("a"), FieldSpec("b"))
@@ -43,6 +43,39 @@ def test_file_with_other_header_is_refused(spark, tmp_path):
         delimited.scan(spark, path, FeedSpec("x", header=NAMES, imposed=False)).collect()
 
 
+def test_a_header_per_file(spark, tmp_path, rows):
+    path = write(
+        tmp_path, a__csv="a,b\n1,x\n\n 2 , y \n3\n4,5,6\n", b__csv='b,"c,d",a,A\n"q, r",s,7,8\n', c__csv="a\n9\n", d__csv="a,b\na,b\n", e__csv="b,,a\n1,2,3\n",
+    )
+    spec = FeedSpec("x", AB, header=NAMES, imposed=False, input_format="csv_quote")
+    found = headers.scan(spark, path, spec)
+    got = rows(found.rows, "_file", "a", "b", "_corrupt_record")
+    assert got == sorted([
+        ("a.csv", "1", "x", None), ("a.csv", " 2 ", " y ", None), ("a.csv", "3", None, "3"), ("a.csv", "4", "5", "4,5,6"),
+        ("b.csv", "7", "q, r", None), ("c.csv", "9", None, None), ("d.csv", "a", "b", None), ("e.csv", "3", "1", None),
+    ], key=repr)
+    assert rows(found.gaps) == [("c.csv", "b")]
+    assert headers.names_of(spark, ['b,"c,d",a', "b,,a"], spec) == [["b", "c,d", "a"], ["b", "_c1", "a"]]
+    # With one header for all there is nothing to join, and the rows are those of the plain scan.
+    one = headers.scan(spark, f"{path}/a.csv", spec)
+    assert one.gaps is None and "Join" not in one.rows._jdf.queryExecution().optimizedPlan().toString()
+    plain = delimited.scan(spark, f"{path}/a.csv", spec)
+    assert rows(one.rows, "a", "b", "_corrupt_record", "_file") == rows(plain, "a", "b", "_corrupt_record", "_file")
+
+
+def test_a_header_per_file_with_another_charset(spark, tmp_path, rows):
+    (tmp_path / "x.csv").write_bytes("é;b\nü;1\n".encode("latin-1"))
+    (tmp_path / "y.csv").write_bytes("b;é\n2;ß\n".encode("latin-1"))
+    spec = FeedSpec("x", (FieldSpec("é"), FieldSpec("b")), header=NAMES, imposed=False, charset="ISO-8859-1", delimiter=";")
+    assert rows(headers.scan(spark, str(tmp_path), spec).rows, "é", "b") == [("ß", "2"), ("ü", "1")]
+    with pytest.raises(ValueError, match="different headers"):
+        headers.MOST_HEADERS, before = 1, headers.MOST_HEADERS
+        try:
+            headers.scan(spark, str(tmp_path), spec)
+        finally:
+            headers.MOST_HEADERS = before
+
+
 def test_duplicate_header_names_keep_the_first(spark, tmp_path, rows):
     path = write(tmp_path, x__csv="id,ID,v\n1,2,3\n")
     df = delimited.scan(spark, path, FeedSpec("x", header=NAMES, imposed=False))
