@@ -37,18 +37,21 @@ def cluster(spark: SparkSession, source: str, target: str, columns: Sequence[str
 
 def compact_current(store: TableStore, name: str, load_id: str) -> None:
     """Current table rewritten in files of even size, in force with one commit."""
-    rows = store.current(name)
+    commits = store.commits(name)
+    rows = store.current(name, commits)
     store.write_current(name, rows, load_id)
-    store.commit(name, load_id, store.history(name).schema, rows.schema)
+    store.commit(name, load_id, store.history(name, commits).schema, rows.schema, base=commits[-1]["seq"])
 
 
 def cluster_current(store: TableStore, name: str, load_id: str, columns: Sequence[str]) -> None:
     """Current table rewritten in the order of ``columns``, in force with one commit."""
-    rows = store.current(name)
+    commits = store.commits(name)
+    rows = store.current(name, commits)
     by = [p for p in DATE_PARTS if p in rows.columns and p not in columns]
-    ranged = rows.repartitionByRange(*by, *columns).sortWithinPartitions(*by, *columns)
+    rest = [c for c in rows.columns if c not in (*by, *columns) and not _complex(rows, c)]
+    ranged = rows.repartitionByRange(*by, *columns, *rest).sortWithinPartitions(*by, *columns)
     store.write_current(name, ranged, load_id, scattered=False)
-    store.commit(name, load_id, store.history(name).schema, rows.schema)
+    store.commit(name, load_id, store.history(name, commits).schema, rows.schema, base=commits[-1]["seq"])
 
 
 def _complex(df: DataFrame, column: str) -> bool:

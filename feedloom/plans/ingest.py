@@ -22,6 +22,7 @@ from feedloom.operators import gates
 from feedloom.operators.columns import (
     DATE_PARTS,
     align_to_string,
+    gap_errors,
     missing_column_errors,
     missing_columns,
     stamp,
@@ -31,8 +32,9 @@ from feedloom.operators.typing import ISSUES, field_at, type_rows
 from feedloom.plans.modes import next_state, rewrites
 from feedloom.session import Scratch, staged, together, tune
 from feedloom.sinks import logs
+from feedloom.sinks.commits import Conflict
 from feedloom.sinks.tables import ALL, DATES, TableStore, date_key
-from feedloom.sources import delimited, fixed_width
+from feedloom.sources import delimited, fixed_width, headers
 from feedloom.sources.delimited import BLOCK, CORRUPT, FILE, PATH, ROW
 from feedloom.sources.listing import (
     check_names,
@@ -45,6 +47,7 @@ from feedloom.sources.listing import (
 )
 from feedloom.specs import EACH, FIRST, FULL_SNAPSHOT, MERGE, PARTITION_REPLACE, FeedSpec
 
+CONFLICTS = 10  # times a load is merged again because others were committed first
 UNIT, STEM = "_unit", "_stem"
 ORDER = (PATH, BLOCK, ROW)
 
@@ -67,6 +70,17 @@ def read_feed(
     return reader.scan(spark, path, spec, accept)
 
 
+def read_deliveries(
+    spark: SparkSession, path: str, spec: FeedSpec, accept: Column, keep: Callable[[DataFrame, str], DataFrame]
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the deliveries and, where each brings its own header, the columns each lacks (``file_name,
+    column_name``), ``None`` if none does."""
+    if spec.fields and headers.applies(spec):
+        found = headers.scan(spark, path, spec, accept, keep)
+        return found.rows, found.gaps
+    return read_feed(spark, path, spec, accept), None
+
+
 def stage(
     rows: DataFrame, spec: FeedSpec, keep: Callable[[DataFrame, str], DataFrame] = staged
 ) -> DataFrame:
@@ -86,12 +100,14 @@ def judge(
     files: DataFrame,
     missing: list[str] = (),
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
+    gaps: DataFrame | None = None,
 ) -> Load:
     """Gates, policies and quality checks over staged rows.
 
     ``typed`` comes from :func:`stage`; ``files`` lists what was to be loaded (``file_name``).
     ``keep`` may write the small per-file results once; the rows are then only scanned and filtered
-    against tables of known size, which Spark broadcasts while they are small.
+    against tables of known size, which Spark broadcasts while they are small. Columns that are allowed
+    to be missing come as ``missing``, if no file has them, or as ``gaps`` per file.
     """
     corrupt = gates.corrupt_counts(typed, FILE, CORRUPT)
     corrupt = keep(corrupt.withColumn("_gate", gates.too_corrupt(corrupt, spec.tolerance)), "corrupt")
@@ -121,6 +137,10 @@ def judge(
         # Under the name the log has: that of the unit, not of each merged file.
         named = unit_names.select(F.col(UNIT).alias("file_name"))
         frames.append(missing_column_errors(named, list(missing), spec.table, lenient=True))
+    if gaps is not None:
+        of_unit = gaps.join(good_files.select(F.col(FILE).alias("file_name"), UNIT), "file_name")
+        named = of_unit.select(F.col(UNIT).alias("file_name"), "column_name").distinct()
+        frames.append(gap_errors(named, spec.table, lenient=True))
     return Load(
         spec=spec,
         accepted=accepted,
@@ -219,8 +239,12 @@ def write_load(
     if spec.mode == FULL_SNAPSHOT and spec.file_policy == EACH:
         # Files loaded one after the other: the last snapshot is what remains.
         rows = rows.where(F.col(FILE) == rows.agg(F.max(FILE)).scalar())
-    last = store.current(spec.table)
+    commits = store.commits(spec.table)
+    last = store.current(spec.table, commits)
     dates = touched_dates(last, rows, spec)
+    # Snapshots and whole dates stand for themselves; what was merged holds for the table it was merged with.
+    alone = spec.mode == FULL_SNAPSHOT or (spec.mode == PARTITION_REPLACE and dates is not None)
+    base = None if alone else (commits[-1]["seq"] if commits else 0)
     if dates is not None:
         # Of the other dates no row can change.
         replaced = spec.mode != PARTITION_REPLACE and bool(dates)
@@ -234,7 +258,17 @@ def write_load(
         lambda: store.write_current(spec.table, state, load_id, scattered=spec.mode != FULL_SNAPSHOT),
     )
     replaces = ALL if dates is None else DATES
-    return lambda: store.commit(spec.table, load_id, history.schema, state.schema, replaces, dates or ())
+    return lambda: store.commit(spec.table, load_id, history.schema, state.schema, replaces, dates or (), base=base)
+
+
+def put_in_force(commit: Callable[[], None], write: Callable[[], Callable[[], None]]) -> None:
+    """Commits a load; where another one came first, its folders are written again from the new table."""
+    for _ in range(CONFLICTS):
+        try:
+            return commit()
+        except Conflict:
+            commit = write()
+    commit()
 
 
 def touched_dates(last: DataFrame | None, batch: DataFrame, spec: FeedSpec) -> list[int] | None:
@@ -258,7 +292,8 @@ def apply_load(
 ) -> None:
     """History and current table. Loading the same ``load_id`` again changes nothing."""
     if not store.is_loaded(load.spec.table, load_id):
-        write_load(load, store, load_id, processed, today)()
+        write = lambda: write_load(load, store, load_id, processed, today)
+        put_in_force(write(), write)
 
 
 def refused_names(spec: FeedSpec, files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -295,14 +330,15 @@ def ingest_rows(
         load = judge(spec, typed, files, keep=lambda df, label: scratch.staged(df, f"{label}-{spec.table}"))
         ready: dict = {}
 
-        def write_tables() -> None:
+        def write_tables() -> Callable[[], None]:
             ready["commit"] = write_load(load, store, load_id, keep=scratch.staged)
+            return ready["commit"]
 
         def stage_errors() -> None:
             ready["errors"] = scratch.staged(load.errors, f"errors-{spec.table}")
 
         together(write_tables, stage_errors)
-        ready["commit"]()
+        put_in_force(ready["commit"], write_tables)
         _log(spec, ready["errors"], with_error_counts(load.runs, ready["errors"]), log_root, env, started, load_id)
     finally:
         scratch.remove()
@@ -368,18 +404,36 @@ def _ingest(
         ))
         return
     try:
-        raw = read_feed(spark, path, spec, name_filter(spec, chosen))
-        missing = missing_columns(raw, spec.columns)
+        raw, gaps = read_deliveries(spark, path, spec, name_filter(spec, chosen), scratch.staged)
+        if gaps is not None and not spec.delete_columns_allowed:
+            # Files that lack columns are refused, each for its own; the others are loaded.
+            short = scratch.staged(gaps.join(chosen, "file_name", "left_semi"), f"gaps-{spec.table}")
+            refused = short.select("file_name").distinct()
+            named_badly = E.union_errors([named_badly, gap_errors(short, spec.table)])
+            failed = failed.unionByName(refused.select(
+                *describe(spec), F.col("file_name").alias("filename"), F.lit(0).cast("long").alias("row_count"),
+                F.lit(0).cast("long").alias("error_count"), F.lit("Missing columns").alias("error_message"),
+                F.lit(logs.FAILED).alias("status"),
+            ))
+            chosen = chosen.join(refused, "file_name", "left_anti")
+            if chosen.isEmpty():
+                log(named_badly, failed.limit(0))
+                return
+        missing = missing_columns(raw, spec.columns) if gaps is None else []
         if missing and not spec.delete_columns_allowed:
             all_failed("Missing columns", E.union_errors([named_badly, missing_column_errors(chosen, missing, spec.table)]))
             return
         wanted = raw.join(chosen.withColumnRenamed("file_name", FILE), FILE, "left_semi")
         typed = stage(wanted, spec, scratch.staged)
-        load = judge(spec, typed, chosen, missing, keep=lambda df, label: scratch.staged(df, f"{label}-{spec.table}"))
+        load = judge(
+            spec, typed, chosen, missing, lambda df, label: scratch.staged(df, f"{label}-{spec.table}"),
+            gaps if spec.delete_columns_allowed else None,
+        )
         ready: dict = {}
 
-        def write_tables() -> None:
+        def write_tables() -> Callable[[], None]:
             ready["commit"] = write_load(load, store, load_id, today=today, keep=scratch.staged)
+            return ready["commit"]
 
         def stage_errors() -> None:
             ready["errors"] = scratch.staged(load.errors.unionByName(named_badly), f"errors-{spec.table}")
@@ -392,7 +446,7 @@ def _ingest(
         # Independent writes over the same staged rows: together they keep the executors busy while
         # one of them waits for its last tasks. None of them changes a table yet.
         together(write_tables, stage_errors, write_rejects)
-        ready["commit"]()
+        put_in_force(ready["commit"], write_tables)
     except Exception as problem:
         all_failed(f"Ingestion error: {reason(problem)}", named_badly)
         raise LoadFailed(reason(problem)) from problem

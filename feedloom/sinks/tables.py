@@ -15,19 +15,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.operators.columns import DATE_PARTS, dedup_columns, metadata_first
 from feedloom.session import path_exists
+from feedloom.sinks.commits import CommitLog
 
 # How much of the current table a load replaces.
 ALL, NONE, DATES = "all", "none", "dates"
-COMMITS = (
-    "at long, load_id string, replaces string, dates array<int>, in_history boolean, history string, current string"
-)
 ROWS_PER_FILE = 1_000_000  # Fixed value: rows a written file should not exceed.
 
 
@@ -75,44 +72,46 @@ class TableStore:
     def _folder(self, name: str, side: str) -> str:
         return f"{self.root}/{name}_{side}"
 
-    def commits(self, name: str) -> list[Row]:
+    def _log(self, name: str) -> CommitLog:
+        return CommitLog(self.spark, self._folder(name, "commits"))
+
+    def commits(self, name: str) -> list[dict]:
         """Loads in force, in their order: one row per load of this table."""
-        try:
-            rows = self.spark.read.schema(COMMITS).json(self._folder(name, "commits")).collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        return sorted(rows, key=lambda r: (r["at"], r["load_id"]))
+        return self._log(name).rows()
 
     def is_loaded(self, name: str, load_id: str) -> bool:
         return any(r["load_id"] == load_id for r in self.commits(name))
 
     def commit(
         self, name: str, load_id: str, history: T.StructType, current: T.StructType,
-        replaces: str = ALL, dates: Sequence[int] = (), in_history: bool = False,
+        replaces: str = ALL, dates: Sequence[int] = (), in_history: bool = False, base: int | None = None,
     ) -> None:
         """Puts a load in force. ``in_history``: its current rows are those it added to the history.
+        ``base``: the last commit of the table its rows were computed from; ``Conflict`` if others followed.
 
         The schemas of both tables are kept here, so that reading a table does not have to open the
         footers of its files.
         """
-        before = self.commits(name)
-        known = _schemas(before[-1]) if before else (None, None)
-        kept = None if replaces == ALL else known[1]
-        schemas = [merged_schema(known[0], history).json(), merged_schema(kept, current).json()]
-        row = (time.time_ns(), load_id, replaces, list(dates), in_history, *schemas)
-        frame = self.spark.createDataFrame([row], COMMITS).coalesce(1)
-        frame.write.mode("overwrite").json(f"{self._folder(name, 'commits')}/load={load_id}")
-
-    def history(self, name: str) -> DataFrame | None:
-        commits = self.commits(name)
+
+        def row(before: list[dict]) -> dict:
+            known = _schemas(before[-1]) if before else (None, None)
+            kept = None if replaces == ALL else known[1]
+            return {
+                "at": time.time_ns(), "replaces": replaces, "dates": list(dates), "in_history": in_history,
+                "history": merged_schema(known[0], history).json(), "current": merged_schema(kept, current).json(),
+            }
+
+        self._log(name).append(row, load_id, base)
+
+    def history(self, name: str, commits: list[dict] | None = None) -> DataFrame | None:
+        commits = self.commits(name) if commits is None else commits
         if not commits:
             return None
         return self._read(name, "all", _schemas(commits[-1])[0], {frozenset(): [r["load_id"] for r in commits]})
 
-    def current(self, name: str) -> DataFrame | None:
-        commits = self.commits(name)
+    def current(self, name: str, commits: list[dict] | None = None) -> DataFrame | None:
+        """Rows in force, as of ``commits`` where these were read before."""
+        commits = self.commits(name) if commits is None else commits
         if not commits:
             return None
         schema = _schemas(commits[-1])[1]
@@ -156,15 +155,15 @@ class TableStore:
 
     def tables(self, *suffixes: str) -> dict[str, DataFrame]:
         """Tables of the store by name, for inventories (``_all``, ``_last``)."""
-        folder = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        paths = folder.option("pathGlobFilter", "part-*.json").load(self.root).select("path")
-        feed = F.regexp_extract("path", r"/([^/]+)_commits/load=[^/]*/part-[^/]*$", 1)
-        names = [r["feed"] for r in paths.select(feed.alias("feed")).where("feed <> ''").distinct().collect()]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
+        names = [n.removesuffix("_commits") for n in found if n.endswith("_commits")]
         sides = {"_all": self.history, "_last": self.current}
         return {f"{n}{s}": sides[s](n) for n in sorted(names) for s in (suffixes or tuple(sides))}
 
 
-def in_force(commits: list[Row]) -> dict[str, dict[frozenset, list[str]]]:
+def in_force(commits: list[dict]) -> dict[str, dict[frozenset, list[str]]]:
     """Per folder (``all``, ``last``) the loads that make up the current table, grouped by the dates
     of theirs that later loads replaced."""
     gone: dict[str, set[int]] = {}
@@ -182,7 +181,7 @@ def in_force(commits: list[Row]) -> dict[str, dict[frozenset, list[str]]]:
     return out
 
 
-def _schemas(commit: Row) -> tuple[T.StructType, T.StructType]:
+def _schemas(commit: dict) -> tuple[T.StructType, T.StructType]:
     return tuple(T.StructType.fromJson(json.loads(commit[side])) for side in ("history", "current"))
 
 

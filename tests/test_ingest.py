@@ -121,6 +121,33 @@ def test_missing_columns(place, rows):
     assert ("since", "INFO_MISSING_COLUMN") in rows(place.errors(), "column_name", "error_kind")
 
 
+def test_headers_of_files_may_differ(place, rows):
+    spec = SITE.with_(header=NAMES, imposed=False)
+    place.put(
+        site_20250902_120001="id,name,qty,since\n1,a,2,02/09/2025\n", site_20250903_120001="since,extra,qty,id,name\n03/09/2025,e,5,2,b\n",
+        site_20250904_120001="qty,id\n7,3\n1\n", site_20250905_120001="id,name,qty\n4,d,9\n",
+    )
+    place.load(spec.with_(mode="DELTA_FROM_FLOW"), "strict")
+    assert rows(place.store.current("site"), "id", "name", "qty", "dd") == [(1, "a", 2, 2), (2, "b", 5, 3)]
+    runs = {r["filename"]: (r["status"], r["row_count"], r["error_message"]) for r in place.runs().collect()}
+    assert runs == {
+        "site_20250902_120001.csv": ("SUCCESS", 1, ""), "site_20250903_120001.csv": ("SUCCESS", 1, ""),
+        "site_20250904_120001.csv": ("FAILED", 0, "Missing columns"), "site_20250905_120001.csv": ("FAILED", 0, "Missing columns"),
+    }
+    missing = [("site_20250904_120001.csv", "name"), ("site_20250904_120001.csv", "since"), ("site_20250905_120001.csv", "since")]
+    assert rows(place.errors().where("error_message = 'MISSING_COLUMN'"), "filename", "column_name") == missing
+
+    lenient = spec.with_(mode=FULL_SNAPSHOT, delete_columns_allowed=True, file_policy=MERGE, tolerance=Tolerance(0.5, True))
+    place.load(lenient, "lenient")
+    want = [(1, "a", 2), (2, "b", 5), (3, None, 7), (4, "d", 9)]
+    assert rows(place.store.current("site").where("id IS NOT NULL"), "id", "name", "qty") == want
+    told = place.errors().where("error_kind = 'INFO_MISSING_COLUMN'")
+    assert rows(told, "filename", "column_name") == [("merged_4_files", "name"), ("merged_4_files", "since")]
+    place.load(lenient.with_(file_policy=EACH, mode="DELTA_FROM_FLOW"), "each")
+    each = place.errors().where("error_kind = 'INFO_MISSING_COLUMN' AND filename LIKE 'site%'")
+    assert rows(each, "filename", "column_name") == missing
+
+
 @pytest.mark.parametrize("name,message", [("nothing_20250902", "No file matching"), ("site_20251302", "All files rejected")])
 def test_nothing_to_load(place, rows, name, message):
     place.put(**{name: lines(1)})
@@ -254,6 +281,44 @@ def test_two_loads_at_once_write_apart(place, rows):
     assert place.store.current("site").count() == place.store.history("site").count() == 8
 
 
+def test_two_merges_at_once_lose_no_rows(place, rows):
+    from feedloom.session import together
+
+    spec = SITE.with_(mode=DELTA_FROM_NON_HISTORIZED)
+    place.put("a", site_20250902_120001=lines(6))
+    place.load(spec, "zero", "a")
+    place.put("b", site_20250903_120001=lines(3, 0, "03/09/2025", "b") + lines(2, 50))
+    place.put("c", site_20250904_120001=lines(3, 3, "04/09/2025", "c") + lines(2, 70))
+    together(lambda: place.load(spec, "one", "b"), lambda: place.load(spec, "two", "c"))
+    last = place.store.current("site")
+    want = [*[(i, "b") for i in range(3)], *[(i, "c") for i in range(3, 6)], (50, "n"), (51, "n"), (70, "n"), (71, "n")]
+    assert rows(last, "id", "name") == want
+    assert [c["load_id"] for c in place.store.commits("site")][0] == "zero" and place.store.history("site").count() == 16
+
+
+def test_a_merge_computed_from_an_older_table_is_done_again(place, rows, monkeypatch):
+    from feedloom.plans import ingest as plan
+
+    spec = SITE.with_(mode=DELTA_FROM_NON_HISTORIZED)
+    place.put("a", site_20250902_120001=lines(4))
+    place.load(spec, "zero", "a")
+    place.put("b", site_20250903_120001=lines(2, 0, "03/09/2025", "b"))
+    place.put("c", site_20250904_120001=lines(2, 2, "04/09/2025", "c"))
+    write, other = plan.write_load, []
+
+    def overtaken(load, store, load_id, *args, **options):
+        ready = write(load, store, load_id, *args, **options)
+        if load_id == "slow" and not other:
+            other.append(1)
+            place.load(spec, "fast", "c")
+        return ready
+
+    monkeypatch.setattr(plan, "write_load", overtaken)
+    place.load(spec, "slow", "b")
+    assert [c["load_id"] for c in place.store.commits("site")] == ["zero", "fast", "slow"]
+    assert rows(place.store.current("site"), "id", "name") == [(0, "b"), (1, "b"), (2, "c"), (3, "c")]
+
+
 def test_every_error_is_logged_by_default(place, rows):
     fields = (FIELDS[0], FIELDS[1], FieldSpec("qty", "INT", nullable=False, on_error="REJECT"), FIELDS[3])
     place.put(site_20250902_120001=lines(3) + "".join(f"{i},n,bad,02/09/2025\n" for i in range(100, 2600)))

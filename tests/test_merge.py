@@ -105,3 +105,40 @@ def test_dates_of_later_loads_replace_those_of_earlier_ones(spark, tmp_path, row
     assert rows(store.current("t"), "k") == [(20,), (3,), (41,)]
     plan = store.current("t").where("dd = 3")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" not in plan
+
+
+def test_thousands_of_commits_are_read_in_few_files(spark, tmp_path, monkeypatch):
+    from feedloom.sinks import commits
+
+    log = commits.CommitLog(spark, str(tmp_path / "t_commits"))
+    assert log.rows() == []
+    for i in range(40):
+        log.append(lambda before: {"at": len(before), "history": "h", "current": "c"}, f"load-{i}")
+        if i == 20:
+            log.append(lambda before: {"at": -1}, "load-7")
+    found = log.rows()
+    assert [r["load_id"] for r in found] == [f"load-{i}" for i in range(40)] == [f"load-{r['at']}" for r in found]
+    assert [r["seq"] for r in found] == list(range(1, 41)) and found[-1]["history"] == "h" and "history" not in found[0]
+    assert len(list((tmp_path / "t_commits").glob("0*"))) == 9
+    # Ten thousand loads are one file and what followed it.
+    log._sum_up([{"seq": i + 1, "load_id": f"old-{i}", "history": "h"} for i in range(10_000)])
+    log.append(lambda before: {"at": len(before)}, "next")
+    opened, read = [], commits.CommitLog._read
+    monkeypatch.setattr(commits.CommitLog, "_read", lambda self, *name: opened.append(name) or read(self, *name))
+    assert len(log.rows()) == 10_001 and opened == [(10_000, "summary"), (10_001, "json")]
+
+
+def test_a_commit_is_refused_after_others(spark, tmp_path):
+    from feedloom.sinks.commits import Conflict
+
+    store, day = TableStore(spark, str(tmp_path)), F.lit(1)
+    frame = spark.range(3).withColumns({"yyyy": day, "mm": day, "dd": day})
+    store.replace_current("t", frame, "a")
+    store.write_current("t", frame, "b")
+    store.write_current("t", frame, "c")
+    store.commit("t", "b", frame.schema, frame.schema, base=1)
+    with pytest.raises(Conflict, match="from commit 1, the table is at 2"):
+        store.commit("t", "c", frame.schema, frame.schema, base=1)
+    store.commit("t", "b", frame.schema, frame.schema, base=1)
+    assert [c["load_id"] for c in store.commits("t")] == ["a", "b"]
+    assert list(store.tables("_last")) == ["t_last"]
