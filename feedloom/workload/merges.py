@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.operators import merge
 from feedloom.operators.columns import stamp
 from feedloom.plans import modes
+from feedloom.plans.ingest import ingest
 from feedloom.session import fresh_dir
 from feedloom.sinks.tables import TableStore
 from feedloom import specs
@@ -139,16 +140,16 @@ def mode_partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ingest_all_history",
     duck(
-        "SELECT 'all' AS side, c_custkey AS k, c_acctbal AS balance, 'customer_' || b AS FILE_NAME_RECEIVED FROM {customer}, (SELECT 1 AS b UNION ALL SELECT 2) x WHERE c_custkey % 2 = 0 OR b = 2 "
-        "UNION ALL SELECT 'last', c_custkey, c_acctbal, 'customer_2' FROM {customer}"
+        "SELECT 'all' AS side, c.*, 'customer_' || b AS FILE_NAME_RECEIVED FROM {customer} c, (SELECT 1 AS b UNION ALL SELECT 2) x WHERE c_custkey % 2 = 0 OR b = 2 "
+        "UNION ALL SELECT 'last', c.*, 'customer_2' FROM {customer} c"
     ),
 )
 def ingest_all_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots through the tables: the history keeps both, the current table the second. The
     second load is sent twice, as after a retry."""
     store = TableStore(spark, fresh_dir(spark, "tables"))
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("balance"))
-    for load, rows in ((1, customers.where("k % 2 = 0")), (2, customers), (2, customers)):
+    customers = table(spark, sf_dir, "customer")
+    for load, rows in ((1, customers.where("c_custkey % 2 = 0")), (2, customers), (2, customers)):
         load_id = f"load-{load}"
         if store.is_loaded("customer", load_id):
             continue
@@ -159,18 +160,36 @@ def ingest_all_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         state = modes.next_state(store.current("customer"), batch, specs.FULL_SNAPSHOT)
         store.replace_current("customer", state, load_id)
     sides = [
-        df.select(F.lit(side).alias("side"), "k", "balance", "FILE_NAME_RECEIVED")
+        df.select(F.lit(side).alias("side"), *customers.columns, "FILE_NAME_RECEIVED")
         for side, df in (("all", store.history("customer")), ("last", store.current("customer")))
     ]
     return sides[0].unionByName(sides[1])
 
 
+_EVEN, _ODD = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), ("c_mktsegment", "c_acctbal", "c_custkey")
+_CUSTOMER = (
+    specs.FieldSpec("c_custkey", "LONG", nullable=False), specs.FieldSpec("c_name"), specs.FieldSpec("c_nationkey", "INT"),
+    specs.FieldSpec("c_acctbal", "DOUBLE"), specs.FieldSpec("c_mktsegment"),
+)
+
+
 @query(
     "merge_files",
-    duck("SELECT c_custkey AS k, c_name AS name, CAST(NULL AS DOUBLE) AS balance FROM {customer} WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, NULL, c_acctbal FROM {customer} WHERE c_custkey % 2 = 1"),
+    duck(
+        "SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment FROM {customer} WHERE c_custkey % 2 = 0 "
+        "UNION ALL SELECT c_custkey, NULL, NULL, c_acctbal, c_mktsegment FROM {customer} WHERE c_custkey % 2 = 1"
+    ),
 )
 def merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer")
-    first = rows.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
-    second = rows.where("c_custkey % 2 = 1").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("balance"))
-    return first.unionByName(second, allowMissingColumns=True)
+    """Two deliveries with other columns in another order, loaded as one."""
+    root, rows = fresh_dir(spark, "merge-files"), table(spark, sf_dir, "customer")
+    for part, (day, columns) in enumerate((("20250901", _EVEN), ("20250902", _ODD))):
+        own = rows.where(F.col("c_custkey") % 2 == part).select(*columns)
+        own.write.option("header", True).csv(f"{root}/in/customer_{day}.csv")
+    spec = specs.FeedSpec(
+        "customer", _CUSTOMER, "customer_<yyyy><mm><dd>.csv", mode=specs.FULL_SNAPSHOT, file_policy=specs.MERGE,
+        header=specs.NAMES, imposed=False, delete_columns_allowed=True,
+    )
+    store = TableStore(spark, f"{root}/tables")
+    ingest(spark, f"{root}/in", spec, store, f"{root}/logs", load_id="first")
+    return store.current("customer").select(*spec.columns)

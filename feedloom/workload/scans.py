@@ -389,14 +389,15 @@ def files_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- archives -----------------------------------------------------------------------------------
 _ARCHIVE_SCHEMA = T.StructType(
-    [T.StructField("custkey", T.StringType()), T.StructField("name", T.StringType()), T.StructField("nation", T.StringType())]
+    [T.StructField("custkey", T.StringType()), T.StructField("name", T.StringType()), T.StructField("nation", T.StringType()),
+     T.StructField("balance", T.StringType()), T.StructField("segment", T.StringType())]
 )
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers packed by Spark tasks into ZIP archives, one per batch of rows, and per task one
     archive cut off in the middle."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for number, frame in enumerate(batches):
@@ -418,13 +419,13 @@ def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     "zip_scan",
     duck(
         "SELECT 'customer' AS feed, 'customer_' || (c_custkey % 2) || '.csv' AS entry, CAST(c_custkey AS STRING) AS custkey, "
-        "c_name AS name, CAST(c_nationkey AS STRING) AS nation FROM {customer}"
+        "c_name AS name, CAST(c_nationkey AS STRING) AS nation, CAST(c_acctbal AS STRING) AS balance, c_mktsegment AS segment FROM {customer}"
     ),
 )
 def zip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = archive.expand(_packed(spark, sf_dir))
     parsed = archive.parse_lines(lines, _ARCHIVE_SCHEMA)
-    return parsed.select("feed", "entry", "custkey", "name", "nation")
+    return parsed.select("feed", "entry", "custkey", "name", "nation", "balance", "segment")
 
 
 @query(

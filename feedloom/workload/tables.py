@@ -14,7 +14,7 @@ from feedloom.streaming import files as stream
 from feedloom.workload import feeds
 from feedloom.workload.registry import duck, query, sql, table
 
-_LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+_LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 _LINE_SQL = ", ".join(_LINE)
 LINES = f"SELECT {_LINE_SQL}, CAST(year(l_shipdate) AS INT) AS yyyy, CAST(1 + l_linenumber % 12 AS INT) AS mm, CAST(1 AS INT) AS dd FROM {{lineitem}}"
 
@@ -57,7 +57,7 @@ def cluster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
-_STAT_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+_STAT_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
 
 @query(
@@ -83,7 +83,7 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "table_stats",
-    duck("SELECT 'lines' AS table_name, CAST(count(*) AS BIGINT) AS row_count, 13 AS column_count, TRUE AS has_bytes FROM {lineitem}"),
+    duck("SELECT 'lines' AS table_name, CAST(count(*) AS BIGINT) AS row_count, 14 AS column_count, TRUE AS has_bytes FROM {lineitem}"),
 )
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = maintenance.table_stats(spark, "lines", _stored(spark, sf_dir))
