@@ -123,6 +123,12 @@ def test_fixed_width(spark, tmp_path, rows):
     assert rows(fixed_width.scan(spark, path, spec), "l", "n") == [("ab", "123"), ("cd", "4")]
 
 
+def test_fixed_width_of_another_charset(spark, tmp_path, rows):
+    (tmp_path / "x.txt").write_bytes("éb123\nüd4\n".encode("latin-1"))
+    spec = FeedSpec("x", (FieldSpec("l", size=2), FieldSpec("n", size=3)), input_format="fixed", charset="ISO-8859-1")
+    assert rows(fixed_width.scan(spark, str(tmp_path), spec), "l", "n") == [("éb", "123"), ("üd", "4")]
+
+
 def test_empty_files(spark, tmp_path, rows):
     path = write(tmp_path, a__csv="1,2\n", b__csv="")
     assert rows(listing.empty_files(spark, path)) == [("b.csv",)]
