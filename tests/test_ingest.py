@@ -346,6 +346,9 @@ def test_a_load_leaves_no_folders_of_its_own(place):
 
     from feedloom.session import shared_dir
 
+    # Loads of other runs may share the folder.
+    there = lambda: set(Path(shared_dir(place.spark)).glob("load-site-*"))
+    before = there()
     place.put(site_20250902_120001=lines(2))
     place.load(SITE)
-    assert not list(Path(shared_dir(place.spark)).glob("load-site-*"))
+    assert there() <= before
