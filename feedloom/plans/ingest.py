@@ -318,11 +318,16 @@ def ingest_rows(
     rows: DataFrame, spec: FeedSpec, store: TableStore, log_root: str, load_id: str, env: str = "dev",
 ) -> None:
     """Load rows already read as text, with where they came from (``_file``, ``_path``, ``_block``,
-    ``_row``, ``_corrupt_record``), such as a micro-batch, through the same typing, gates and merge."""
+    ``_row``, ``_corrupt_record``), such as a micro-batch, through the same typing, gates and merge.
+
+    Loading the same ``load_id`` again changes nothing; what a load that was stopped after its commit
+    had not logged yet is logged then.
+    """
     started = time.time()
-    if store.is_loaded(spec.table, load_id):
-        return
     spark = rows.sparkSession
+    loaded = store.is_loaded(spec.table, load_id)
+    if loaded and logs.is_logged(spark, f"{log_root}/execution", load_id):
+        return
     scratch = Scratch(spark, f"load-{spec.table}")
     try:
         typed = stage(rows, spec, scratch.staged)
@@ -337,8 +342,11 @@ def ingest_rows(
         def stage_errors() -> None:
             ready["errors"] = scratch.staged(load.errors, f"errors-{spec.table}")
 
-        together(write_tables, stage_errors)
-        put_in_force(ready["commit"], write_tables)
+        if loaded:
+            stage_errors()
+        else:
+            together(write_tables, stage_errors)
+            put_in_force(ready["commit"], write_tables)
         _log(spec, ready["errors"], with_error_counts(load.runs, ready["errors"]), log_root, env, started, load_id)
     finally:
         scratch.remove()
@@ -524,7 +532,6 @@ def _log(
 ) -> None:
     quality = logs.quality_rows(errors, spec.table, spec.zone, env)
     timed = runs.withColumn("duration", F.lit(round(time.time() - started, 2)))
-    together(
-        lambda: logs.append_log(quality, f"{root}/quality", load_id),
-        lambda: logs.append_log(logs.execution_rows(timed, env), f"{root}/execution", load_id),
-    )
+    # The execution log tells that a load was logged, so it comes second.
+    logs.append_log(quality, f"{root}/quality", load_id)
+    logs.append_log(logs.execution_rows(timed, env), f"{root}/execution", load_id)

@@ -75,6 +75,12 @@ def append_log(rows: DataFrame, path: str, load_id: str | None = None) -> None:
     writer.partitionBy(*DATE_PARTS, LOAD).parquet(path)
 
 
+def is_logged(spark: SparkSession, path: str, load_id: str) -> bool:
+    """True where the log below ``path`` holds rows of the load. Looks at folder names alone."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/*/*/{LOAD}={load_id}")
+    return bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where))
+
+
 def read_log(spark: SparkSession, path: str, layout: str) -> DataFrame:
     schema = T._parse_datatype_string(layout)
     if not path_exists(spark, path):

@@ -11,6 +11,7 @@ from feedloom.session import fresh_dir
 from feedloom.sinks.tables import TableStore, read_table, write_partitioned
 from feedloom.specs import DELTA_FROM_NON_HISTORIZED, NAMES, FeedSpec, FieldSpec
 from feedloom.streaming import files as stream
+from feedloom.streaming.staging import Staging
 from feedloom.workload import feeds
 from feedloom.workload.registry import duck, query, sql, table
 
@@ -180,10 +181,12 @@ def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def staging_to_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch goes through the same typing, gates and merge as a batch load."""
-    store = TableStore(spark, fresh_dir(spark, "tables"))
-    source, logs = feeds.events_csv(spark, sf_dir), fresh_dir(spark, "logs")
-    stream.stream_into_tables(spark, source, EVENT_SPEC, store, logs, fresh_dir(spark, "checkpoint"))
+    """The stream fills a staging table, a load takes what is there and leaves it empty."""
+    store, staging = TableStore(spark, fresh_dir(spark, "tables")), Staging(spark, fresh_dir(spark, "staging"), EVENT_SPEC)
+    staging.fill(feeds.events_csv(spark, sf_dir), fresh_dir(spark, "checkpoint"))
+    staging.consume(store, fresh_dir(spark, "logs"))
+    if not staging.rows().isEmpty():
+        raise RuntimeError("rows are left in the staging table")
     sides = [
         df.select(
             F.lit(side).alias("side"), "FILE_NAME_RECEIVED", "event_id", "user_id", "event_type",
