@@ -1,7 +1,7 @@
 """Near-duplicate documents: MinHash bands propose, sequential Bayesian tests prune, full sets decide.
 
 A document's set holds its distinct shingles of ``shingle`` words (a shorter text is one shingle).
-Documents with equal sets form a class, represented by their smallest id; only representatives go on.
+Texts with equal sets form a class, numbered within a run; only classes go on, each with one of its texts.
 
 * Signatures of 128 minima are cut into 32 bands of 4. Two sets of similarity 0.8 agree in no band with
   probability below 5e-8.
@@ -16,7 +16,8 @@ Documents with equal sets form a class, represented by their smallest id; only r
 
 Defined results: null and empty texts have an empty set, are linked with nothing and kept; a row with
 a null id is never linked, its component is null and it is kept; rows that repeat an id count as one
-document; an empty table gives an empty result; other columns are ignored.
+document, whose different texts are linked with each other and bring their own links; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,8 +82,9 @@ def _sketch(size: int):
                 n.append(len(found))
                 key.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 sig.append(signature(found).tobytes() if len(found) else None)
-            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "key", "sig"])
+            made = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())]
+            arrays = [batch.column(0), batch.column(2), *made]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "same", "n_shingles", "key", "sig"])
 
     return run
 
@@ -165,14 +167,18 @@ def near_duplicates(
     """``doc_id, n_shingles, component_id, kept`` per row. Documents are linked if their sets share
     ``percent`` of their union; a component is named by its smallest id, and only that one is kept."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    whole = F.col(text).cast("binary")
+    # An id and the hash of its text name a row's text, also where the id stands for several texts.
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("same"))
     sketched = staged(
-        rows.mapInArrow(tidy(_sketch(shingle)), "doc_id long, n_shingles long, key binary, sig binary"), f"{label}-sketches"
+        rows.mapInArrow(tidy(_sketch(shingle)), "doc_id long, same long, n_shingles long, key binary, sig binary"),
+        f"{label}-sketches",
     )
     known = sketched.where("doc_id IS NOT NULL AND key IS NOT NULL")
-    classes = known.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("r"))
+    classes = known.groupBy("key").agg(F.min(F.struct("doc_id", "same", "n_shingles", "sig")).alias("r"))
     reps = staged(
-        classes.select("key", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), F.col("r.sig").alias("sig")),
+        classes.select("key", F.monotonically_increasing_id().alias("rep"), "r.doc_id", "r.same",
+                       F.col("r.n_shingles").alias("n"), "r.sig"),
         f"{label}-classes",
     )
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
@@ -184,10 +190,15 @@ def near_duplicates(
 
     near = staged(buckets.select("rep").distinct(), f"{label}-near")
     sigs = reps.join(near, "rep", "left_semi").select("rep", "sig")
-    texts = rows.join(near.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    shown = reps.join(near, "rep", "left_semi").select("rep", "doc_id", "same")
+    texts = rows.join(shown, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]).select("rep", "text")
     sets = staged(texts.mapInArrow(tidy(_sets(shingle)), "rep long, members binary"), f"{label}-sets")
 
-    names = near.withColumn("component", F.col("rep"))
+    repeated = _of_one_id(known, reps, label)
+    nodes = near if repeated is None else near.union(repeated.select("a")).union(repeated.select("b")).distinct()
+    names = nodes.withColumn("component", F.col("rep"))
+    if repeated is not None:
+        names = _renamed(names, repeated, label)
     for turn in range(ROUNDS):
         open_ = _open_buckets(buckets, names, f"{label}-open")
         pairs = _star_pairs(open_, turn, percent)
@@ -199,16 +210,31 @@ def near_duplicates(
     links = rest_links(open_, sigs, sets, percent, miss, label)
     names = _renamed(names, links, label)
 
-    class_names = reps.select("key", "rep").join(names, "rep", "left").select(
-        "key", F.coalesce("component", "rep").alias("component")
+    of_class = reps.select("key", "rep", "doc_id")
+    least = names.join(of_class, "rep").groupBy("component").agg(F.min("doc_id").alias("least"))
+    class_names = of_class.join(names.join(least, "component").select("rep", "least"), "rep", "left").select(
+        "key", F.coalesce("least", "doc_id").alias("component")
     )
-    found = sketched.drop("sig").join(class_names, "key", "left")
+    found = sketched.drop("sig", "same").join(class_names, "key", "left")
     component = F.coalesce("component", "doc_id")
     alone = F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     return found.select("doc_id", "n_shingles", alone, kept)
 
 
+def _of_one_id(known: DataFrame, reps: DataFrame, label: str) -> DataFrame | None:
+    """Classes that hold texts of one id, as links to one class of that id; None where no id has two."""
+    ends = known.groupBy("doc_id").agg(F.min("key").alias("x"), F.max("key").alias("y"))
+    several = staged(ends.where("x <> y").select("doc_id"), f"{label}-several")
+    if several.isEmpty():
+        return None
+    mine = known.join(several, "doc_id", "left_semi").select("doc_id", "key").distinct()
+    held = staged(mine.join(reps.select("key", "rep"), "key").select("doc_id", "rep"), f"{label}-held")
+    first = held.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    links = held.join(first, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    return staged(links, f"{label}-of-one-id")
+
+
 def _open_buckets(buckets: DataFrame, names: DataFrame, label: str) -> DataFrame:
     """Members of the buckets that hold more than one component, with their component."""
     named = buckets.join(names, "rep")

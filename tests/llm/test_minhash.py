@@ -77,6 +77,46 @@ def test_components_are_those_of_all_pairs(documents, monkeypatch, size, rounds)
             assert (r["n_shingles"], r["component_id"], r["kept"]) == (n, component, component == r["doc_id"])
 
 
+def brute_rows(rows, size):
+    """Components where every row is a node of its own and rows of one id are linked."""
+    by_row = brute([(k, t) for k, (_, t) in enumerate(rows)], size)
+    parent = {k: c for k, (_, c) in by_row.items()}
+    ids = {}
+    for k, (i, _) in enumerate(rows):
+        if by_row[k][0]:
+            ids.setdefault(i, []).append(k)
+    changed = True
+    while changed:
+        changed = False
+        for same in ids.values():
+            least = min(parent[k] for k in same)
+            for gone in {parent[k] for k in same} - {least}:
+                parent, changed = {k: least if c == gone else c for k, c in parent.items()}, True
+    smallest = {}
+    for k, (i, _) in enumerate(rows):
+        smallest[parent[k]] = min(smallest.get(parent[k], i), i)
+    return sorted((i, by_row[k][0], smallest[parent[k]] if by_row[k][0] else i) for k, (i, _) in enumerate(rows))
+
+
+def test_an_id_with_different_texts_links_them(documents):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, one), (5, two), (1, one + " x"), (2, "y " + one), (7, two + " x"), (8, "y " + two), (3, "alone"), (3, None), (4, "")]
+    rows += [(9, "p q r s t u"), (9, "v w x y z"), (9, "p q r s t u")]  # no text of this id has a near copy
+    got = minhash.near_duplicates(documents(rows), shingle=2).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_rows(rows, 2)
+    assert {r["component_id"] for r in got if r["doc_id"] in (1, 2, 5, 7, 8)} == {1}
+    assert {r["doc_id"] for r in got if r["kept"]} == {1, 3, 4, 9}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeated_ids_against_all_pairs(documents, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(120) if rng.random() < 0.3 else 1000 - i, t) for i, t in corpus(8, seed)]
+    rows += [(77, t) for _, t in corpus(4, seed + 10)[:40]]  # one id for many texts
+    got = minhash.near_duplicates(documents(rows), shingle=2).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_rows(rows, 2)
+
+
 def test_stage_keeps_one_of_each_group(documents):
     df = documents(corpus(6) + EDGES)
     out = minhash.deduplicated(df)
