@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.columns import DATE_PARTS
+from feedloom.operators.curve import with_curve_key
 from feedloom.sinks.tables import TableStore, write_partitioned
 from feedloom.sources.listing import list_files
 
 
+CURVE = "_curve"
+
+
 def compact(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite a table in files of even size; the rows stay the same."""
     rows = spark.read.option("mergeSchema", "true").parquet(source)
@@ -20,19 +24,29 @@ def compact(spark: SparkSession, source: str, target: str) -> None:
 
 
 def cluster(spark: SparkSession, source: str, target: str, columns: Sequence[str]) -> None:
-    """Rewrite a table ordered by date, then by ``columns``, so that filters on them skip files and row
-    groups.
+    """Rewrite a table ordered by date, then by ``columns``, so that filters on any of them skip files and
+    row groups."""
+    df = spark.read.option("mergeSchema", "true").parquet(source)
+    by = [p for p in DATE_PARTS if p in df.columns and p not in columns]
+    writer = clustered(df, columns).write.mode("overwrite").option("maxRecordsPerFile", 1_000_000)
+    (writer.partitionBy(*by) if by else writer).parquet(target)
+
+
+def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in the order of the dates and of ``columns``: sorted by one column, along a curve through
+    several, which keeps each of them in small ranges.
 
     Ranges run over the dates first, so a task writes to few dates, and files come out in the order of
     the sort, which the date folders lead. A frequent value only widens one range; the remaining
     columns, used as a tie, spread it.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(source)
     by = [p for p in DATE_PARTS if p in df.columns and p not in columns]
     rest = [c for c in df.columns if c not in (*by, *columns) and not _complex(df, c)]
-    ranged = df.repartitionByRange(*by, *columns, *rest).sortWithinPartitions(*by, *columns)
-    writer = ranged.write.mode("overwrite").option("maxRecordsPerFile", 1_000_000)
-    (writer.partitionBy(*by) if by else writer).parquet(target)
+    if len(columns) == 1:
+        return df.repartitionByRange(*by, *columns, *rest).sortWithinPartitions(*by, *columns)
+    keyed = with_curve_key(df, columns, CURVE)
+    tied = [c for c in columns if not _complex(df, c)]
+    return keyed.repartitionByRange(*by, CURVE, *tied, *rest).sortWithinPartitions(*by, CURVE, *tied).drop(CURVE)
 
 
 def compact_current(store: TableStore, name: str, load_id: str) -> None:
@@ -47,10 +61,7 @@ def cluster_current(store: TableStore, name: str, load_id: str, columns: Sequenc
     """Current table rewritten in the order of ``columns``, in force with one commit."""
     commits = store.commits(name)
     rows = store.current(name, commits)
-    by = [p for p in DATE_PARTS if p in rows.columns and p not in columns]
-    rest = [c for c in rows.columns if c not in (*by, *columns) and not _complex(rows, c)]
-    ranged = rows.repartitionByRange(*by, *columns, *rest).sortWithinPartitions(*by, *columns)
-    store.write_current(name, ranged, load_id, scattered=False)
+    store.write_current(name, clustered(rows, columns), load_id, scattered=False)
     store.commit(name, load_id, store.history(name, commits).schema, rows.schema, base=commits[-1]["seq"])
 
 
