@@ -61,10 +61,58 @@ def test_products_are_exact(table, monkeypatch, per_group, per_chunk):
     assert got == brute_products(awkward(), 9, 4)
 
 
-def test_far_groups_are_not_sent(table):
-    x = np.array([[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0]])
-    low, high = voronoi.bounds(x, np.array([[10.0, 0.0]]), np.array([1.0]))
-    assert high[2, 0] < low[0, 0]
+def clustered(groups=20, each=100, width=12):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(groups, width)) * 10
+    return [(i, [float(x) for x in np.float32(centres[i % groups] + rng.normal(scale=0.05, size=width))]) for i in range(groups * each)]
+
+
+def test_far_groups_are_not_sent(table, monkeypatch):
+    seen = []
+    blocks_of = voronoi.blocks_of
+    monkeypatch.setattr(voronoi, "blocks_of", lambda *a: seen.append(blocks_of(*a)) or seen[-1])
+    rows = clustered()
+    got = sorted(map(tuple, voronoi.top_k(table(rows), k=9, every=4).collect()))
+    assert got == brute_products(rows, 9, 4)
+    kinds = {r["kind"]: r["n"] for r in seen[0].groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_routes = seen[0].select("route").distinct().count()
+    assert n_routes >= 4
+    # All pairs of groups would send every vector to every route.
+    assert kinds[0] < 0.3 * n_routes * len(rows)
+
+
+def test_bounds_of_groups_hold():
+    rng = np.random.default_rng(2)
+    pivots = rng.normal(size=(5, 6)) * 30
+    x, q = rng.normal(size=(300, 6)) * 30, rng.normal(size=(100, 6)) * 30
+
+    def side(v):
+        d = voronoi.distances(v, pivots)
+        cell = d.argmin(axis=1)
+        size = voronoi.norms(v)
+        mine = [cell == c for c in range(5)]
+        far = d[np.arange(len(v)), cell]
+        return cell, voronoi.Groups(*(np.array([f[m].max(initial=0) for m in mine]) for f in (far, size)), np.array([m.sum() for m in mine]))
+
+    (cx, held), (cq, asked) = side(x), side(q)
+    high = voronoi.group_bounds(pivots, asked, held)
+    assert (q @ x.T <= high[cq][:, cx]).all()
+    low, top = voronoi.bounds(x, pivots, asked.radius)
+    assert (low.T[cq] <= q @ x.T).all() and (q @ x.T <= top.T[cq]).all()
+
+
+def test_query_groups_of_like_needs_go_together():
+    all_needed = voronoi.routes(np.ones((4, 4), bool), np.array([5, 5, 0, 5]), np.full(4, 100))
+    assert [sorted(w.cells) for w in all_needed] == [[0, 1, 3]]
+    apart = voronoi.routes(np.eye(4, dtype=bool), np.array([5, 5, 0, 5]), np.full(4, 100))
+    assert sorted(w.cells[0] for w in apart) == [0, 1, 3] and all(len(w.cells) == 1 for w in apart)
+
+
+def test_different_vectors_of_one_id(table):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [5.0, 5.0]), (1, [2.0, 0.0]), (1, [0.0, 3.0]), (3, [0.5, 0.5])]
+    got = [tuple(r) for r in voronoi.top_k(table(rows), k=3, every=2).orderBy("rank").collect()]
+    # Scores of the six pairs of vectors with ids 1 and 3, three vectors of the query each.
+    assert got == [(0, 1, 1, 320 * 192), (0, 2, 1, 320 * 128), (0, 3, 3, 2 * 320 * 32)]
 
 
 def test_ties_and_large_numbers():
