@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.columns import DATE_PARTS
 from feedloom.operators.curve import with_curve_key
+from feedloom.sinks.keys import signature
 from feedloom.sinks.tables import TableStore, write_partitioned
 from feedloom.sources.listing import list_files
 
@@ -51,18 +52,24 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def compact_current(store: TableStore, name: str, load_id: str) -> None:
     """Current table rewritten in files of even size, in force with one commit."""
-    commits = store.commits(name)
-    rows = store.current(name, commits)
-    store.write_current(name, rows, load_id)
-    store.commit(name, load_id, store.history(name, commits).schema, rows.schema, base=commits[-1]["seq"])
+    _rewrite(store, name, load_id, lambda rows: rows, scattered=True)
 
 
 def cluster_current(store: TableStore, name: str, load_id: str, columns: Sequence[str]) -> None:
     """Current table rewritten in the order of ``columns``, in force with one commit."""
+    _rewrite(store, name, load_id, lambda rows: clustered(rows, columns), scattered=False)
+
+
+def _rewrite(store: TableStore, name: str, load_id: str, order: Callable[[DataFrame], DataFrame], scattered: bool) -> None:
+    """The filters of the last keyed load are made anew for the whole table."""
     commits = store.commits(name)
     rows = store.current(name, commits)
-    store.write_current(name, clustered(rows, columns), load_id, scattered=False)
-    store.commit(name, load_id, store.history(name, commits).schema, rows.schema, base=commits[-1]["seq"])
+    store.write_current(name, order(rows), load_id, scattered)
+    last = next((r["keys"] for r in reversed(commits) if r.get("keys")), [])
+    keys = signature(rows.schema, [k for k, _ in last])
+    if keys:
+        store.write_keys(name, load_id, rows.schema, [k for k, _ in keys])
+    store.commit(name, load_id, store.history(name, commits).schema, rows.schema, base=commits[-1]["seq"], keys=keys)
 
 
 def _complex(df: DataFrame, column: str) -> bool:

@@ -29,10 +29,11 @@ from feedloom.operators.columns import (
 )
 from feedloom.operators.quality import duplicate_keys, empty_units
 from feedloom.operators.typing import ISSUES, field_at, type_rows
-from feedloom.plans.modes import next_state, rewrites
+from feedloom.plans.modes import merges_keys, next_state, rewrites
 from feedloom.session import Scratch, staged, together, tune
 from feedloom.sinks import logs
 from feedloom.sinks.commits import Conflict
+from feedloom.sinks.keys import signature
 from feedloom.sinks.tables import ALL, DATES, TableStore, date_key
 from feedloom.sources import delimited, fixed_width, headers
 from feedloom.sources.delimited import BLOCK, CORRUPT, FILE, PATH, ROW
@@ -241,7 +242,7 @@ def write_load(
         rows = rows.where(F.col(FILE) == rows.agg(F.max(FILE)).scalar())
     commits = store.commits(spec.table)
     last = store.current(spec.table, commits)
-    dates = touched_dates(last, rows, spec)
+    dates = touched_dates(last, rows, spec, lambda: store.may_hold(spec.table, commits, rows, spec.merge_keys))
     # Snapshots and whole dates stand for themselves; what was merged holds for the table it was merged with.
     alone = spec.mode == FULL_SNAPSHOT or (spec.mode == PARTITION_REPLACE and dates is not None)
     base = None if alone else (commits[-1]["seq"] if commits else 0)
@@ -253,12 +254,19 @@ def write_load(
         last, rows, spec.mode, spec.merge_keys, spec.validity_column,
         tie_order(spec), keep=lambda df: keep(df, f"newest-{spec.table}"),
     ).drop(*internal)
-    together(
-        lambda: store.add_history(spec.table, history, load_id),
-        lambda: store.write_current(spec.table, state, load_id, scattered=spec.mode != FULL_SNAPSHOT),
-    )
+    keyed = merges_keys(spec.mode) and set(DATE_PARTS) <= set(state.columns)
+    keys = signature(state.schema, spec.merge_keys) if keyed else None
+
+    def write_current() -> None:
+        store.write_current(spec.table, state, load_id, scattered=spec.mode != FULL_SNAPSHOT)
+        if keys:
+            store.write_keys(spec.table, load_id, state.schema, spec.merge_keys)
+
+    together(lambda: store.add_history(spec.table, history, load_id), write_current)
     replaces = ALL if dates is None else DATES
-    return lambda: store.commit(spec.table, load_id, history.schema, state.schema, replaces, dates or (), base=base)
+    return lambda: store.commit(
+        spec.table, load_id, history.schema, state.schema, replaces, dates or (), base=base, keys=keys
+    )
 
 
 def put_in_force(commit: Callable[[], None], write: Callable[[], Callable[[], None]]) -> None:
@@ -271,17 +279,20 @@ def put_in_force(commit: Callable[[], None], write: Callable[[], Callable[[], No
     commit()
 
 
-def touched_dates(last: DataFrame | None, batch: DataFrame, spec: FeedSpec) -> list[int] | None:
+def touched_dates(
+    last: DataFrame | None, batch: DataFrame, spec: FeedSpec, holding: Callable[[], DataFrame]
+) -> list[int] | None:
     """Dates of the current table in which a batch replaces rows, ``None`` for the whole table.
 
-    They are folders of the table: as many as it has days at most.
+    They are folders of the table: as many as it has days at most. ``holding`` is the part of the table
+    that may hold keys of the batch.
     """
     if last is None or spec.mode == FULL_SNAPSHOT or not set(DATE_PARTS) <= set(last.columns):
         return None
     if spec.mode == PARTITION_REPLACE:
         hit = batch.where(" AND ".join(f"{p} IS NOT NULL" for p in DATE_PARTS))
     elif spec.merge_keys:
-        hit = last.join(batch.select(*spec.merge_keys).distinct(), spec.merge_keys, "left_semi")
+        hit = holding().join(batch.select(*spec.merge_keys).distinct(), spec.merge_keys, "left_semi")
     else:
         return None
     return sorted(r["k"] for r in hit.select(date_key().alias("k")).distinct().collect())

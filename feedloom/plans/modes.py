@@ -24,6 +24,11 @@ def rewrites(mode: str) -> bool:
     return (mode or "").strip().upper() in REWRITING
 
 
+def merges_keys(mode: str) -> bool:
+    """True when a mode looks for the keys of a batch in the current table."""
+    return (mode or "").strip().upper() in (DELTA_FROM_NON_HISTORIZED, FULL_KEY_REPLACE)
+
+
 def next_state(
     last: DataFrame | None,
     batch: DataFrame,

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from feedloom.operators.columns import DATE_PARTS, dedup_columns, metadata_first
 from feedloom.session import path_exists
+from feedloom.sinks import keys as key_filters
 from feedloom.sinks.commits import CommitLog
 
 # How much of the current table a load replaces.
@@ -85,9 +86,11 @@ class TableStore:
     def commit(
         self, name: str, load_id: str, history: T.StructType, current: T.StructType,
         replaces: str = ALL, dates: Sequence[int] = (), in_history: bool = False, base: int | None = None,
+        keys: list[list[str]] | None = None,
     ) -> None:
         """Puts a load in force. ``in_history``: its current rows are those it added to the history.
         ``base``: the last commit of the table its rows were computed from; ``Conflict`` if others followed.
+        ``keys``: names and types of the keys it wrote filters for.
 
         The schemas of both tables are kept here, so that reading a table does not have to open the
         footers of its files.
@@ -97,7 +100,7 @@ class TableStore:
             known = _schemas(before[-1]) if before else (None, None)
             kept = None if replaces == ALL else known[1]
             return {
-                "at": time.time_ns(), "replaces": replaces, "dates": list(dates), "in_history": in_history,
+                "at": time.time_ns(), "replaces": replaces, "dates": list(dates), "in_history": in_history, "keys": keys,
                 "history": merged_schema(known[0], history).json(), "current": merged_schema(kept, current).json(),
             }
 
@@ -118,6 +121,40 @@ class TableStore:
         sides = [self._read(name, side, schema, loads) for side, loads in in_force(commits).items() if loads]
         return reduce(DataFrame.unionByName, sides)
 
+    def may_hold(self, name: str, commits: list[dict], batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+        """The part of the current table that may hold keys of the batch: of loads with filters for these
+        keys, the dates whose filters say so; all of the others."""
+        if not commits:
+            return None
+        loads, mine = in_force(commits), key_filters.signature(batch.schema, keys)
+        with_keys = {r["load_id"] for r in commits if mine is not None and r.get("keys") == mine}
+        known = {gone: [i for i in ids if i in with_keys] for gone, ids in loads["last"].items()}
+        known = {gone: ids for gone, ids in known.items() if ids}
+        if not known:
+            return self.current(name, commits)
+        dates = key_filters.dates_holding(self._filters(name, known), batch, keys)
+        if dates is None:
+            return self.current(name, commits)
+        schema = _schemas(commits[-1])[1]
+        parts = [self._read(name, "last", schema, known).where(date_key().isin(*dates) if dates else F.lit(False))]
+        rest = {gone: [i for i in ids if i not in with_keys] for gone, ids in loads["last"].items()}
+        for side, others in (("last", rest), ("all", loads["all"])):
+            others = {gone: ids for gone, ids in others.items() if ids}
+            if others:
+                parts.append(self._read(name, side, schema, others))
+        return reduce(DataFrame.unionByName, parts)
+
+    def write_keys(self, name: str, load_id: str, schema: T.StructType, keys: Sequence[str]) -> None:
+        """Filters of the keys of a load, from its written rows."""
+        rows = self._read(name, "last", schema, {frozenset(): [load_id]})
+        found = key_filters.filters(rows, keys, date_key())
+        found.write.mode("overwrite").parquet(f"{self._folder(name, 'keys')}/load_id={load_id}")
+
+    def _filters(self, name: str, loads: dict[frozenset, list[str]]) -> DataFrame:
+        """Filters of the dates in force."""
+        found = self.spark.read.schema(f"{key_filters.SCHEMA}, load_id string").parquet(self._folder(name, "keys"))
+        return found.where(_wanted(loads, F.col("date")))
+
     def _read(self, name: str, side: str, schema: T.StructType, loads: dict[frozenset, list[str]]) -> DataFrame:
         """Rows of the loads, without the dates that later loads replaced. Load and date are folders, so
         Spark lists but does not open the others."""
@@ -126,11 +163,7 @@ class TableStore:
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(T.StructType([*schema, T.StructField("load_id", T.StringType())])).parquet(path)
-        wanted = F.lit(False)
-        for gone, ids in loads.items():
-            mine = F.col("load_id").isin(*ids)
-            wanted = wanted | (mine & ~date_key().isin(*sorted(gone)) if gone else mine)
-        return rows.where(wanted).select(*schema.names)
+        return rows.where(_wanted(loads, date_key())).select(*schema.names)
 
     def add_history(self, name: str, df: DataFrame, load_id: str) -> None:
         write_partitioned(df, f"{self._folder(name, 'all')}/load_id={load_id}", "overwrite")
@@ -163,6 +196,15 @@ class TableStore:
         return {f"{n}{s}": sides[s](n) for n in sorted(names) for s in (suffixes or tuple(sides))}
 
 
+def _wanted(loads: dict[frozenset, list[str]], date: Column) -> Column:
+    """Rows of the loads, but for the dates replaced in them."""
+    wanted = F.lit(False)
+    for gone, ids in loads.items():
+        mine = F.col("load_id").isin(*ids)
+        wanted = wanted | (mine & ~date.isin(*sorted(gone)) if gone else mine)
+    return wanted
+
+
 def in_force(commits: list[dict]) -> dict[str, dict[frozenset, list[str]]]:
     """Per folder (``all``, ``last``) the loads that make up the current table, grouped by the dates
     of theirs that later loads replaced."""
