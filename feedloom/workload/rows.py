@@ -10,7 +10,7 @@ from feedloom.operators import columns as cols
 from feedloom.operators import errors as E
 from feedloom.operators import gates, quality, typing
 from feedloom.plans import ingest
-from feedloom.session import fresh_dir
+from feedloom.session import fresh_dir, staged
 from feedloom.sinks import logs
 from feedloom.sources import delimited
 from feedloom.sources.delimited import CORRUPT, FILE
@@ -57,8 +57,8 @@ def typed(spark: SparkSession, sf_dir: str, **changes: dict) -> DataFrame:
 
 def verdicts_of(rows: DataFrame, fields) -> tuple[DataFrame, DataFrame]:
     sizes = rows.groupBy(UNIT).agg(F.count(F.lit(1)).alias("rows"))
-    counts = gates.issue_counts(rows, UNIT)
-    return counts, gates.unit_verdicts(gates.ict_columns(counts, sizes, fields, UNIT), UNIT)
+    counts = staged(gates.issue_counts(rows, UNIT), "issues")
+    return counts, staged(gates.unit_verdicts(gates.ict_columns(counts, sizes, fields, UNIT), UNIT), "verdicts")
 
 
 # --- columns ------------------------------------------------------------------------------------
