@@ -30,7 +30,7 @@ from feedloom.operators.columns import (
 from feedloom.operators.quality import duplicate_keys, empty_units
 from feedloom.operators.typing import ISSUES, field_at, type_rows
 from feedloom.plans.modes import merges_keys, next_state, rewrites
-from feedloom.session import Scratch, staged, together, tune
+from feedloom.session import Scratch, open_files, staged, together, tune
 from feedloom.sinks import logs
 from feedloom.sinks.commits import Conflict
 from feedloom.sinks.keys import signature
@@ -230,7 +230,7 @@ def write_load(
     """Writes the folders of a load and returns the commit that puts them in force.
 
     A mode that replaces keys or dates rewrites only the dates of the current table it touches; a mode
-    that appends writes its rows once, for both tables.
+    that appends, or a snapshot that is one unit, writes its rows once, for both tables.
     """
     spec, internal = load.spec, [FILE, *ORDER]
     rows = batch_rows(load, processed if processed is not None else F.current_timestamp(), today)
@@ -255,6 +255,10 @@ def write_load(
         last, rows, spec.mode, spec.merge_keys, spec.validity_column,
         tie_order(spec), keep=lambda df: keep(df, f"newest-{spec.table}"),
     ).drop(*internal)
+    if spec.mode == FULL_SNAPSHOT and spec.file_policy != EACH:
+        # The snapshot is what the history gets, so both tables read the same files.
+        store.add_history(spec.table, history, load_id)
+        return lambda: store.commit(spec.table, load_id, history.schema, state.schema, in_history=True)
     keyed = merges_keys(spec.mode) and set(DATE_PARTS) <= set(state.columns)
     keys = signature(state.schema, spec.merge_keys) if keyed else None
 
@@ -357,8 +361,9 @@ def ingest_rows(
         if loaded:
             stage_errors()
         else:
-            together(write_tables, stage_errors)
-            put_in_force(ready["commit"], write_tables)
+            with open_files(spark):
+                together(write_tables, stage_errors)
+                put_in_force(ready["commit"], write_tables)
         _log(spec, ready["errors"], with_error_counts(load.runs, ready["errors"]), log_root, env, started, load_id)
     finally:
         scratch.remove()
@@ -465,8 +470,9 @@ def _ingest(
 
         # Independent writes over the same staged rows: together they keep the executors busy while
         # one of them waits for its last tasks. None of them changes a table yet.
-        together(write_tables, stage_errors, write_rejects)
-        put_in_force(ready["commit"], write_tables)
+        with open_files(spark):
+            together(write_tables, stage_errors, write_rejects)
+            put_in_force(ready["commit"], write_tables)
     except Exception as problem:
         all_failed(f"Ingestion error: {reason(problem)}", named_badly)
         raise LoadFailed(reason(problem)) from problem

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.session import fresh_dir
+from feedloom.session import fresh_dir, open_files
 from feedloom.specs import FieldSpec, Tolerance
 from feedloom.workload.registry import sql
 
@@ -89,7 +89,8 @@ def share(text: str) -> Tolerance:
 def write_csv(rows: DataFrame, path: str, sep: str = ";", header: bool = False, **options: str) -> None:
     writer = rows.write.partitionBy("received").option("sep", sep).option("header", str(header).lower())
     writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-    writer.options(**options).csv(path)
+    with open_files(rows.sparkSession):
+        writer.options(**options).csv(path)
 
 
 def orders_csv(spark: SparkSession, sf_dir: str, header: bool = False) -> str:
