@@ -9,6 +9,7 @@ from feedloom.observability import maintenance
 from feedloom.operators.columns import stamp
 from feedloom.session import fresh_dir
 from feedloom.sinks.tables import TableStore, read_table, write_partitioned
+from feedloom.sources.listing import list_files
 from feedloom.specs import DELTA_FROM_NON_HISTORIZED, NAMES, FeedSpec, FieldSpec
 from feedloom.streaming import files as stream
 from feedloom.streaming.staging import Staging
@@ -24,11 +25,20 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql(spark, sf_dir, LINES)
 
 
+PART_BYTES, LEAST_PARTS = 32 << 20, 8  # of the given table per part of the stored one, and its parts at least
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> int:
+    """Parts of the stored table: each holds as many rows at any size of the given one."""
+    given = list_files(spark, f"{sf_dir}/lineitem.parquet").agg(F.sum("bytes")).first()[0] or 0
+    return max(LEAST_PARTS, -(-given // PART_BYTES))
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> str:
-    """The line items as a table of many small files."""
+    """The line items as a table of many small files: every part has one per date."""
     return feeds.landed(
         spark, sf_dir, "lines-table",
-        lambda p: _lines(spark, sf_dir).repartition(8).write.partitionBy("yyyy", "mm", "dd").parquet(p),
+        lambda p: _lines(spark, sf_dir).repartition(_parts(spark, sf_dir)).write.partitionBy("yyyy", "mm", "dd").parquet(p),
     )
 
 

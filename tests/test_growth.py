@@ -1,5 +1,7 @@
 """Work per task that must not grow with the tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from feedloom.sources.delimited import FILE
 from feedloom.specs import FULL_SNAPSHOT, MERGE, FeedSpec, FieldSpec
 from feedloom.workload import feeds
 from feedloom.workload import rows as row_queries
+from feedloom.workload import tables as table_queries
 from feedloom.workload.scans import order_spec
 
 DATA = "/root/testdata/sf0.001"
@@ -63,3 +66,9 @@ def test_a_snapshot_of_one_unit_is_written_once_and_unsorted(spark, tmp_path, mo
     assert not (tmp_path / "tables" / "site_last").exists()
     assert store.history("site").count() == 20 and "FILE_PROCESS_DATE" not in store.current("site").columns
     assert rows(store.current("site"), "id", "name", "dd") == sorted([(i, f"a{i}", 2) for i in range(5)] * 2)
+
+
+def test_parts_of_the_stored_lines_grow_with_the_table(spark, monkeypatch):
+    assert table_queries._parts(spark, DATA) == table_queries.LEAST_PARTS
+    monkeypatch.setattr(table_queries, "PART_BYTES", 4096)
+    assert table_queries._parts(spark, DATA) == -(-os.path.getsize(f"{DATA}/lineitem.parquet") // 4096) > table_queries.LEAST_PARTS
