@@ -31,7 +31,7 @@ from feedloom.session import staged
 
 DIMENSIONS, BITS = 4, 9  # of the grid; the key has 36 bits, and 27 more of a hash of the id
 TIE_BITS = 27
-PART = 4 << 20  # bytes of text encoded at a time
+PART = 1 << 20  # bytes of text encoded at a time
 WORD_END = "</w>"  # Fixed value: how the vocabulary marks the end of a word.
 #: Letters that lower-casing and composing leave alone or change one by one, and marks that are words of
 #: their own behind a letter.

@@ -77,3 +77,20 @@ def test_similar_documents_are_near_each_other(documents):
 
 def test_empty_table(documents):
     assert packing.pack(documents([])).count() == 0
+
+
+def test_encoding_holds_a_small_part_of_the_texts_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [" ".join(f"word{i % 900} and,more" for i in range(k, k + 2000)) for k in range(160)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "row": list(range(len(texts)))})
+    run = packing._encode("word_bpe_49k.json", 49_408, 2)
+    list(run(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    for _ in run(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25e6  # of 5.4 MB of text; 49 MB when four times as much was encoded at a time
