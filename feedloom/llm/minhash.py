@@ -32,9 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import small_batches, tidy
+from feedloom.llm.common import small_batches, split_by, tidy
 from feedloom.llm.graphs import components
-from feedloom.session import staged
+from feedloom.session import Scratch, staged
 
 BANDS, ROWS, STEP = 32, 4, 32
 MINIMA = BANDS * ROWS
@@ -191,7 +191,8 @@ def near_duplicates(
     near = staged(buckets.select("rep").distinct(), f"{label}-near")
     sigs = reps.join(near, "rep", "left_semi").select("rep", "sig")
     shown = reps.join(near, "rep", "left_semi").select("rep", "doc_id", "same")
-    texts = rows.join(shown, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]).select("rep", "text")
+    shown = staged(shown, f"{label}-shown")
+    texts = split_by(rows, shown, ["doc_id", "same"])[0].join(shown, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]).select("rep", "text")
     sets = staged(texts.mapInArrow(tidy(_sets(shingle)), "rep long, members binary"), f"{label}-sets")
 
     repeated = _of_one_id(known, reps, label)
@@ -336,9 +337,13 @@ def _renamed(names: DataFrame, links: DataFrame, label: str) -> DataFrame:
 
 def deduplicated(docs: DataFrame, label: str = "dedup", **options) -> DataFrame:
     """Rows of ``docs`` with one document of each component; of rows that repeat an id, one stays."""
-    found = staged(near_duplicates(docs, label=label, **options), f"{label}-found")
+    scratch = Scratch(docs.sparkSession, label)
+    inside = f"{scratch.path.rsplit('/', 1)[-1]}/{label}"
+    found = staged(near_duplicates(docs, label=inside, **options), f"{label}-found")
+    scratch.remove()
     gone = found.where(~F.col("kept")).select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti")
+    doubtful, sure = split_by(docs, gone, ["doc_id"])
+    left = sure.unionByName(doubtful.join(gone, "doc_id", "left_anti"))
     named = found.where(F.col("kept") & F.col("doc_id").isNotNull())
     repeated = staged(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), f"{label}-repeated")
     if repeated.isEmpty():

@@ -6,7 +6,8 @@ cell's number along a Hilbert curve is the document's key, so that documents nea
 curve use similar tokens. Documents are range-sorted by key and laid end to end; cutting this line
 every ``length`` tokens gives the sequences, of which only the last can be short.
 
-Ids are encoded once and written. Sorting moves only keys and lengths; the place of each document on
+Ids are encoded once and written, packed by zstd; a run of equal rows, as a mix leaves them, is written as
+one row with the number of its copies. Sorting moves only keys and lengths; the place of each document on
 the line comes from the totals of the range blocks before it. A hash of the id is the low part of the
 key, so equal documents share no single block.
 
@@ -32,6 +33,7 @@ from feedloom.session import staged
 DIMENSIONS, BITS = 4, 9  # of the grid; the key has 36 bits, and 27 more of a hash of the id
 TIE_BITS = 27
 PART = 1 << 20  # bytes of text encoded at a time
+ZSTD = pa.Codec("zstd", compression_level=3)
 WORD_END = "</w>"  # Fixed value: how the vocabulary marks the end of a word.
 #: Letters that lower-casing and composing leave alone or change one by one, and marks that are words of
 #: their own behind a letter.
@@ -99,12 +101,35 @@ def distinct_encoder(file: str):
     return encode
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Ids as they are written and shuffled: 16 bits each, then zstd, which leaves two thirds."""
+    return ZSTD.compress(ids.astype("<u2"), asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(ZSTD.decompress(data, 2 * n), dtype="<u2").astype("<u4")
+
+
+def neighbours(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The first row of each run of equal ids and texts, and how many rows the run has."""
+    new = np.ones(batch.num_rows, dtype=bool)
+    if batch.num_rows > 1:
+        one, two = batch.slice(0, batch.num_rows - 1), batch.slice(1)
+        both = [
+            pc.or_(pc.fill_null(pc.equal(x, y), False), pc.and_(pc.is_null(x), pc.is_null(y)))
+            for x, y in ((one.column(c), two.column(c)) for c in (0, 1))
+        ]
+        new[1:] = ~pc.and_(*both).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(new)
+    return batch.filter(pa.array(new)), np.diff(first, append=batch.num_rows)
+
+
 def _encode(file: str, ids: int, closing: int):
     axes = [f"v{i}" for i in range(DIMENSIONS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, way = distinct_encoder(file), directions(ids)
-        for batch in (part for whole in batches for part in slices(whole, 1, PART)):
+        for batch, copies in (neighbours(part) for whole in batches for part in slices(whole, 1, PART)):
             # A space is never part of a token of this vocabulary, so pieces between spaces are independent.
             spaced = pc.replace_substring(pc.fill_null(batch.column(1), ""), "\n", " ")
             pieces = pc.split_pattern(spaced, " ")
@@ -122,10 +147,10 @@ def _encode(file: str, ids: int, closing: int):
             own[starts + n - 1] = False
             flat[own] = pool[np.arange(upto[-1]) + np.repeat(first[code] - upto[:-1], each)]
             means = [np.add.reduceat(way[flat, i], starts, dtype=np.float64) / n for i in range(DIMENSIONS)]
-            small = flat.astype("<u2")
-            out = [small[s : s + k].tobytes() for s, k in zip(starts, n, strict=True)]
-            arrays = [batch.column(0), batch.column(2), pa.array(n), pa.array(out, pa.binary()), *[pa.array(m, pa.float64()) for m in means]]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "row", "n", "ids", *axes])
+            out = [packed(flat[s : s + k]) for s, k in zip(starts, n, strict=True)]
+            arrays = [batch.column(0), batch.column(2), pa.array(copies, pa.int64()), pa.array(n), pa.array(out, pa.binary())]
+            arrays += [pa.array(m, pa.float64()) for m in means]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "first", "copies", "n", "ids", *axes])
 
     return run
 
@@ -133,13 +158,13 @@ def _encode(file: str, ids: int, closing: int):
 def _keys(mean: list[float], deviation: list[float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = np.stack([batch.column(3 + i).to_numpy() for i in range(DIMENSIONS)], axis=1)
+            v = np.stack([batch.column(4 + i).to_numpy() for i in range(DIMENSIONS)], axis=1)
             z = np.clip((v - mean) / deviation, -4, 4)
             # A smooth step that gives the middle of the corpus most of the cells.
             cells = np.floor((1 / (1 + np.exp(-1.7 * z))) * ((1 << BITS) - 1)).astype(np.uint64)
             key = hilbert_key(cells, BITS).astype(np.int64) << TIE_BITS
-            key = pa.array(key | batch.column(2).to_numpy())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), key], names=["row", "n", "key"])
+            key = pa.array(key | batch.column(3).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], key], names=["first", "row", "n", "key"])
 
     return run
 
@@ -151,7 +176,7 @@ def _pieces(length: int):
         for batch in batches:
             out = []
             for doc_id, n, ids, at in zip(*[batch.column(c).to_pylist() for c in range(4)], strict=True):
-                code, begin = np.frombuffer(ids, dtype="<u2").astype("<u4"), 0
+                code, begin = unpacked(ids, n), 0
                 while begin < n:
                     sequence, offset = divmod(at + begin, length)
                     size = min(n - begin, length - offset)
@@ -178,20 +203,25 @@ def pack(
         F.monotonically_increasing_id().alias("row"),
     )
     axes = [f"v{i}" for i in range(DIMENSIONS)]
-    schema = "doc_id long, row long, n long, ids binary, " + ", ".join(f"{a} double" for a in axes)
+    schema = "doc_id long, first long, copies long, n long, ids binary, " + ", ".join(f"{a} double" for a in axes)
     encoded = staged(rows.mapInArrow(tidy(_encode(file, ids, closing)), schema), f"{label}-ids")
-    stats = encoded.agg(*[F.avg(a) for a in axes], *[F.stddev_pop(a) for a in axes]).first()
+    # Rows of a run are numbered one after the other.
+    each = F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1)).alias("row")
+    all_ = encoded.select("first", each, "n", "doc_id", *axes)
+    stats = all_.agg(*[F.avg(a) for a in axes], *[F.stddev_pop(a) for a in axes]).first()
     # Rounded, so that the order in which Spark adds up does not move a document to another cell.
     mean = [round(x or 0.0, 6) for x in stats[:DIMENSIONS]]
     deviation = [round(x or 0.0, 6) or 1.0 for x in stats[DIMENSIONS:]]
     tie = F.pmod(F.xxhash64("doc_id", "row"), F.lit(1 << TIE_BITS))
-    keyed = encoded.select("row", "n", tie.alias("tie"), *axes).mapInArrow(_keys(mean, deviation), "row long, n long, key long")
+    keyed = all_.select("first", "row", "n", tie.alias("tie"), *axes).mapInArrow(
+        _keys(mean, deviation), "first long, row long, n long, key long"
+    )
     order = ["key", "row"]
     blocks = ordered_blocks(keyed, order, f"{label}-order")
     before = F.coalesce(F.sum("n").over(within_block([], order)), F.lit(0))
     placed = blocks.withColumn("before", before).join(block_starts(blocks, [], "n").select("_block", "_start"), "_block")
-    line = staged(placed.select("row", (F.col("_start") + F.col("before")).alias("at")), f"{label}-line")
-    found = encoded.select("doc_id", "n", "ids", "row").join(line, "row").select("doc_id", "n", "ids", "at")
+    line = staged(placed.select("first", (F.col("_start") + F.col("before")).alias("at")), f"{label}-line")
+    found = encoded.select("doc_id", "n", "ids", "first").join(line, "first").select("doc_id", "n", "ids", "at")
     return found.mapInArrow(
         tidy(_pieces(length)),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary",

@@ -136,3 +136,37 @@ def test_components_of_chains_and_stars(spark):
     got = dict(map(tuple, graphs.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert {got[i] for i in range(41)} == {0} and {got[100 + i] for i in range(50)} == {100}
     assert {got[i] for i in (200, 201, 203)} == {200}
+
+
+def test_few_rows_are_in_doubt_beside_a_filter_of_keys(spark, documents):
+    from feedloom.llm.common import split_by
+
+    docs = documents([(i, f"text {i}") for i in range(5000)] + [(None, "none"), (7, "again"), (-3, None)])
+    keys = spark.createDataFrame([(i,) for i in (7, 7, -3, 0, 4999, 10**12)], "doc_id long")
+    doubtful, sure = split_by(docs.withColumn("doc_id", docs["doc_id"].cast("decimal(20,0)")), keys, ["doc_id"])
+    assert doubtful.columns == sure.columns == docs.columns
+    near, far = ([r["doc_id"] for r in part.collect()] for part in (doubtful, sure))
+    assert len(near) + len(far) == 5003 and not set(far) & {7, -3, 0, 4999}
+    assert near.count(7) == 2 and len(near) < 20
+    two = spark.createDataFrame([(7, "again"), (8, None)], "doc_id long, text string")
+    assert [tuple(r) for r in split_by(docs, two, ["doc_id", "text"])[0].select("doc_id", "text").collect()] == [(7, "again")]
+    assert split_by(docs, keys.limit(0), ["doc_id"])[0].isEmpty()
+
+
+def test_deduplication_shuffles_no_rows_that_surely_stay_and_leaves_no_tables_of_pairs(spark, documents, tmp_path):
+    from pathlib import Path
+
+    from feedloom.session import shared_dir
+
+    docs = documents([(i, f"only {i} " * 40) for i in range(200)] + [(500 + i, "the same text " * 30) for i in range(5)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = minhash.deduplicated(docs, label="tidy")
+        out.write.parquet(f"{tmp_path}/out")
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 201
+    stays = plan[plan.index("Union") :].split("LeftAnti")[0]
+    assert "LeftOuter" in stays
+    assert not [p for p in Path(shared_dir(spark).removeprefix("file:")).rglob("tidy-*") if p.is_dir() and ("sets" in p.name or "sketches" in p.name)]

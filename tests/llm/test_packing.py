@@ -5,6 +5,7 @@ import numpy as np
 
 from feedloom.llm import packing
 from feedloom.llm.tokenizing import tokenizer
+from feedloom.session import staged
 
 
 def test_hilbert_neighbours_touch():
@@ -43,6 +44,21 @@ def test_pieces_hold_every_id_once(documents):
     assert sorted(map(repr, docs)) == want
 
 
+def test_runs_of_equal_rows_are_encoded_and_written_once(documents, monkeypatch):
+    text = "Some words here, it's fine. " * 40
+    rows = [(1, text), (1, text), (1, "other"), (1, text), (2, text), (2, None), (2, None), (2, ""), (None, text), (None, text)]
+    written = {}
+    monkeypatch.setattr(packing, "staged", lambda df, label: written.setdefault(label, staged(df, label)))
+    got = packing.pack(documents(rows).coalesce(1), length=64).collect()
+    ids = written["packing-ids"]
+    assert [r["copies"] for r in ids.orderBy("first").collect()] == [2, 1, 1, 1, 2, 1, 2]
+    assert all(len(r["ids"]) < 0.5 * 2 * r["n"] for r in ids.where("n > 100").collect())
+    assert sorted(r["offset"] + 64 * r["sequence_id"] for r in got if r["start"] == 0)[0] == 0
+    assert sum(r["length"] for r in got) == sum(len(encoded(t)) for _, t in rows)
+    starts = [r["doc_id"] for r in got if r["start"] == 0]
+    assert sorted(map(repr, starts)) == sorted(repr(i) for i, _ in rows)
+
+
 def test_words_encoded_together_are_those_encoded_alone():
     import random
 
