@@ -185,6 +185,7 @@ def fit(
     order: int = 3, train_bytes: int = 400_000, most_langs: int = 1000,
 ) -> Model | None:
     """Model of the labelled ``rows``. The sample holds about ``train_bytes`` bytes per language."""
+    small_batches(rows.sparkSession)
     draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col(doc_id), F.col(text)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     usable = rows.where(F.col(lang).isNotNull() & (F.octet_length(text) > 0)).select(
         F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"), draw.alias("draw")
